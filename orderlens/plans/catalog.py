@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from orderlens.plans import catalog_rollup
+from orderlens.plans import catalog_profile, catalog_rollup
 
-_MODULES = [catalog_rollup]
+_MODULES = [catalog_rollup, catalog_profile]
 
 
 def all_queries() -> dict:
