@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from orderlens.plans import catalog_profile, catalog_rollup
+from orderlens.plans import catalog_profile, catalog_rollup, catalog_select
 
-_MODULES = [catalog_rollup, catalog_profile]
+_MODULES = [catalog_rollup, catalog_profile, catalog_select]
 
 
 def all_queries() -> dict:
