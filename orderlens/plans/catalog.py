@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from orderlens.plans import catalog_profile, catalog_rollup, catalog_select
+from orderlens.plans import catalog_ml, catalog_profile, catalog_rollup, catalog_select
 
-_MODULES = [catalog_rollup, catalog_profile, catalog_select]
+_MODULES = [catalog_rollup, catalog_profile, catalog_select, catalog_ml]
 
 
 def all_queries() -> dict:

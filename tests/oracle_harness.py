@@ -74,9 +74,9 @@ def compare(spark, sf_dir: str, names=None, verbose=True):
             s_cols = df.columns
             s_rows = [tuple(r) for r in df.collect()]
         except Exception as exc:  # noqa: BLE001
-            results[name] = ("spark-error", repr(exc)[:400])
+            results[name] = ("spark-error", str(exc)[:400])
             if verbose:
-                print(f"{name}: SPARK ERROR {exc!r}"[:600])
+                print(f"{name}: SPARK ERROR {type(exc).__name__}: {exc}"[:800])
             continue
         dt = time.time() - t0
         if name not in oracles:
