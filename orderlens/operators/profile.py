@@ -11,11 +11,12 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from orderlens.operators.ranking import global_rank, quantiles
+from orderlens.operators.ranking import quantile_values, quantiles
+from orderlens.operators.selection_exact import group_stats, with_bucket
 
 NUMERIC = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType,
            T.DecimalType)
@@ -148,16 +149,35 @@ def _numeric_long(df: DataFrame, cols: Sequence[str], ids: Sequence[str] = ()) -
     return long.filter(F.col("value").isNotNull() & ~F.isnan("value"))
 
 
+def _typed_rows(spark, rows, fields):
+    return spark.createDataFrame(rows, T.StructType([T.StructField(n, t, True) for n, t in fields]))
+
+
 def describe_continuous(df: DataFrame, cols: Sequence[str], *, exact: bool = True) -> DataFrame:
-    """count, mean, std (sample), min, quartiles, max per column."""
+    """count, mean, std (sample), min, quartiles, max per column.
+
+    One aggregate gives count/mean/std/min/max per column (and the exact
+    selection's starting intervals); the quartiles come from exact
+    selection by counting, or from a sketch with ``exact=False``.
+    """
     long = _numeric_long(df, cols)
-    stats = long.groupBy("variable").agg(
-        F.count(F.lit(1)).alias("count"), F.avg("value").alias("mean"),
-        F.stddev_samp("value").alias("std"), F.min("value").alias("min"),
-        F.max("value").alias("max"))
-    qs = quantiles(long, "value", [0.25, 0.5, 0.75], ["variable"], exact=exact).drop("n")
-    return stats.join(qs, "variable").select(
-        "variable", "count", "mean", "std", "min", "q25", "q50", "q75", "max")
+    v = F.col("value")
+    if not exact:
+        stats = long.groupBy("variable").agg(
+            F.count(F.lit(1)).alias("count"), F.avg(v).alias("mean"),
+            F.stddev_samp(v).alias("std"), F.min(v).alias("min"), F.max(v).alias("max"))
+        qs = quantiles(long, "value", [0.25, 0.5, 0.75], ["variable"], exact=False).drop("n")
+        return stats.join(qs, "variable").select(
+            "variable", "count", "mean", "std", "min", "q25", "q50", "q75", "max")
+    stats = group_stats(long, "value", ["variable"],
+                        [F.avg(v).alias("mean"), F.stddev_samp(v).alias("std")])
+    qv = quantile_values(long, "value", [0.25, 0.5, 0.75], ["variable"], stats)
+    rows = [(g[0], r["n"], r["mean"], r["std"], r["mn"], *qv[g], r["mx"])
+            for g, r in stats.items()]
+    D = T.DoubleType()
+    return _typed_rows(df.sparkSession, rows, [
+        ("variable", T.StringType()), ("count", T.LongType()), ("mean", D), ("std", D),
+        ("min", D), ("q25", D), ("q50", D), ("q75", D), ("max", D)])
 
 
 def describe_temporal(df: DataFrame, cols: Sequence[str], *, exact: bool = True) -> DataFrame:
@@ -167,24 +187,41 @@ def describe_temporal(df: DataFrame, cols: Sequence[str], *, exact: bool = True)
     """
     secs = df.select(*[(F.unix_micros(F.col(c).cast("timestamp")) / 1e6).alias(c) for c in cols])
     long = _numeric_long(secs, cols)
-    stats = long.groupBy("variable").agg(
-        F.count(F.lit(1)).alias("count"), F.avg("value").alias("mean_epoch"),
-        F.min("value").alias("min_epoch"), F.max("value").alias("max_epoch"))
-    qs = quantiles(long, "value", [0.25, 0.5, 0.75], ["variable"], exact=exact,
-                   prefix="q_epoch").drop("n")
-    return stats.join(qs, "variable")
+    stats = group_stats(long, "value", ["variable"], [F.avg("value").alias("mean")])
+    if exact:
+        qv = quantile_values(long, "value", [0.25, 0.5, 0.75], ["variable"], stats)
+    else:
+        qv = {(r["variable"],): [r["q25"], r["q50"], r["q75"]] for r in quantiles(
+            long, "value", [0.25, 0.5, 0.75], ["variable"], exact=False).collect()}
+    rows = [(g[0], r["n"], r["mean"], r["mn"], r["mx"], *qv[g]) for g, r in stats.items()]
+    D = T.DoubleType()
+    return _typed_rows(df.sparkSession, rows, [
+        ("variable", T.StringType()), ("count", T.LongType()), ("mean_epoch", D),
+        ("min_epoch", D), ("max_epoch", D), ("q_epoch25", D), ("q_epoch50", D), ("q_epoch75", D)])
 
 
 def stats_by_class(df: DataFrame, cols: Sequence[str], label: str, *,
                    exact: bool = True) -> DataFrame:
     """mean / median / min / max / std of each continuous column per class."""
     long = _numeric_long(df, cols, ids=[label])
-    stats = long.groupBy(label, "variable").agg(
-        F.avg("value").alias("mean"), F.min("value").alias("min"),
-        F.max("value").alias("max"), F.stddev_samp("value").alias("std"))
-    med = quantiles(long, "value", [0.5], [label, "variable"], exact=exact,
-                    prefix="median").drop("n").withColumnRenamed("median50", "median")
-    return stats.join(med, [label, "variable"], "left")
+    v = F.col("value")
+    if not exact:
+        stats = long.groupBy(label, "variable").agg(
+            F.avg(v).alias("mean"), F.min(v).alias("min"), F.max(v).alias("max"),
+            F.stddev_samp(v).alias("std"))
+        med = quantiles(long, "value", [0.5], [label, "variable"], exact=False,
+                        prefix="median").drop("n").withColumnRenamed("median50", "median")
+        return stats.join(med, [label, "variable"], "left")
+    stats = group_stats(long, "value", [label, "variable"],
+                        [F.avg(v).alias("mean"), F.stddev_samp(v).alias("std")])
+    qv = quantile_values(long, "value", [0.5], [label, "variable"], stats)
+    rows = [(g[0], g[1], r["mean"], r["mn"], r["mx"], r["std"], qv[g][0])
+            for g, r in stats.items()]
+    D = T.DoubleType()
+    ltype = dict((f.name, f.dataType) for f in df.schema.fields)[label]
+    return _typed_rows(df.sparkSession, rows, [
+        (label, ltype), ("variable", T.StringType()), ("mean", D), ("min", D), ("max", D),
+        ("std", D), ("median", D)])
 
 
 def shape_moments(df: DataFrame, cols: Sequence[str]) -> DataFrame:
@@ -198,14 +235,22 @@ def box_stats(df: DataFrame, cols: Sequence[str], *, whisker: float = 1.5,
               exact: bool = True) -> DataFrame:
     """Box-plot numbers (A17): quartiles, IQR fences, whisker ends, outlier count."""
     long = _numeric_long(df, cols)
-    qs = quantiles(long, "value", [0.25, 0.5, 0.75], ["variable"], exact=exact).drop("n")
+    if exact:
+        qv = quantile_values(long, "value", [0.25, 0.5, 0.75], ["variable"])
+        rows = [(g[0], *q) for g, q in qv.items()]
+    else:
+        rows = [(r["variable"], r["q25"], r["q50"], r["q75"]) for r in quantiles(
+            long, "value", [0.25, 0.5, 0.75], ["variable"], exact=False).collect()]
+    D = T.DoubleType()
+    qs = _typed_rows(df.sparkSession, rows, [("variable", T.StringType()), ("q25", D),
+                                            ("q50", D), ("q75", D)])
     qs = qs.withColumn("iqr", F.col("q75") - F.col("q25")).withColumns({
         "lower_fence": F.col("q25") - F.lit(whisker) * F.col("iqr"),
         "upper_fence": F.col("q75") + F.lit(whisker) * F.col("iqr")})
     v = F.col("value")
     inside = (v >= F.col("lower_fence")) & (v <= F.col("upper_fence"))
-    # qs has one row per column: AQE broadcasts it, no shuffle of the long frame
-    agg = long.join(qs, "variable").groupBy("variable").agg(
+    # qs has one row per column (built in the driver): broadcast is bounded
+    agg = long.join(F.broadcast(qs), "variable").groupBy("variable").agg(
         F.min(F.when(inside, v)).alias("whisker_low"),
         F.max(F.when(inside, v)).alias("whisker_high"),
         F.count(F.when(~inside, 1)).alias("n_outliers"))
@@ -246,24 +291,37 @@ def histogram(df: DataFrame, col: str, bins: int = 25) -> DataFrame:
     return grid.join(counts, "bin", "left").fillna({"n": 0})
 
 
-def ecdf(df: DataFrame, col: str) -> DataFrame:
-    """Empirical CDF at every distinct value (A14), plus the normal fit's
+def ecdf(df: DataFrame, col: str, *, buckets: int = 1000) -> DataFrame:
+    """Empirical CDF at every distinct value (A14, W3), plus the normal fit's
     mean and sample std for the reference curve.
 
-    cum_n(v) = number of rows <= v = 1 + highest position of v in the
-    distributed ranking; no single-task running window over the values.
+    cum_n(v) = rows <= v.  The running sum runs over the DISTINCT-value
+    table (a hot value is one row there), cut into value ranges by
+    approximate quantile bounds: per-range totals give the offsets (2B+1
+    rows), and each range's running sum is a window over that range only.
     """
     vals = df.select(F.col(col).cast("double").alias("value")).filter(
         F.col("value").isNotNull() & ~F.isnan("value"))
-    ranked = global_rank(vals, ["value"])
-    per_value = ranked.groupBy("value").agg(
-        F.count(F.lit(1)).alias("n"), (F.max("_rank") + 1).alias("cum_n"),
-        F.first("_group_n").alias("_total"))
+    per_value = vals.groupBy("value").agg(F.count(F.lit(1)).alias("n"))
+    probs = [i / buckets for i in range(1, buckets)]
+    # bounds: one sketch aggregate, used as a scalar subquery (no literal copies)
+    bounds = per_value.select(F.array_sort(F.array_distinct(
+        F.percentile_approx("value", probs, 10_000)))).scalar()
+    keyed = with_bucket(per_value.withColumn("_b", bounds), "value", "_b", buckets).drop("_b")
+    totals = {r["_bk"]: r["t"] for r in keyed.groupBy("_bk").agg(F.sum("n").alias("t")).collect()}
+    offsets, run = [], 0
+    for bk in sorted(totals):
+        offsets.append((bk, run))
+        run += totals[bk]
+    off = df.sparkSession.createDataFrame(offsets, "_bk int, _off long")
+    w = (Window.partitionBy("_bk").orderBy("value")
+         .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     mean = vals.select(F.avg("value")).scalar()
     std = vals.select(F.stddev_samp("value")).scalar()
-    return per_value.select("value", "n", "cum_n",
-                            (F.col("cum_n") / F.col("_total")).alias("ecdf"),
-                            mean.alias("normal_mean"), std.alias("normal_std"))
+    out = (keyed.join(F.broadcast(off), "_bk")   # 2B+1 rows at most
+           .withColumn("cum_n", F.col("_off") + F.sum("n").over(w)))
+    return out.select("value", "n", "cum_n", (F.col("cum_n") / F.lit(run)).alias("ecdf"),
+                      mean.alias("normal_mean"), std.alias("normal_std"))
 
 
 def kde(df: DataFrame, col: str, *, grid_size: int = 200, bins: int = 2048,

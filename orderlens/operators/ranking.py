@@ -1,5 +1,9 @@
 """Exact positions and quantiles without single-task windows.
 
+Quantiles use exact selection by counting (``selection_exact``): no sort,
+no shuffle of rows.  ``global_rank`` numbers EVERY row, which needs a
+distributed sort; it is kept for callers that need per-row positions.
+
 ``row_number() OVER (PARTITION BY class ORDER BY ...)`` sends every row of
 a class through ONE task; with three classes and 100 TB that is a third of
 the data in one task.  Here the position is computed the way a distributed
@@ -22,11 +26,16 @@ the group in that partition.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window
+from pyspark.sql import types as T
 from pyspark.sql import functions as F
 
+from orderlens.operators.selection_exact import group_stats, select_kth
+from orderlens.session import ensure_checkpoint_dir
+
 _LOW33 = (1 << 33) - 1
 
 
@@ -56,6 +65,13 @@ def global_rank(df: DataFrame, order_cols: Sequence[str], group_cols: Sequence[s
     ranged = (work.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
               .withColumn("_pid", F.spark_partition_id())
               .withColumn("_local", F.monotonically_increasing_id().bitwiseAND(F.lit(_LOW33))))
+    # Both the counts and the rows must see the SAME range partitioning and
+    # row numbers; the plan holds non-deterministic ids, so Spark would run
+    # (and sample range bounds for) each branch separately.  A reliable
+    # checkpoint in spark.checkpoint.dir fixes one copy that survives
+    # executor loss.
+    ensure_checkpoint_dir(df.sparkSession)
+    ranged = ranged.checkpoint(eager=True)
     part_keys = [*group_cols, "_pid"]
     stats = ranged.groupBy(*part_keys).agg(F.count(F.lit(1)).alias("_cnt"),
                                            F.min("_local").alias("_first"))
@@ -72,37 +88,58 @@ def global_rank(df: DataFrame, order_cols: Sequence[str], group_cols: Sequence[s
     return out.drop(*drop)
 
 
+def quantile_values(long_df: DataFrame, value_col: str, probs: Sequence[float],
+                    group_cols: Sequence[str] = (), stats: dict | None = None) -> dict:
+    """{group_tuple: [q_p for p in probs]} - exact, linear interpolation.
+
+    ``stats`` ({group: Row(n, mn, mx, ...)} from ``group_stats``) saves the
+    first pass when the caller aggregates the groups anyway.
+    """
+    group_cols = list(group_cols)
+    stats = stats if stats is not None else group_stats(long_df, value_col, group_cols)
+    targets, plan = {}, []
+    for gi, (g, r) in enumerate(sorted(stats.items(), key=lambda kv: str(kv[0]))):
+        n, row = r["n"], []
+        for pi, p in enumerate(probs):
+            pos = (n - 1) * float(p)
+            lo, hi = math.floor(pos), math.ceil(pos)
+            targets[f"{gi}:{pi}:lo"] = (g, lo)
+            targets[f"{gi}:{pi}:hi"] = (g, hi)
+            row.append((f"{gi}:{pi}", pos - lo))
+        plan.append((g, row))
+    init = {g: (r["n"], r["mn"], r["mx"]) for g, r in stats.items()}
+    vals = select_kth(long_df, value_col, targets, group_cols, init=init) if targets else {}
+    out = {}
+    for g, row in plan:
+        qs = []
+        for tid, frac in row:
+            lo, hi = vals[f"{tid}:lo"], vals[f"{tid}:hi"]
+            qs.append(None if lo is None else lo + (hi - lo) * frac)
+        out[g] = qs
+    return out
+
+
 def exact_quantiles(long_df: DataFrame, value_col: str, probs: Sequence[float],
                     group_cols: Sequence[str] = (), *, prefix: str = "q",
                     num_partitions: int | None = None) -> DataFrame:
     """Exact linear-interpolated quantiles (numpy 'linear', DuckDB quantile_cont).
 
     ``long_df`` holds one value per row (nulls/NaN are skipped).  Returns one
-    row per group with columns ``{prefix}{int(p*100)}`` plus ``n``.
-    Only the 2*len(probs) rows per group that sit at the needed positions
-    leave the ranking step.
+    row per group with columns ``{prefix}{int(p*100)}`` plus ``n``.  The two
+    order statistics around each position (n-1)*p come from exact selection
+    by counting; the result has one row per group.
     """
     group_cols = list(group_cols)
-    vals = long_df.filter(F.col(value_col).isNotNull() & ~F.isnan(F.col(value_col)))
-    ranked = global_rank(vals, [value_col], group_cols, num_partitions=num_partitions)
-    r, n = F.col("_rank"), F.col("_group_n")
-    pos = {p: (n - 1) * F.lit(float(p)) for p in probs}
-    wanted = None
-    for p in probs:
-        cond = (r == F.floor(pos[p])) | (r == F.ceil(pos[p]))
-        wanted = cond if wanted is None else (wanted | cond)
-    picked = ranked.filter(wanted)
-    aggs = [F.first("_group_n").alias("n")]
-    for i, p in enumerate(probs):
-        aggs.append(F.max(F.when(r == F.floor(pos[p]), F.col(value_col))).alias(f"_lo{i}"))
-        aggs.append(F.max(F.when(r == F.ceil(pos[p]), F.col(value_col))).alias(f"_hi{i}"))
-    small = picked.groupBy(*group_cols).agg(*aggs)
-    outs = []
-    for i, p in enumerate(probs):
-        frac = (F.col("n") - 1) * F.lit(float(p)) - F.floor((F.col("n") - 1) * F.lit(float(p)))
-        lo, hi = F.col(f"_lo{i}"), F.col(f"_hi{i}")
-        outs.append((lo + (hi - lo) * frac).alias(f"{prefix}{int(round(p * 100))}"))
-    return small.select(*group_cols, "n", *outs)
+    stats = group_stats(long_df, value_col, group_cols)
+    qv = quantile_values(long_df, value_col, probs, group_cols, stats)
+    rows = [(*g, stats[g]["n"], *qs) for g, qs in qv.items()]
+    fields = [f for f in long_df.schema.fields if f.name in group_cols]
+    fields = sorted(fields, key=lambda f: group_cols.index(f.name))
+    schema = T.StructType([*[T.StructField(f.name, f.dataType, True) for f in fields],
+                           T.StructField("n", T.LongType()),
+                           *[T.StructField(f"{prefix}{int(round(p * 100))}", T.DoubleType())
+                             for p in probs]])
+    return long_df.sparkSession.createDataFrame(rows, schema)
 
 
 def approx_quantiles(long_df: DataFrame, value_col: str, probs: Sequence[float],

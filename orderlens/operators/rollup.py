@@ -62,6 +62,29 @@ def aggregate_to_customer(df: DataFrame, spec: RollupSpec, schema: TransactionSc
             .agg(*rollup_exprs(df, spec, schema)))
 
 
+def aggregate_with_attributes(facts: DataFrame, attributes: DataFrame, spec: RollupSpec,
+                              schema: TransactionSchema) -> DataFrame:
+    """Roll up the fact columns, THEN attach per-key attribute columns (A1, skew-safe form).
+
+    ``attributes`` holds one row per key (a dimension such as customer ⋈
+    nation ⋈ region).  For such columns 'first'/'last' over a key's rows is
+    the attribute itself, so joining after the aggregate gives the same
+    result as rolling up the denormalised table - but the big side is
+    combined map-side before any shuffle, and the join is 1:1 per key, so a
+    key holding a third of all rows never reaches one task as raw rows.
+    """
+    fact_cols = [c for c in spec.columns() if c in facts.columns]
+    attr_cols = [c for c in spec.columns() if c not in facts.columns]
+    bad = [c for c in attr_cols if spec.aggregations[c] not in ("first", "last")]
+    if bad:
+        raise ValueError(f"attribute columns need 'first'/'last', got: {bad}")
+    require_columns(attributes, [schema.key, *attr_cols], "roll-up attributes")
+    rolled = aggregate_to_customer(
+        facts, RollupSpec({c: spec.aggregations[c] for c in fact_cols}), schema)
+    attrs = attributes.select(schema.key, *attr_cols)
+    return rolled.join(attrs, schema.key, "left").select(schema.key, *spec.columns())
+
+
 def keep_last_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
     """Keep the last row of each key by ``order`` (A2).
 

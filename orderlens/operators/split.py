@@ -6,9 +6,10 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from orderlens.operators.joins import lookup_join
-from orderlens.operators.ranking import global_rank
+from orderlens.operators.joins import BROADCAST_MAX_ROWS, lookup_join
+from orderlens.operators.selection_exact import group_stats, select_kth
 
 # 60 / 20 / 20 as tenths, so the bounds are exact integers.
 DEFAULT_FRACTIONS = (6, 2, 2)
@@ -26,25 +27,60 @@ def stratified_split(df: DataFrame, label: str, key_cols: Sequence[str], seed: i
                      split_col: str = "split") -> DataFrame:
     """Add ``split`` so every class is cut exactly 60/20/20.
 
-    Rows are ordered inside each class by md5(seed|key); position p (1-based)
-    of a class of size n goes to train when 10*p <= 6n, to val when
-    10*p <= 8n, else test.  The position comes from the distributed exact
-    rank, so a class holding a third of the data is spread over many tasks.
-    Rows with a missing label are kept out of the split (stratification
-    needs a class).
+    Rows are ordered inside each class by (md5(seed|key), key); position p
+    (1-based) of a class of size n goes to train when 10*p <= 6n, to val
+    when 10*p <= 8n, else test.  Instead of numbering rows (a sort, and a
+    third of the data in one task for a big class), the two cut rows per
+    class are found by exact selection (a few counting passes), and every
+    row is then compared with its class's cuts - a broadcast of one row
+    per class.  Rows with a missing label are left out (no class to
+    stratify on).
     """
     if sum(tenths) != 10:
         raise ValueError("tenths must add up to 10")
     if label not in df.columns:
         raise KeyError(f"target column {label!r} not found")
+    key_cols = list(key_cols)
     cut1, cut2 = tenths[0], tenths[0] + tenths[1]
-    ordered = df.filter(F.col(label).isNotNull()).withColumn("_h", hash_order(key_cols, seed))
-    ranked = global_rank(ordered, ["_h", *key_cols], [label], unique_order=True)
-    p, n = F.col("_rank") + 1, F.col("_group_n")
-    split = (F.when(F.lit(10) * p <= F.lit(cut1) * n, F.lit(names[0]))
-             .when(F.lit(10) * p <= F.lit(cut2) * n, F.lit(names[1]))
+    ordered = (df.filter(F.col(label).isNotNull())
+               .withColumn("_md5", hash_order(key_cols, seed))
+               # 52-bit prefix of the hash: exact as a double, same order as the hex text
+               .withColumn("_h", F.conv(F.substring("_md5", 1, 13), 16, 10).cast("double")))
+    stats = group_stats(ordered, "_h", [label])
+    sizes = {g: r["n"] for g, r in stats.items()}
+    targets, classes = {}, []
+    for i, (g, n) in enumerate(sizes.items()):
+        targets[f"{i}:1"] = (g, (cut1 * n) // 10 - 1)
+        targets[f"{i}:2"] = (g, (cut2 * n) // 10 - 1)
+        classes.append((i, g[0]))
+    init = {g: (r["n"], r["mn"], r["mx"]) for g, r in stats.items()}
+    cuts = select_kth(ordered, "_h", targets, [label], payload=["_md5", *key_cols],
+                      init=init) if targets else {}
+    types = {f.name: f.dataType for f in df.schema.fields}
+    fields = [T.StructField(label, types[label])]
+    for j in (1, 2):
+        fields += [T.StructField(f"_c{j}_h", T.DoubleType()), T.StructField(f"_c{j}_m", T.StringType())]
+        fields += [T.StructField(f"_c{j}_k{i}", types[k]) for i, k in enumerate(key_cols)]
+    rows = []
+    for i, g in classes:
+        row = [g]
+        for j in (1, 2):
+            c = cuts.get(f"{i}:{j}")
+            row += list(c) if c is not None else [None] * (2 + len(key_cols))
+        rows.append(tuple(row))
+    thr = df.sparkSession.createDataFrame(rows, T.StructType(fields))
+    thr = F.broadcast(thr) if len(rows) <= BROADCAST_MAX_ROWS else thr
+    me = F.struct(F.col("_h").alias("h"), F.col("_md5").alias("m"),
+                  *[F.col(k).alias(f"k{i}") for i, k in enumerate(key_cols)])
+
+    def cut(j):
+        return F.struct(F.col(f"_c{j}_h").alias("h"), F.col(f"_c{j}_m").alias("m"),
+                        *[F.col(f"_c{j}_k{i}").alias(f"k{i}") for i in range(len(key_cols))])
+    split = (F.when(F.col("_c1_h").isNotNull() & (me <= cut(1)), F.lit(names[0]))
+             .when(F.col("_c2_h").isNotNull() & (me <= cut(2)), F.lit(names[1]))
              .otherwise(F.lit(names[2])))
-    return ranked.withColumn(split_col, split).drop("_h", "_rank", "_group_n")
+    out = ordered.join(thr, label, "left").withColumn(split_col, split)
+    return out.select(*df.columns, split_col)
 
 
 def split_frames(df_split: DataFrame, label: str, split_col: str = "split",

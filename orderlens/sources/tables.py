@@ -60,6 +60,24 @@ def transactions(spark: SparkSession, sf_dir: str, *, with_lines: bool = True) -
     return df.select(*cols)
 
 
+def order_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Order-level facts: orders ⋈ per-order line totals (1:1 on the order key)."""
+    orders = table(spark, sf_dir, "orders")
+    lines = order_lines(spark, sf_dir)
+    return orders.join(lines, orders.o_orderkey == lines.l_orderkey, "left").drop("l_orderkey")
+
+
+def customer_attributes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customer-level attributes, one row per customer key (named o_custkey)."""
+    customer = table(spark, sf_dir, "customer").select(
+        F.col("c_custkey").alias("o_custkey"), "c_nationkey", "c_mktsegment", "c_acctbal")
+    nation = table(spark, sf_dir, "nation").select("n_nationkey", "n_name", "n_regionkey")
+    region = table(spark, sf_dir, "region").select("r_regionkey", "r_name")
+    return (customer.join(nation, F.col("c_nationkey") == nation.n_nationkey, "left")
+            .join(region, F.col("n_regionkey") == region.r_regionkey, "left")
+            .select("o_custkey", "c_nationkey", "c_mktsegment", "c_acctbal", "n_name", "r_name"))
+
+
 # Column roles of the derived transaction table.
 TPCH_SCHEMA = TransactionSchema(key="o_custkey", date="o_orderdate", label="o_orderstatus",
                                 tiebreak="o_orderkey")
