@@ -4,8 +4,9 @@ To find the k-th smallest value of a column (per group) exactly, keep a
 search interval [lo, hi] (inclusive, always the exact min / max of the rows
 inside it) and the rank k inside it:
 
-1. one pass tags each row with the live intervals that contain it and
-   computes count / min / max per (interval, bucket), where the bucket is
+1. one pass tags each row with the live interval that contains it (live
+   intervals of a group are disjoint) and computes count / min / max per
+   (interval, bucket), where the bucket is
    an equal-width slice of [lo, hi] - plain arithmetic inside whole-stage
    codegen, combined map-side, at most B rows per interval reach the
    driver;
@@ -126,9 +127,13 @@ def select_kth(df: DataFrame, value_col: str, targets: dict, group_cols: Sequenc
             if key[1] is not None:
                 cond = cond & (F.col("_v") >= F.lit(key[1])) & (F.col("_v") <= F.lit(key[2]))
             return cond
-        tags = F.filter(F.array(*[F.when(inside(key), F.lit(iid)) for key, iid in ivs.items()]),
-                        lambda x: x.isNotNull())
-        hit = base.select("_v", *payload, F.explode(tags).alias("_t"))
+        # live intervals of one group never overlap (they are disjoint buckets
+        # of earlier rounds), so a row belongs to at most one: a CASE chain
+        tag = None
+        for key, iid in ivs.items():
+            tag = F.when(inside(key), F.lit(iid)) if tag is None else \
+                tag.when(inside(key), F.lit(iid))
+        hit = base.select("_v", *payload, tag.alias("_t")).filter(F.col("_t").isNotNull())
         if any(s["n"] is None for s in live.values()):  # first pass: count, min, max
             first = {r["_t"]: r for r in hit.groupBy("_t").agg(
                 F.count(F.lit(1)).alias("n"), F.min("_v").alias("mn"),

@@ -96,6 +96,12 @@ def class_counts(df: DataFrame, label: str) -> DataFrame:
     return df.groupBy(label).agg(F.count(F.lit(1)).alias("n"))
 
 
+def with_class_size(df: DataFrame, label: str, size_col: str = "n_class") -> DataFrame:
+    """Class size as a column (W2): k-row count table joined back with a
+    checked broadcast, instead of a per-class window over the rows."""
+    return lookup_join(df, class_counts(df, label).withColumnRenamed("n", size_col), label, "left")
+
+
 def balanced_weights(df: DataFrame, label: str, weight_col: str = "weight") -> DataFrame:
     """Row weight n / (k * n_class), sklearn's 'balanced' (F15, J1, W2).
 
