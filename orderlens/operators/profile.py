@@ -281,7 +281,9 @@ def histogram(df: DataFrame, col: str, bins: int = 25) -> DataFrame:
     vals = df.select(F.col(col).cast("double").alias("v")).filter(
         F.col("v").isNotNull() & ~F.isnan("v"))
     rng = _range_of(vals, "v")
-    mn, mx = vals.select(F.min("v")).scalar(), vals.select(F.max("v")).scalar()
+    # one scalar subquery (one scan) for both ends
+    ends = vals.select(F.struct(F.min("v").alias("mn"), F.max("v").alias("mx"))).scalar()
+    mn, mx = ends["mn"], ends["mx"]
     counts = (vals.withColumn("bin", _bin_index(F.col("v"), mn, mx, bins))
               .groupBy("bin").agg(F.count(F.lit(1)).alias("n")))
     grid = rng.select("_mn", "_mx", F.explode(F.sequence(F.lit(1), F.lit(bins))).alias("bin"))
@@ -316,8 +318,8 @@ def ecdf(df: DataFrame, col: str, *, buckets: int = 1000) -> DataFrame:
     off = df.sparkSession.createDataFrame(offsets, "_bk int, _off long")
     w = (Window.partitionBy("_bk").orderBy("value")
          .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    mean = vals.select(F.avg("value")).scalar()
-    std = vals.select(F.stddev_samp("value")).scalar()
+    fit = vals.select(F.struct(F.avg("value").alias("m"), F.stddev_samp("value").alias("s"))).scalar()
+    mean, std = fit["m"], fit["s"]
     out = (keyed.join(F.broadcast(off), "_bk")   # 2B+1 rows at most
            .withColumn("cum_n", F.col("_off") + F.sum("n").over(w)))
     return out.select("value", "n", "cum_n", (F.col("cum_n") / F.lit(run)).alias("ecdf"),
@@ -337,9 +339,10 @@ def kde(df: DataFrame, col: str, *, grid_size: int = 200, bins: int = 2048,
     """
     vals = df.select(F.col(col).cast("double").alias("v")).filter(
         F.col("v").isNotNull() & ~F.isnan("v"))
-    mn, mx = vals.select(F.min("v")).scalar(), vals.select(F.max("v")).scalar()
-    n = vals.select(F.count(F.lit(1))).scalar()
-    sd = vals.select(F.stddev_samp("v")).scalar()
+    summ = vals.select(F.struct(F.min("v").alias("mn"), F.max("v").alias("mx"),
+                                F.count(F.lit(1)).alias("n"),
+                                F.stddev_samp("v").alias("sd"))).scalar()
+    mn, mx, n, sd = summ["mn"], summ["mx"], summ["n"], summ["sd"]
     h = sd * F.pow(n.cast("double"), F.lit(-0.2)) * F.lit(bw_adjust)
     bw = (mx - mn) / F.lit(bins)
     binned = vals.withColumn("bin", _bin_index(F.col("v"), mn, mx, bins))
