@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -21,6 +22,17 @@ def hash_order(key_cols: Sequence[str], seed: int) -> F.Column:
     return F.md5(F.concat_ws("|", *parts))
 
 
+def _cut_targets(stats: dict, cut1: int, cut2: int):
+    """0-based ranks of the last train row and the last val row per class."""
+    targets, classes = {}, []
+    for i, (g, r) in enumerate(stats.items()):
+        n = r["n"]
+        targets[f"{i}:1"] = (g, (cut1 * n) // 10 - 1)
+        targets[f"{i}:2"] = (g, (cut2 * n) // 10 - 1)
+        classes.append((i, g[0]))
+    return targets, classes
+
+
 def stratified_split(df: DataFrame, label: str, key_cols: Sequence[str], seed: int = 42, *,
                      tenths: Sequence[int] = DEFAULT_FRACTIONS,
                      names: Sequence[str] = ("train", "val", "test"),
@@ -46,16 +58,16 @@ def stratified_split(df: DataFrame, label: str, key_cols: Sequence[str], seed: i
                .withColumn("_md5", hash_order(key_cols, seed))
                # 52-bit prefix of the hash: exact as a double, same order as the hex text
                .withColumn("_h", F.conv(F.substring("_md5", 1, 13), 16, 10).cast("double")))
-    stats = group_stats(ordered, "_h", [label])
-    sizes = {g: r["n"] for g, r in stats.items()}
-    targets, classes = {}, []
-    for i, (g, n) in enumerate(sizes.items()):
-        targets[f"{i}:1"] = (g, (cut1 * n) // 10 - 1)
-        targets[f"{i}:2"] = (g, (cut2 * n) // 10 - 1)
-        classes.append((i, g[0]))
-    init = {g: (r["n"], r["mn"], r["mx"]) for g, r in stats.items()}
-    cuts = select_kth(ordered, "_h", targets, [label], payload=["_md5", *key_cols],
-                      init=init) if targets else {}
+    # the counting passes read a narrow copy with the hash computed once
+    narrow = ordered.select(label, "_h", "_md5", *key_cols).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        stats = group_stats(narrow, "_h", [label])
+        targets, classes = _cut_targets(stats, cut1, cut2)
+        init = {g: (r["n"], r["mn"], r["mx"]) for g, r in stats.items()}
+        cuts = select_kth(narrow, "_h", targets, [label], payload=["_md5", *key_cols],
+                          init=init) if targets else {}
+    finally:
+        narrow.unpersist()
     types = {f.name: f.dataType for f in df.schema.fields}
     fields = [T.StructField(label, types[label])]
     for j in (1, 2):
