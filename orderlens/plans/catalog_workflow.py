@@ -13,14 +13,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from orderlens.operators import association as A
-from orderlens.plans.catalog_rollup import TX_SQL, _rollup_sql, cast_transactions
+from orderlens.plans.catalog_rollup import TX_SQL, _rollup_sql, cast_order_facts
 from orderlens.plans.catalog_select import ASSOC_COLS, PEARSON_COLS, customer_attrs
 from orderlens.plans.scoring import confidence_by_class
 from orderlens.plans.selection import CramersVSelector
 from orderlens.plans.training import BoostParams
 from orderlens.plans.workflow import (WorkflowConfig, fit, metrics_table, score_sample)
 from orderlens.session import shared_path
-from orderlens.sources.tables import TPCH_ROLLUP, TPCH_SCHEMA, table
+from orderlens.sources.tables import TPCH_ROLLUP, TPCH_SCHEMA, customer_attributes, table
 from orderlens.config import CastConfig
 
 QUERIES: dict = {}
@@ -49,7 +49,8 @@ def fitted_run(spark: SparkSession, sf_dir: str):
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _RUNS:
         cfg = _config(spark)
-        fitted = fit(spark, cast_transactions(spark, sf_dir), cfg)
+        fitted = fit(spark, cast_order_facts(spark, sf_dir), cfg,
+                     attributes=customer_attributes(spark, sf_dir))
         _RUNS[key] = (cfg, fitted)
     return _RUNS[key]
 

@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from orderlens.config import CastConfig, RollupSpec, TransactionSchema
 from orderlens.operators.cast import validate_and_cast
 from orderlens.operators.evaluate import evaluate_split
-from orderlens.operators.rollup import aggregate_to_customer
+from orderlens.operators.rollup import aggregate_to_customer, aggregate_with_attributes
 from orderlens.operators.sampling import sample_rows
 from orderlens.operators.split import stratified_split
 from orderlens.plans.scoring import batch_summary, predict_batch, predictions_vs_truth
@@ -58,10 +58,18 @@ def path(cfg: WorkflowConfig, name: str) -> str:
         cfg.out_dir.rstrip("/") + "/" + name
 
 
-def customers_table(spark: SparkSession, transactions: DataFrame, cfg: WorkflowConfig) -> DataFrame:
-    """Step 1: cast, roll up, write, read back."""
+def customers_table(spark: SparkSession, transactions: DataFrame, cfg: WorkflowConfig,
+                    attributes: DataFrame | None = None) -> DataFrame:
+    """Step 1: cast, roll up, write, read back.
+
+    With ``attributes`` (one row per key), the fact rows are rolled up first
+    and the attributes joined after (skew-safe form of the same result).
+    """
     valid = validate_and_cast(transactions, cfg.cast)
-    customers = aggregate_to_customer(valid, cfg.rollup, cfg.schema)
+    if attributes is not None:
+        customers = aggregate_with_attributes(valid, attributes, cfg.rollup, cfg.schema)
+    else:
+        customers = aggregate_to_customer(valid, cfg.rollup, cfg.schema)
     out = write_processed(customers, path(cfg, "customers"), fail_if_empty=cfg.cast.fail_if_empty)
     return read_processed(spark, out)
 
@@ -82,9 +90,10 @@ class Fitted:
     splits: dict
 
 
-def fit(spark: SparkSession, transactions: DataFrame, cfg: WorkflowConfig) -> Fitted:
+def fit(spark: SparkSession, transactions: DataFrame, cfg: WorkflowConfig,
+        attributes: DataFrame | None = None) -> Fitted:
     """Steps 1-4."""
-    customers = customers_table(spark, transactions, cfg)
+    customers = customers_table(spark, transactions, cfg, attributes)
     sp = split_table(spark, customers, cfg)
     parts = {s: sp.filter(F.col("split") == s).drop("split") for s in ("train", "val", "test")}
     selector = FeatureSelector(labelCol=cfg.schema.label, passthroughCols=[cfg.schema.key],
