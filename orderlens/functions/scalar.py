@@ -58,6 +58,33 @@ def to_timestamp_lenient(c: str | Column, source: T.DataType | None = None) -> C
     return F.try_to_timestamp(col.cast("string")).cast("timestamp_ntz")
 
 
+_EPOCH_NTZ = "1970-01-01 00:00:00"
+
+
+def epoch_micros(c: str | Column, source: T.DataType | None = None) -> Column:
+    """Microseconds since 1970-01-01.  TIMESTAMP_NTZ / DATE values are wall
+    clock, read as UTC whatever the session time zone; TIMESTAMP values are
+    instants."""
+    col = _col(c)
+    if isinstance(source, T.TimestampType):
+        return F.unix_micros(col)
+    return F.timestamp_diff("MICROSECOND", F.lit(_EPOCH_NTZ).cast("timestamp_ntz"),
+                            col.cast("timestamp_ntz"))
+
+
+def wall_clock_as_utc(c: str | Column) -> Column:
+    """TIMESTAMP_NTZ -> TIMESTAMP holding the same wall clock in UTC
+    (independent of the session time zone)."""
+    return F.timestamp_micros(epoch_micros(c))
+
+
+def utc_as_wall_clock(c: str | Column) -> Column:
+    """TIMESTAMP -> TIMESTAMP_NTZ with its UTC wall clock (inverse of
+    :func:`wall_clock_as_utc`)."""
+    return F.timestamp_add("MICROSECOND", F.unix_micros(_col(c)),
+                           F.lit(_EPOCH_NTZ).cast("timestamp_ntz"))
+
+
 def weekday_monday0(c: str | Column) -> Column:
     """Day of week with Monday = 0 .. Sunday = 6."""
     return F.weekday(_col(c))

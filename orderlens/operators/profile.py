@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from orderlens.functions.scalar import epoch_micros
 from orderlens.operators.ranking import quantile_values, quantiles
 from orderlens.operators.selection_exact import group_stats, with_bucket
 
@@ -185,7 +186,8 @@ def describe_temporal(df: DataFrame, cols: Sequence[str], *, exact: bool = True)
 
     Mean/quartiles are epoch seconds (double) computed on microseconds.
     """
-    secs = df.select(*[(F.unix_micros(F.col(c).cast("timestamp")) / 1e6).alias(c) for c in cols])
+    types = _types(df)
+    secs = df.select(*[(epoch_micros(c, types[c]) / 1e6).alias(c) for c in cols])
     long = _numeric_long(secs, cols)
     stats = group_stats(long, "value", ["variable"], [F.avg("value").alias("mean")])
     if exact:

@@ -19,6 +19,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from orderlens.functions.scalar import utc_as_wall_clock, wall_clock_as_utc
 from orderlens.session import shared_path
 
 
@@ -27,18 +28,19 @@ def windowed_counts(df: DataFrame, ts_col: str, key_col: str, window: str = "1 d
     """Rows per (tumbling window, key); works on batch and streaming frames.
 
     Watermarks need TIMESTAMP event times: a TIMESTAMP_NTZ column is read as
-    session-time-zone wall clock and the window bounds are cast back, so
-    the output keeps the input's type.
+    UTC wall clock (whatever the session time zone) and the window bounds
+    are turned back into wall clock, so the output keeps the input's type
+    and windows start at wall-clock midnight.
     """
     ntz = dict(df.dtypes)[ts_col] == "timestamp_ntz"
-    src = df.withColumn(ts_col, F.col(ts_col).cast("timestamp")) if ntz else df
+    src = df.withColumn(ts_col, wall_clock_as_utc(ts_col)) if ntz else df
     if watermark:
         src = src.withWatermark(ts_col, watermark)
     agg = src.groupBy(F.window(ts_col, window).alias("w"), F.col(key_col)).agg(
         F.count(F.lit(1)).alias("n"))
     start, end = F.col("w.start"), F.col("w.end")
     if ntz:
-        start, end = start.cast("timestamp_ntz"), end.cast("timestamp_ntz")
+        start, end = utc_as_wall_clock(start), utc_as_wall_clock(end)
     return agg.select(start.alias("window_start"), end.alias("window_end"), key_col, "n")
 
 
