@@ -42,7 +42,7 @@ from orderlens.llm.common import broadcast_checked, written
 
 LENGTH = 100
 GRAM = 32
-HOT = 5000
+HOT = 40
 SEGMENT = 1 << 22           # bytes of a very long document handled at a time
 MAX_BROADCAST = 2_000_000   # anchor hashes or ids (8 bytes) that may be broadcast
 
@@ -118,27 +118,30 @@ def anchor_rows(documents: DataFrame, length: int) -> DataFrame:
 
 
 def contexts(documents: DataFrame, wanted: DataFrame, length: int) -> DataFrame:
-    """(h, n, doc_id, tkey, a, lo, hi, ctx): the bytes [lo, hi + length) around wanted anchors."""
-    per = wanted.groupBy("doc_id", "tkey").agg(F.collect_list(F.struct("h", "n", "a", "lo", "hi")).alias("w"))
-    per = written(per, "suffix-wanted")
+    """(h, doc_id, tkey, a, lo, hi, ctx): the bytes [lo, hi + length) around wanted anchors."""
+    cols = ["h", "a", "lo", "hi"]
+    per = wanted.groupBy("doc_id", "tkey").agg(F.collect_list(F.struct(*cols)).alias("w"))
+    per = written(per.select("doc_id", "tkey", *[F.col(f"w.{c}").alias(c) for c in cols]), "suffix-wanted")
     ids = broadcast_checked(per.select("doc_id", "tkey"), MAX_BROADCAST)
     docs = documents.select("doc_id", "tkey", "text").join(ids, ["doc_id", "tkey"], "left_semi")
 
     def run(batches):
         for b in batches:
-            d = b.to_pydict()
-            cols = [[] for _ in range(8)]
-            for i, k, t, w in zip(d["doc_id"], d["tkey"], d["text"], d["w"]):
+            get = dict(zip(b.schema.names, b.columns))
+            per_doc = get["a"].value_lengths().to_numpy()
+            flat = {c: get[c].flatten() for c in cols}
+            cuts = list(zip(flat["lo"].to_pylist(), (flat["hi"].to_numpy() + length).tolist()))
+            ctx, at = [], 0
+            for t, k in zip(get["text"].to_pylist(), per_doc.tolist()):
                 raw = t.encode("utf-8")
-                for x in w:
-                    row = (x["h"], x["n"], i, k, x["a"], x["lo"], x["hi"], raw[x["lo"]:x["hi"] + length])
-                    for c, v in zip(cols, row):
-                        c.append(v)
-            types = [pa.int64()] * 4 + [pa.int32()] * 3 + [pa.binary()]
-            yield pa.RecordBatch.from_arrays([pa.array(c, y) for c, y in zip(cols, types)],
-                                             ["h", "n", "doc_id", "tkey", "a", "lo", "hi", "ctx"])
-    return docs.join(per, ["doc_id", "tkey"]).select("doc_id", "tkey", "text", "w").mapInArrow(
-        run, "h long, n long, doc_id long, tkey long, a int, lo int, hi int, ctx binary")
+                ctx += [raw[s:e] for s, e in cuts[at:at + k]]
+                at += k
+            ids = {c: pa.array(np.repeat(get[c].to_numpy(zero_copy_only=False), per_doc)) for c in ("doc_id", "tkey")}
+            yield pa.RecordBatch.from_arrays(
+                [flat["h"], ids["doc_id"], ids["tkey"], flat["a"], flat["lo"], flat["hi"], pa.array(ctx, pa.binary())],
+                ["h", "doc_id", "tkey", "a", "lo", "hi", "ctx"])
+    return docs.join(per, ["doc_id", "tkey"]).select("doc_id", "tkey", "text", *cols).mapInArrow(
+        run, "h long, doc_id long, tkey long, a int, lo int, hi int, ctx binary")
 
 
 def column_repeats(rank: np.ndarray, left: np.ndarray, count: np.ndarray, ctx: list, length: int,
@@ -210,21 +213,25 @@ def cold_spans(ctx: DataFrame, length: int, parts: int) -> DataFrame:
 
 def hot_spans(ctx: DataFrame, length: int) -> DataFrame:
     """The same for groups of more than HOT members, by aggregation and skew joins."""
+    def key(v, name):     # two hashes with independent seeds: 128 bits
+        return [F.xxhash64(F.lit(k), v).alias(f"{name}{k}") for k in (1, 2)]
+
     who = F.struct("doc_id", "tkey", "a")
-    rows = ctx.withColumn("ck", F.md5(F.concat("ctx", F.encode(F.concat_ws(
-        ",", F.col("a") - F.col("lo"), F.col("hi") - F.col("lo")), "utf-8"))))
-    first = written(rows.groupBy("ck").agg(F.min(who).alias("first")), "suffix-context")
-    rows = written(rows.join(first, "ck").withColumn("again", who > F.col("first")), "suffix-hot")
+    shape = F.struct("ctx", F.col("a") - F.col("lo"), F.col("hi") - F.col("lo"))
+    rows = ctx.select("*", *key(shape, "c"))
+    first = written(rows.groupBy("c1", "c2").agg(F.min(who).alias("first")), "suffix-context")
+    rows = written(rows.join(first, ["c1", "c2"]).withColumn("again", who > F.col("first"))
+                   .select("doc_id", "tkey", "a", "lo", "hi", "again", F.when(~F.col("again"), F.col("ctx")).alias("ctx")),
+                   "suffix-folded")
     whole = rows.where("again").select("doc_id", "tkey", F.col("lo").alias("s"), (F.col("hi") + length).alias("e"))
-    win = (rows.where("not again").select("doc_id", "tkey", "a", "ctx", "lo",
+    win = (rows.where("not again").select("doc_id", "tkey", "a", "ctx",
                                           F.posexplode(F.sequence("lo", "hi")).alias("k", "s")))
-    win = win.select("doc_id", "tkey", "s", F.md5(F.concat(
-        F.substring(F.col("ctx"), F.col("k") + 1, F.lit(length)),
-        F.encode((F.col("a") - F.col("s")).cast("string"), "utf-8"))).alias("wk"))
+    part = F.struct(F.substring(F.col("ctx"), F.col("k") + 1, F.lit(length)), F.col("a") - F.col("s"))
+    win = win.select("doc_id", "tkey", "s", *key(part, "w"))
     at = F.struct("doc_id", "tkey", "s")
-    least = written(win.groupBy("wk").agg(F.min(at).alias("first"), F.count("*").alias("c"))
-                    .where("c > 1").select("wk", "first"), "suffix-window")
-    single = win.join(least, "wk").where(at > F.col("first")).select(
+    least = written(win.groupBy("w1", "w2").agg(F.min(at).alias("first"), F.count("*").alias("c"))
+                    .where("c > 1").select("w1", "w2", "first"), "suffix-window")
+    single = win.join(least, ["w1", "w2"]).where(at > F.col("first")).select(
         "doc_id", "tkey", "s", (F.col("s") + length).alias("e"))
     return whole.unionByName(single)
 
@@ -261,11 +268,12 @@ def repeats(documents: DataFrame, length: int = LENGTH) -> DataFrame:
     repeated = anchor_counts(docs, length)
     mine = anchor_rows(docs, length).join(broadcast_checked(repeated, MAX_BROADCAST), "h")
     # a repeated row of the table is one document: its anchors count once
-    ctx = contexts(docs, written(mine.distinct(), "suffix-anchors"), length)
+    mine = written(mine.dropDuplicates(["doc_id", "tkey", "a"]), "suffix-anchors")
     parts = max(1, int(documents.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    spans = written(cold_spans(ctx.where(F.col("n") <= HOT), length, parts), "suffix-cold")
-    if not repeated.where(F.col("n") > HOT).isEmpty():
-        spans = spans.unionByName(written(hot_spans(ctx.where(F.col("n") > HOT), length), "suffix-hot-spans"))
+    cold = contexts(docs, mine.where(F.col("n") <= HOT), length)
+    spans = written(cold_spans(cold, length, parts), "suffix-cold")
+    hot = written(contexts(docs, mine.where(F.col("n") > HOT), length), "suffix-hot")
+    spans = spans.unionByName(written(hot_spans(hot, length), "suffix-hot-spans"))
     per = spans.groupBy("doc_id", "tkey").agg(F.collect_set(F.struct("s", "e")).alias("spans"))
     flagged = copies.withColumn("copy", F.lit(True))
     same = lambda a, b: a["doc_id"].eqNullSafe(b["doc_id"]) & a["tkey"].eqNullSafe(b["tkey"])
