@@ -147,7 +147,7 @@ def _confirm(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     sb = sets.select(F.col("doc_id").alias("b"), F.col("s").alias("sb"))
     both = F.size(F.array_intersect("sa", "sb"))
     return (pairs.join(sa, "a").join(sb, "b")
-            .where(100 * both >= LINK * (F.size("sa") + F.size("sb") - both)).select("a", "b").distinct())
+            .where(100 * both >= LINK * (F.size("sa") + F.size("sb") - both)).select("a", "b", "x", "y").dropDuplicates(["a", "b"]))
 
 
 def components(documents: DataFrame) -> DataFrame:
@@ -159,41 +159,46 @@ def components(documents: DataFrame) -> DataFrame:
     buckets = written(reps.select("doc_id", F.col("n_shingles").alias("n"),
                                   F.posexplode("bands").alias("band", "key")), "near-buckets")
     shared = written(buckets.groupBy("band", "key").agg(
-        F.min(F.struct("doc_id", "n")).alias("c"), F.count("*").alias("k"))
+        F.min(F.struct("doc_id", "n", F.col("doc_id").alias("comp"))).alias("c"), F.count("*").alias("k"))
         .where("k > 1").select("band", "key", "c"), "near-shared")
-    members = written(buckets.join(shared, ["band", "key"]), "near-members")
+    # at first every document is a component of its own
+    members = written(buckets.join(shared, ["band", "key"]).withColumn("comp", F.col("doc_id")), "near-members")
     sets = written(full_sets(documents, members.select("doc_id").distinct())
                    .dropDuplicates(["doc_id", "s"]), "near-sets")
 
     near = 100 * F.least("n", "nb") >= LINK * F.greatest("n", "nb")   # length bound
 
     def pairs_of(frame: DataFrame) -> DataFrame:
-        return (frame.where("doc_id <> c.doc_id").select("doc_id", "n", F.col("c.doc_id").alias("cb"),
-                                                         F.col("c.n").alias("nb")).where(near)
-                .select(F.greatest("doc_id", "cb").alias("a"), F.least("doc_id", "cb").alias("b")).distinct())
+        """Star edges (a, b) with the components (x, y) they would join."""
+        return (frame.where("doc_id <> c.doc_id")
+                .select("doc_id", "n", F.col("c.doc_id").alias("cb"), F.col("c.n").alias("nb"),
+                        F.col("comp").alias("x"), F.col("c.comp").alias("y")).where(near)
+                .select(F.greatest("doc_id", "cb").alias("a"), F.least("doc_id", "cb").alias("b"), "x", "y")
+                .dropDuplicates(["a", "b"]))
 
     tried = written(pairs_of(members), "near-pairs")
-    links = written(_confirm(tried, sets), "near-links")
+    links = fresh = written(_confirm(tried, sets), "near-links")
     quiet, r = 0, 0
     while quiet < QUIET_ROUNDS:
         r += 1
-        comp = written(connected_components(links, f"near-cc{r}"), f"near-comp{r}")
-        m = members.select("band", "key", "doc_id", "n").join(
-            comp.select(F.col("node").alias("doc_id"), "component"), "doc_id", "left")
-        m = m.withColumn("comp", F.coalesce("component", "doc_id")).drop("component")
-        # only buckets that still hold more than one component
-        open_ = (m.groupBy("band", "key").agg(
-            F.min("comp").alias("lo"), F.max("comp").alias("hi"),
-            F.min(F.struct(F.xxhash64("doc_id", "band", F.lit(r)).alias("h"), "doc_id", "n", "comp")).alias("c"))
-            .where("lo <> hi").select("band", "key", "c"))
-        open_ = written(open_, f"near-open{r}")
+        # only the new links can join components; closed buckets (one component) never open again
+        comp = written(connected_components(fresh.select(F.col("x").alias("a"), F.col("y").alias("b")),
+                                            f"near-cc{r}"), f"near-comp{r}")
+        now = members.join(comp.withColumnRenamed("node", "comp"), "comp", "left").select(
+            "band", "key", "doc_id", "n", F.coalesce("component", "comp").alias("comp"))
+        now = written(now, f"near-now{r}")
+        centre = F.struct(F.xxhash64("doc_id", "band", F.lit(r)).alias("h"), "doc_id", "n", "comp")
+        open_ = written(now.groupBy("band", "key").agg(
+            F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.min(centre).alias("c"))
+            .where("lo <> hi").select("band", "key", "c"), f"near-open{r}")
         if open_.isEmpty():
             break
-        step = pairs_of(m.join(open_, ["band", "key"]).where("comp <> c.comp"))
-        step = written(step.join(tried, ["a", "b"], "left_anti"), f"near-pairs{r}")
-        got = written(_confirm(step, sets), f"near-links{r}")
-        quiet = quiet + 1 if got.isEmpty() else 0
-        tried, links = tried.unionByName(step), links.unionByName(got)
+        members = written(now.join(open_, ["band", "key"]), f"near-members{r}")
+        step = pairs_of(members.where("comp <> c.comp"))
+        step = written(step.join(tried.select("a", "b"), ["a", "b"], "left_anti"), f"near-pairs{r}")
+        fresh = written(_confirm(step, sets), f"near-links{r}")
+        quiet = quiet + 1 if fresh.isEmpty() else 0
+        tried, links = tried.unionByName(step), links.unionByName(fresh)
     comp = connected_components(links, "near-final")
     rep = (classes.join(comp.withColumnRenamed("node", "rep"), "rep", "left")
            .select("set_id", F.coalesce("component", "rep").alias("class_id")))
