@@ -67,7 +67,8 @@ def _furniture(name: str, attrs: str, inside_body: bool) -> bool:
 def lines_of(page: str) -> list[tuple[str, int, bool, int]]:
     """(text, weight, furniture, number of the body element or 0) per block, in page order."""
     out, parts = [], []
-    stack: list[tuple[str, bool, int]] = []   # (element, inside furniture, body element)
+    # (element, inside furniture, body element, lines before it)
+    stack: list[tuple[str, bool, int, int]] = []
     off, body, bodies, links, plain = False, 0, 0, 0, 0
 
     def flush():
@@ -115,7 +116,7 @@ def lines_of(page: str) -> list[tuple[str, int, bool, int]]:
                     hide = off or _furniture(name, attrs, bool(body))
                     if hide and not off:
                         flush()
-                    stack.append((name, hide, body))
+                    stack.append((name, hide, body, -1))
                     off = hide
             continue
         flush()
@@ -123,17 +124,19 @@ def lines_of(page: str) -> list[tuple[str, int, bool, int]]:
             continue
         if closing:
             if any(x[0] == name for x in stack):
-                while stack.pop()[0] != name:
+                while (top := stack.pop())[0] != name:
                     pass
+                if top[3] == len(out):           # an empty element is an empty line
+                    out.append(("", 0, off, body))
         else:
             if stack and stack[-1][0] == "p":
                 stack.pop()
-            over = stack[-1] if stack else ("", False, 0)
+            over = stack[-1] if stack else ("", False, 0, 0)
             inner = over[2]
             if name in BODY and not inner:
                 bodies += 1
                 inner = bodies
-            stack.append((name, over[1] or _furniture(name, attrs, bool(over[2])), inner))
+            stack.append((name, over[1] or _furniture(name, attrs, bool(over[2])), inner, len(out)))
         links = 0
         off, body = (stack[-1][1], stack[-1][2]) if stack else (False, 0)
     flush()

@@ -91,7 +91,8 @@ def votes(m: dict) -> str:
         NONE, junk(m["symbols"] > 0.05), junk(m["capitals"] > 0.5), junk(m["repeats"] > 0.2),
         junk(m["n"] >= 30 and m["richness"] < 2.5), junk(m["exclaims"] > 0.3), junk(m["loose"] > 0.2),
         junk(m["lines"] >= 4 and m["same_lines"] > 0.5),
-        good(tidy and m["richness"] > 3.5), good(tidy and 0.0 < m["stops"] < 0.3),
+        good(tidy and (m["richness"] > 3.5 or m["n"] < 30 and m["richness"] > 0.7 * m["n"] ** 0.5)),
+        good(tidy and m["stops"] > 0 and (m["stops"] < 0.3 or m["n"] < 10)),
         good(m["same_lines"] < 0.2 and m["exclaims"] < 0.05 and m["loose"] < 0.05)])
 
 
@@ -104,9 +105,12 @@ def features(m: dict):
         out[i] = out.get(i, 0.0) + 0.5
     for i in (i for cut, i in _RICH if m["n"] >= 30 and m["richness"] < cut):
         out[i] = out.get(i, 0.0) + 0.5
+    for i in (i for cut, i in _SHORT if m["n"] < cut):
+        out[i] = out.get(i, 0.0) + 0.5
     return list(out), list(out.values())
 
 
+_SHORT = [(cut, _slot(f"words {cut}")) for cut in (4, 8, 16, 30)]
 _CUTS = {name: [(cut, _slot(f"{name} {cut}")) for cut in (0.02, 0.05, 0.1, 0.2, 0.4, 0.6)]
          for name in ("symbols", "capitals", "repeats", "exclaims", "loose", "same_lines")}
 _RICH = [(cut, _slot(f"richness {cut}")) for cut in (1.5, 2.5, 3.5, 5.0)]

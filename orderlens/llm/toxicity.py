@@ -1,7 +1,8 @@
 """Toxicity by multiple-instance learning.
 
 A document is a bag of sentences.  A sentence's probability is the logistic of
-a bias and the weights of its distinct words; the document's probability is
+a bias and the weights of its distinct words (a word's weight is its own plus
+those of its prefixes of 5 to 7 letters); the document's probability is
 their noisy-or, 1 - prod(1 - p).  Weights are trained from document labels
 alone by proximal gradient steps on the bag likelihood (an L1 term keeps the
 lexicon small), so the sentences that carry a label are found on the way.
@@ -19,6 +20,7 @@ import re
 from collections import Counter
 
 import numpy as np
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -27,8 +29,11 @@ from orderlens.llm.common import map_text
 SENTENCE = re.compile(r"[.!?\n]+")
 WORD = re.compile(r"\w+")
 MAX_PER_CLASS = 4000   # labelled rows of each class that the model is fitted on
-MIN_DOCS = 5           # training documents that a word must occur in
-MAX_WORDS = 20_000     # words that can get a weight, most discriminating first
+MIN_DOCS = 8           # label-1 training documents that a word must occur in
+MIN_Z = 6.0            # least z-score of its share in label-1 against label-0 documents
+MAX_WORDS = 20_000     # words that can get a weight, highest z-score first
+PREFIXES = (5, 6, 7)
+COMMON = 20            # sentences in more documents than this don't identify copies
 THRESHOLD = 0.3
 
 
@@ -48,26 +53,48 @@ def sentences(text: str) -> list[tuple[int, int]]:
     return out
 
 
+def features(word: str) -> list[str]:
+    return [word, *("^" + word[:k] for k in PREFIXES if len(word) > k)]
+
+
+class Weights(dict):
+    """word -> summed weight of its features; bounded memo."""
+
+    def __init__(self, model: dict):
+        super().__init__()
+        self.known = model["words"]
+
+    def __missing__(self, word):
+        got = sum(self.known.get(f, 0.0) for f in features(word))
+        if len(self) < 500_000:
+            self[word] = got
+        return got
+
+
 def fit_bags(bags: list, labels: np.ndarray, weights: np.ndarray, l1: float = 2e-5,
              steps: int = 300) -> dict:
     """``bags``: per document a list of sentences, each a list of distinct words."""
     pos_df, neg_df = Counter(), Counter()
     for bag, y in zip(bags, labels):
-        (pos_df if y else neg_df).update({w for s in bag for w in s})
-    n1, n0 = labels.sum(), (1 - labels).sum()
-    usable = [w for w in pos_df if pos_df[w] + neg_df[w] >= MIN_DOCS]
-    usable.sort(key=lambda w: (-abs(math.log((pos_df[w] + 0.5) / (n1 + 1))
-                                    - math.log((neg_df[w] + 0.5) / (n0 + 1))), w))
+        (pos_df if y else neg_df).update({f for s in bag for w in s for f in features(w)})
+    n1, n0 = max(1, int(labels.sum())), max(1, int((1 - labels).sum()))
+
+    def z_score(w):
+        p1, p0 = pos_df[w] / n1, neg_df[w] / n0
+        p = (pos_df[w] + neg_df[w]) / (n1 + n0)
+        return (p1 - p0) / math.sqrt(p * (1 - p) * (1 / n1 + 1 / n0)) if p < 1 else 0.0
+    usable = sorted((-z, w) for w in pos_df if pos_df[w] >= MIN_DOCS and (z := z_score(w)) >= MIN_Z)
+    usable = [w for _, w in usable]
     index = {w: i for i, w in enumerate(usable[:MAX_WORDS])}
     sent_doc, tok_sent, tok_word = [], [], []
     for d, bag in enumerate(bags):
         for s in bag or [[]]:
             k = len(sent_doc)
             sent_doc.append(d)
-            for w in s:
-                if w in index:
+            for f in (f for w in s for f in features(w)):
+                if f in index:
                     tok_sent.append(k)
-                    tok_word.append(index[w])
+                    tok_word.append(index[f])
     sent_doc, tok_sent, tok_word = (np.array(x, dtype=np.int64) for x in (sent_doc, tok_sent, tok_word))
     n_doc, n_sent, n_word = len(bags), len(sent_doc), len(index)
     w, b = np.zeros(n_word), -6.0
@@ -94,31 +121,36 @@ def fit_bags(bags: list, labels: np.ndarray, weights: np.ndarray, l1: float = 2e
     return {"words": words, "bias": float(b)}
 
 
+def distinct_bags(bags: list) -> list[int]:
+    """Numbers of the bags left when copies are dropped: bags with the same least sentence hash,
+    over sentences of few documents, count once (copies would repeat their words as evidence)."""
+    keys = [{xxhash.xxh3_64_intdigest(" ".join(s)) for s in b} for b in bags]
+    df = Counter(k for own in keys for k in own)
+    first: dict = {}
+    for i, own in enumerate(keys):
+        first.setdefault(min((k for k in own if df[k] <= COMMON), default=min(own, default=0)), i)
+    return sorted(first.values())
+
+
 def _logistic(z: float) -> float:
     return 1 / (1 + math.exp(-z)) if z > -700 else 0.0
 
 
+def _sentence(piece: str, weights: Weights, bias: float) -> float:
+    return _logistic(bias + math.fsum(map(weights.__getitem__, set(WORD.findall(piece)))))
+
+
 def sentence_scores(text: str, model: dict) -> list[tuple[int, int, float]]:
     """(start, end, probability) of every sentence."""
-    words, bias = model["words"], model["bias"]
-    return [(s, e, _logistic(bias + sum(words.get(w, 0.0) for w in set(WORD.findall(text[s:e].lower())))))
-            for s, e in sentences(text)]
+    weights, bias = Weights(model), model["bias"]
+    return [(s, e, _sentence(text[s:e].lower(), weights, bias)) for s, e in sentences(text)]
 
 
-def document_score(text: str, model: dict) -> float:
+def document_score(text: str | None, model: dict, weights: Weights | None = None) -> float:
     """Noisy-or of the sentence probabilities (an empty text is one empty sentence)."""
-    words, bias = model["words"], model["bias"]
-    low = (text or "").lower()
-    pieces = [x for x in SENTENCE.split(low) if x] or [""]
-    plain = math.log1p(-min(_logistic(bias), 1 - 1e-12))
-    if words.keys().isdisjoint(WORD.findall(low)):
-        return -math.expm1(len(pieces) * plain)
-    total = 0.0
-    for x in pieces:
-        own = words.keys() & set(WORD.findall(x))
-        total += (math.log1p(-min(_logistic(bias + sum(words[w] for w in sorted(own))), 1 - 1e-12))
-                  if own else plain)
-    return -math.expm1(total)
+    weights, bias = weights if weights is not None else Weights(model), model["bias"]
+    pieces = [x for x in SENTENCE.split((text or "").lower()) if x] or [""]
+    return -math.expm1(math.fsum(math.log1p(-min(_sentence(x, weights, bias), 1 - 1e-12)) for x in pieces))
 
 
 def fit(documents: DataFrame, labels: DataFrame, max_per_class: int = MAX_PER_CLASS) -> dict:
@@ -143,22 +175,26 @@ def fit(documents: DataFrame, labels: DataFrame, max_per_class: int = MAX_PER_CL
     docs = documents.select("doc_id", "text").join(chosen, "doc_id")
     got = map_text(docs, ["doc_id", "toxic"], "text", start, [("bag", "string")]).collect()
     got.sort(key=lambda r: (r["doc_id"], r["toxic"], r["bag"]))
-    y = np.array([r["toxic"] for r in got])
+    bags = [[s.split(" ") if s else [] for s in r["bag"].split("\n")] for r in got]
+    left = distinct_bags(bags)
+    bags, y = [bags[i] for i in left], np.array([got[i]["toxic"] for i in left])
     if len(set(y.tolist())) < 2:
         return {"words": {}, "bias": -1e9 if not y.sum() else 20.0}
     share = {c: totals[c] / max(1, (y == c).sum()) for c in (0, 1)}
     weight = np.array([share[int(c)] for c in y])
-    return fit_bags([[s.split(" ") if s else [] for s in r["bag"].split("\n")] for r in got], y, weight)
+    return fit_bags(bags, y, weight)
 
 
 def score(documents: DataFrame, model: dict) -> DataFrame:
     """(doc_id, score, worst_start, worst_end): noisy-or score and the likeliest offending sentence
     (null unless the score reaches the threshold)."""
     def start():
+        weights = Weights(model)
+
         def f(texts):
             scores, first, last = [], [], []
             for t in texts:
-                s = document_score(t, model)
+                s = document_score(t, model, weights)
                 scores.append(s)
                 worst = max(sentence_scores(t, model), key=lambda x: (x[2], -x[0]),
                             default=None) if s >= THRESHOLD and t else None
