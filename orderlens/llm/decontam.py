@@ -119,10 +119,11 @@ def scan(documents: DataFrame, benchmark: DataFrame, window: int = WINDOW,
     start, n = F.col("pos") - F.col("off"), F.size("gids")
     cand = cand.where((start >= 0) & (start + F.col("len") <= F.col("n_words"))
                       & (F.col("at") >= F.col("off")) & (F.col("at") - F.col("off") + n <= F.size("h")))
-    part = F.slice("h", F.col("at") - F.col("off") + 1, n)
+    # the bounds above may be evaluated after these: both stay valid for any row
+    part = F.slice("h", F.greatest(F.col("at") - F.col("off") + 1, F.lit(1)), n)
     same = ((F.transform(part, lambda x: x["gid"]) == F.col("gids"))
-            & (F.element_at(part, 1)["pos"] == start)
-            & (F.element_at(part, n)["pos"] == start + n - 1))
+            & (F.get(part, F.lit(0))["pos"] == start)
+            & (F.get(part, n - 1)["pos"] == start + n - 1))
     found = written(cand.where(same).select("doc_id", "tkey", "wid", start.alias("start"), "len")
                     .distinct(), "decontam-found")
     spans = found.groupBy("doc_id", "tkey").agg(
