@@ -106,10 +106,14 @@ def month_name(c: str | Column, names: Sequence[str] = MONTH_NAMES_ES) -> Column
 
 
 def with_na_token(c: str | Column, token: str = NA_TOKEN) -> Column:
-    """Missing (null or NaN) to a visible token, everything as text."""
+    """Missing (null or NaN) to a visible token, everything as text.
+
+    NaN is a missing number; the text "NaN" in a string column is a value.
+    """
     col = _col(c)
     as_text = col.cast("string")
-    return F.when(col.isNull() | (as_text == "NaN"), F.lit(token)).otherwise(as_text)
+    nan = F.typeof(col).isin("double", "float") & (as_text == "NaN")
+    return F.when(col.isNull() | nan, F.lit(token)).otherwise(as_text)
 
 
 def clean_text(c: str | Column) -> Column:

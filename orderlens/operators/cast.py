@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from orderlens.config import CastConfig
-from orderlens.functions.scalar import to_numeric, to_timestamp_lenient
+from orderlens.functions.scalar import to_numeric_typed, to_timestamp_lenient
 
 log = logging.getLogger(__name__)
 
@@ -51,7 +51,7 @@ def validate_and_cast(df: DataFrame, config: CastConfig) -> DataFrame:
             if col not in types:
                 continue
             if dtype.startswith("float") or dtype == "double":
-                exprs[col] = to_numeric(col)
+                exprs[col] = to_numeric_typed(col, schema[col])
             else:
                 strict[col] = dtype
         if strict:

@@ -90,8 +90,8 @@ def value_shares(df: DataFrame, col: str) -> DataFrame:
 
 
 def category_counts(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """Counts of every (variable, value) in one job (A5)."""
-    return (unpivot(df, cols).groupBy("variable", "value")
+    """Counts of every (variable, value) in one job (A5); missing values are no level."""
+    return (unpivot(df, cols).filter(F.col("value").isNotNull()).groupBy("variable", "value")
             .agg(F.count(F.lit(1)).alias("n")))
 
 

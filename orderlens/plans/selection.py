@@ -19,6 +19,7 @@ from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from orderlens.operators import association as A
 from orderlens.operators.profile import capture_variables
@@ -51,6 +52,13 @@ class DateFeatures(Transformer, DefaultParamsReadable, DefaultParamsWritable):
         return out.drop(*cols) if self.getOrDefault(self.dropOriginal) else out
 
 
+def _column(columns: list[str], ref: str) -> str | None:
+    """A column by name, else by position given as digits."""
+    if ref in columns:
+        return ref
+    return columns[int(ref)] if ref.isdigit() and int(ref) < len(columns) else None
+
+
 def date_feature_names(cols) -> list[str]:
     return [n for c in cols for n in (f"{c}_day_of_week", f"{c}_quarter")]
 
@@ -62,12 +70,12 @@ class _CramerParams(Params):
     threshold = _p("threshold", "V at or above which a partner is redundant", TypeConverters.toFloat)
     selectionMethod = _p("selectionMethod", "first | cardinality | importance",
                          TypeConverters.toString)
-    maxPairLevels = _p("maxPairLevels", "skip pairs whose level product is larger",
-                       TypeConverters.toInt)
     naToken = _p("naToken", "token for missing values", TypeConverters.toString)
     discreteMaxCardinality = _p("discreteMaxCardinality",
                                 "numeric columns with at most this many levels are evaluated "
                                 "when variables is empty", TypeConverters.toInt)
+    includeDiscrete = _p("includeDiscrete", "evaluate few-level numeric columns when variables is empty",
+                         TypeConverters.toBoolean)
     importance = _p("importance", "importance per variable, same order as variables",
                     TypeConverters.toListFloat)
 
@@ -76,72 +84,59 @@ class CramersVSelector(Estimator, _CramerParams, DefaultParamsReadable, DefaultP
     """Drop categoricals that are redundant by bias-corrected Cramér's V.
 
     Order 'first' keeps the given order, 'cardinality' sorts by
-    (levels, name), 'importance' by descending importance.  Walking that
-    order, each kept column drops every partner with V >= threshold that is
-    not already kept.  Pairs above ``maxPairLevels`` stay undecided (F9c).
-    The reference's 100,000-row sample (F9d) is not applied: the counts
-    are exact over all rows.
+    (levels, name), 'importance' by descending importance.  In that order a
+    column stays unless one kept before it has V >= threshold.  The counts
+    are exact over all rows, for any number of levels.
     """
 
     def __init__(self, variables=None, threshold=0.8, selectionMethod="cardinality",
-                 maxPairLevels=200_000, naToken="__NA__", discreteMaxCardinality=30,
-                 importance=None):
+                 naToken="__NA__", discreteMaxCardinality=30, importance=None, includeDiscrete=True):
         super().__init__()
-        self._setDefault(variables=[], threshold=0.8, selectionMethod="cardinality",
-                         maxPairLevels=200_000, naToken="__NA__", discreteMaxCardinality=30,
-                         importance=[])
+        self._setDefault(variables=[], threshold=0.8, selectionMethod="cardinality", naToken="__NA__",
+                         discreteMaxCardinality=30, importance=[], includeDiscrete=True)
         self._set(variables=variables or [], threshold=threshold, selectionMethod=selectionMethod,
-                  maxPairLevels=maxPairLevels, naToken=naToken,
-                  discreteMaxCardinality=discreteMaxCardinality, importance=importance or [])
+                  naToken=naToken, discreteMaxCardinality=discreteMaxCardinality,
+                  importance=importance or [], includeDiscrete=includeDiscrete)
 
     def resolve_variables(self, df: DataFrame) -> list[str]:
-        """Names or positions -> names (F9a); automatic pick when empty."""
-        cols = df.columns
-        given = self.getOrDefault(self.variables)
-        if given:
-            out, bad = [], []
-            for v in given:
-                if v in cols:
-                    out.append(v)
-                elif v.isdigit() and int(v) < len(cols):
-                    out.append(cols[int(v)])
-                else:
-                    bad.append(v)
-            if bad:
-                raise ValueError(f"variables not found / out of range: {bad}")
-            return list(dict.fromkeys(out))
-        types = dict(df.dtypes)
-        cats = [c for c in cols if types[c] in ("string", "boolean")]
-        nums = [c for c in cols if c not in cats and (types[c] in (
-            "tinyint", "smallint", "int", "bigint", "float", "double")
-            or types[c].startswith("decimal"))]
-        limit = self.getOrDefault(self.discreteMaxCardinality)
-        levels = A.distinct_counts(df, nums, self.getOrDefault(self.naToken)) if nums else {}
-        out = list(dict.fromkeys(cats + [c for c in nums if levels[c] <= limit]))
-        if not out:
-            raise ValueError("no categorical or discrete variables found")
-        return out
+        """The named or numbered columns (F9a); without any, the text and boolean
+        columns and, unless switched off, numeric ones of few levels (F9b)."""
+        wanted = self.getOrDefault(self.variables)
+        found = [_column(df.columns, v) for v in wanted] if wanted else self._automatic(df)
+        unknown = [v for v, c in zip(wanted, found) if c is None]
+        if unknown or not found:
+            raise ValueError(f"no such columns: {unknown}" if unknown else
+                             "no text, boolean or few-level numeric column to select from")
+        return list(dict.fromkeys(found))
+
+    def _automatic(self, df: DataFrame) -> list[str]:
+        kinds = {f.name: f.dataType for f in df.schema.fields}
+        text = [c for c, t in kinds.items() if isinstance(t, (T.StringType, T.BooleanType))]
+        numeric = [c for c, t in kinds.items() if isinstance(t, T.NumericType)]
+        if not numeric or not self.getOrDefault(self.includeDiscrete):
+            return text
+        levels = A.distinct_counts(df, numeric, self.getOrDefault(self.naToken))
+        return text + [c for c in numeric if levels[c] <= self.getOrDefault(self.discreteMaxCardinality)]
+
+    def _order(self, df: DataFrame, variables: list[str]) -> list[str]:
+        """Columns by preference: as given, fewest levels first, or most important first."""
+        method, weight = self.getOrDefault(self.selectionMethod), self.getOrDefault(self.importance)
+        if method == "importance" and not weight:
+            raise ValueError("selection by importance needs the importance values")
+        given = dict(zip(variables, weight))
+        keys = {"first": lambda: variables.index,
+                "cardinality": lambda: (lambda n: lambda c: (n[c], c))(
+                    A.distinct_counts(df, variables, self.getOrDefault(self.naToken))),
+                "importance": lambda: lambda c: -given.get(c, float("-inf"))}
+        if method not in keys:
+            raise ValueError(f"unknown selectionMethod {method!r}; known: {sorted(keys)}")
+        return sorted(variables, key=keys[method]())
 
     def _fit(self, df: DataFrame) -> "CramersVSelectorModel":
         variables = self.resolve_variables(df)
-        token = self.getOrDefault(self.naToken)
-        matrix = A.cramers_v_matrix(df, variables, na_token=token,
-                                    max_pair_levels=self.getOrDefault(self.maxPairLevels))
+        order = self._order(df, variables)
+        matrix = A.cramers_v_matrix(df, variables, na_token=self.getOrDefault(self.naToken))
         assoc = {(r["var_a"], r["var_b"]): r["cramers_v"] for r in matrix.collect()}
-        method = self.getOrDefault(self.selectionMethod)
-        if method == "first":
-            order = list(variables)
-        elif method == "cardinality":
-            levels = A.distinct_counts(df, variables, token)
-            order = sorted(variables, key=lambda c: (levels[c], c))
-        elif method == "importance":
-            imp = self.getOrDefault(self.importance)
-            if not imp:
-                raise ValueError("importance is required when selectionMethod='importance'")
-            score = dict(zip(variables, imp))
-            order = sorted(variables, key=lambda c: -score.get(c, float("-inf")))
-        else:
-            raise ValueError(f"invalid selectionMethod: {method}")
         kept, dropped_set = A.greedy_redundancy(order, assoc, self.getOrDefault(self.threshold))
         dropped = [c for c in variables if c in set(dropped_set)]
         model = CramersVSelectorModel(featuresToDrop=dropped, featuresToKeep=kept,
@@ -158,8 +153,8 @@ class CramersVSelectorModel(Model, _CramerParams, DefaultParamsReadable, Default
     def __init__(self, featuresToDrop=None, featuresToKeep=None, evaluated=None):
         super().__init__()
         self._setDefault(featuresToDrop=[], featuresToKeep=[], evaluated=[], variables=[],
-                         threshold=0.8, selectionMethod="cardinality", maxPairLevels=200_000,
-                         naToken="__NA__", discreteMaxCardinality=30, importance=[])
+                         threshold=0.8, selectionMethod="cardinality",
+                         naToken="__NA__", discreteMaxCardinality=30, importance=[], includeDiscrete=True)
         self._set(featuresToDrop=featuresToDrop or [], featuresToKeep=featuresToKeep or [],
                   evaluated=evaluated or [])
         self.association_ = None

@@ -7,7 +7,7 @@
 * Continuous features: median ``Imputer`` (trees here have no native
   missing-value handling).
 * Classifier: boosted trees one-vs-rest (:class:`OneVsRestBoost`) with
-  validation early stopping and best-round truncation (M1-M3), or a
+  validation early stopping and best-round truncation (M1-M3, patience on the validation loss), or a
   ``RandomForestClassifier`` (native multiclass probabilities).
 * Balanced row weights n/(k*n_class) on TRAIN rows, 1.0 on validation rows
   (F15).
@@ -21,7 +21,7 @@ from __future__ import annotations
 import json
 import logging
 import math
-from dataclasses import asdict, dataclass
+from dataclasses import asdict, dataclass, replace
 
 from pyspark import StorageLevel
 from pyspark.ml import Estimator, Model, Pipeline, PipelineModel
@@ -32,7 +32,7 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.ml.util import (DefaultParamsReader, DefaultParamsWriter, MLReadable, MLReader,
                              MLWritable, MLWriter)
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from orderlens.operators.split import balanced_weights
@@ -44,9 +44,9 @@ log = logging.getLogger(__name__)
 class BoostParams:
     """Boosting settings (M1/M4).  Reference values: 3000 rounds, rate 0.05,
     depth 6, min child weight 3, row sample 0.8, column sample 0.8, seed 42,
-    early stop after 50 rounds without gain.  Spark GBT stops on a tolerance
-    instead of a patience count; ``min_instances_per_node`` counts rows, not
-    Hessian weight."""
+    early stop after 50 rounds without gain.  ``min_instances_per_node`` counts
+    rows, not Hessian weight.  ``max_bins`` is a least value: it follows the
+    largest number of levels of a categorical feature."""
 
     max_iter: int = 3000
     step_size: float = 0.05
@@ -55,7 +55,7 @@ class BoostParams:
     subsampling_rate: float = 0.8
     feature_subset: str = "0.8"
     seed: int = 42
-    validation_tol: float = 0.01
+    patience: int = 50
     max_bins: int = 32
     classifier: str = "gbt"  # or "rf"
     num_trees: int = 100  # random forest only
@@ -79,8 +79,27 @@ class _OvrParams(Params):
     paramsJson = _p("paramsJson", "BoostParams as JSON", TypeConverters.toString)
 
 
+def grow_with_patience(grow, validation: DataFrame, bp: BoostParams):
+    """(model of the best validation round, losses per round).
+
+    Boosting here has no warm start, but its rounds do not depend on the round
+    limit (seeded per round).  So the limit doubles until the best round lies
+    ``patience`` rounds back, at most twice the work of one long run, and the
+    model is grown once more to exactly the best round.
+    """
+    rounds = min(bp.max_iter, bp.patience + 14)
+    while True:
+        model = grow(rounds)
+        losses = list(model.evaluateEachIteration(validation))
+        best = min(range(len(losses)), key=lambda i: (losses[i], i)) + 1
+        if best + bp.patience <= rounds or rounds >= bp.max_iter:
+            break
+        rounds = min(bp.max_iter, 2 * rounds)
+    return (model if best == rounds else grow(best)), losses
+
+
 class OneVsRestBoost(Estimator, _OvrParams):
-    """One GBT per class (label == c vs rest), each with validation early stopping.
+    """One GBT per class (label == c vs rest), each stopped by patience on the validation loss.
 
     PySpark's OneVsRest passes only label/features/weight to the binary
     learner, so a validation indicator would never reach it; this loop
@@ -108,25 +127,31 @@ class OneVsRestBoost(Estimator, _OvrParams):
         k = g(self.numClasses) or int(df.agg(F.max(label)).first()[0]) + 1
         cols = [label, feats] + [c for c in (wcol, vcol) if c]
         data = df.select(*cols).persist(StorageLevel.MEMORY_AND_DISK)
-        models = []
+        models, history = [], []
         try:
             for c in range(k):
                 extra = {}
                 if wcol:
                     extra["weightCol"] = wcol
-                if vcol:
-                    extra.update(validationIndicatorCol=vcol, validationTol=bp.validation_tol)
-                gbt = GBTClassifier(
-                    featuresCol=feats, labelCol="_bin", maxIter=bp.max_iter, stepSize=bp.step_size,
-                    maxDepth=bp.max_depth, minInstancesPerNode=bp.min_instances_per_node,
-                    subsamplingRate=bp.subsampling_rate, featureSubsetStrategy=bp.feature_subset,
-                    seed=bp.seed, maxBins=bp.max_bins, **extra)
                 binary = data.withColumn("_bin", (F.col(label) == c).cast("double"))
-                models.append(gbt.fit(binary))
+                rows = binary.filter(~F.col(vcol)) if vcol else binary
+
+                def grow(rounds, rows=rows, extra=extra):
+                    return GBTClassifier(
+                        featuresCol=feats, labelCol="_bin", maxIter=rounds, stepSize=bp.step_size,
+                        maxDepth=bp.max_depth, minInstancesPerNode=bp.min_instances_per_node,
+                        subsamplingRate=bp.subsampling_rate, featureSubsetStrategy=bp.feature_subset,
+                        seed=bp.seed, maxBins=bp.max_bins, **extra).fit(rows)
+                model, losses = (grow_with_patience(grow, binary.filter(F.col(vcol)), bp) if vcol
+                                 else (grow(bp.max_iter), []))
+                models.append(model)
+                history.append(losses)
                 log.info("class %d: %d trees", c, models[-1].getNumTrees)
         finally:
             data.unpersist()
-        return self._copyValues(OneVsRestBoostModel(models))
+        out = self._copyValues(OneVsRestBoostModel(models))
+        out.validation_losses = history
+        return out
 
 
 class OneVsRestBoostModel(Model, _OvrParams, MLWritable, MLReadable):
@@ -236,6 +261,10 @@ def train_model(train: DataFrame, val: DataFrame, label: str, categorical: list[
     v = prep.transform(val).withColumn("weight", F.lit(1.0)).withColumn("is_val", F.lit(True))
     fit_df = t.unionByName(v.select(*t.columns))
     k = len(prep.stages[-2].labels)
+    # trees need a bin per level of a categorical feature (and one for unseen levels)
+    levels = [len(x) + 1 for st in prep.stages if st.hasParam("outputCols") and hasattr(st, "labelsArray")
+              for x in st.labelsArray]
+    params = replace(params, max_bins=max([params.max_bins, *levels]))
     if params.classifier == "rf":
         clf = RandomForestClassifier(
             featuresCol="features", labelCol="label_idx", weightCol="weight",
@@ -286,17 +315,20 @@ def predict(model: PipelineModel, df: DataFrame, categorical: list[str],
                             "confidence": F.array_max("probabilities")})
 
 
+def _exists(path: str) -> bool:
+    spark = SparkSession.active()
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
+
+
 def ensure_model(path: str, train_fn) -> PipelineModel:
     """Load the stored model, training it first when absent; recheck after (M5)."""
-    try:
-        return PipelineModel.load(path)
-    except Exception:  # noqa: BLE001 - absent or unreadable: train
+    if not _exists(path):
         log.info("no model at %s; training", path)
-    train_fn()
-    try:
-        return PipelineModel.load(path)
-    except Exception as exc:  # noqa: BLE001
-        raise RuntimeError(f"model not available at {path} after training") from exc
+        train_fn()
+        if not _exists(path):
+            raise RuntimeError(f"model not available at {path} after training")
+    return PipelineModel.load(path)   # a model that is there but unreadable is an error, not a retrain
 
 
 def uniform_log_loss(k: int) -> float:

@@ -49,7 +49,7 @@ class WorkflowConfig:
     seed: int = 42
     id_pattern: str = "_id"
     boost: BoostParams = field(default_factory=BoostParams)
-    sample_size: int = 50
+    sample_size: int | None = 50
     model_version: str = "1"
 
 
@@ -127,9 +127,9 @@ def metrics_table(spark: SparkSession, fitted: Fitted, cfg: WorkflowConfig) -> D
 
 
 def score_sample(spark: SparkSession, fitted: Fitted, cfg: WorkflowConfig, rules=None):
-    """Step 6: seeded test sample -> scored rows, quarantine, summary, distributions."""
+    """Step 6: TEST split, or a seeded sample of it (I5) -> scored rows, quarantine, summary, distributions."""
     test = fitted.splits["test"]
-    sample = sample_rows(test, cfg.sample_size, [cfg.schema.key], cfg.seed)
+    sample = test if cfg.sample_size is None else sample_rows(test, cfg.sample_size, [cfg.schema.key], cfg.seed)
     scored, bad = predict_batch(fitted.model, sample, rules, fitted.categorical,
                                 fitted.continuous, cfg.model_version)
     results = scored.select(cfg.schema.key, cfg.schema.label, "predicted_class", "confidence",

@@ -125,12 +125,13 @@ def write_processed(df: DataFrame, path: str, *, fail_if_empty: bool = True,
 
     No ``coalesce(1)``: every task writes its own part file.
     """
-    if fail_if_empty and df.isEmpty():
-        raise ValueError("refusing to write an empty DataFrame")
     writer = df.write.mode(mode)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.parquet(path)
+    # looked at after the write: the result is computed once, this reads a footer
+    if fail_if_empty and df.sparkSession.read.schema(df.schema).parquet(path).isEmpty():
+        raise ValueError("the result written is an empty DataFrame")
     return path
 
 

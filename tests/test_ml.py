@@ -92,6 +92,24 @@ def test_train_learns_and_persists(data, spark, scratch, kind):
         assert isinstance(ovr, OneVsRestBoostModel) and len(ovr.models) == 3
 
 
+def test_patience_keeps_the_best_round(data, spark):
+    parts, sel = data
+    cats, conts = sel.getOrDefault(sel.categoricalCols), sel.getOrDefault(sel.continuousCols)
+    params = BoostParams(max_iter=12, patience=4, step_size=0.3, max_depth=3)
+    ovr = train_model(parts["train"], parts["val"], "target", cats, conts, params).stages[-1]
+    for model, losses in zip(ovr.models, ovr.validation_losses):
+        best = losses.index(min(losses)) + 1
+        assert model.getNumTrees == best > 1
+        assert min(losses) < losses[0]
+
+
+def test_many_levels_train(data, spark):
+    parts, _ = data
+    wide = {k: parts[k].withColumn("city", F.concat(F.lit("c"), F.pmod(F.xxhash64(*parts[k].columns), F.lit(60))))
+            for k in ("train", "val")}
+    train_model(wide["train"], wide["val"], "target", ["city"], [], BoostParams(max_iter=1, max_depth=2))
+
+
 def test_unseen_class_raises(data, spark):
     parts, sel = data
     cats = sel.getOrDefault(sel.categoricalCols)

@@ -132,3 +132,16 @@ def test_nan_is_not_a_number(spark):
     assert math.isnan(float("nan"))
     df = spark.createDataFrame([(float("nan"),), (1.0,)], "x double")
     assert df.select(F.sum(F.nanvl("x", F.lit(None).cast("double")))).first()[0] == 1.0
+
+
+def test_numbers_and_text_keep_their_values(spark):
+    from orderlens.config import CastConfig
+    from orderlens.functions.scalar import with_na_token
+    from orderlens.operators.cast import validate_and_cast
+    from orderlens.operators.profile import category_counts
+    df = spark.createDataFrame([(float("inf"), "NaN"), (1.5, None)], "x double, t string")
+    got = validate_and_cast(df, CastConfig(dtype_map={"x": "float64"})).collect()
+    assert sorted(r["x"] for r in got) == [1.5, float("inf")]
+    assert {r[0] for r in df.select(with_na_token("t")).collect()} == {"NaN", "__NA__"}
+    assert {r[0] for r in df.select(with_na_token(F.nanvl("x", F.lit(0.0)))).collect()} == {"Infinity", "1.5"}
+    assert [r["value"] for r in category_counts(df, ["t"]).collect()] == ["NaN"]
