@@ -266,11 +266,12 @@ def _range_of(df: DataFrame, col: str) -> DataFrame:
                   F.count(col).alias("_n"))
 
 
-def _bin_index(v: Column, mn: Column, mx: Column, bins: int) -> Column:
+def _bin_index(v: Column, mn: Column, mx: Column, bins: int | Column) -> Column:
     """1..bins, equal width; the maximum falls in the last bin."""
     width = (mx - mn)
-    raw = F.floor((v - mn) / width * F.lit(bins)) + 1
-    return F.when(width == 0, F.lit(1)).otherwise(F.least(raw, F.lit(bins))).cast("int")
+    bins = bins if isinstance(bins, Column) else F.lit(bins)
+    raw = F.floor((v - mn) / width * bins) + 1
+    return F.when(width == 0, F.lit(1)).otherwise(F.least(raw, bins)).cast("long")
 
 
 def histogram(df: DataFrame, col: str, bins: int = 25) -> DataFrame:
@@ -308,9 +309,11 @@ def ecdf(df: DataFrame, col: str, *, buckets: int = 1000) -> DataFrame:
         F.col("value").isNotNull() & ~F.isnan("value"))
     per_value = vals.groupBy("value").agg(F.count(F.lit(1)).alias("n"))
     probs = [i / buckets for i in range(1, buckets)]
-    # bounds: one sketch aggregate, used as a scalar subquery (no literal copies)
-    bounds = per_value.select(F.array_sort(F.array_distinct(
-        F.percentile_approx("value", probs, 10_000)))).scalar()
+    # bounds: one sketch aggregate, read out once (B - 1 numbers) so that the offsets and the
+    # result use the same ranges whatever order the sketch merges in
+    found = per_value.select(F.array_sort(F.array_distinct(
+        F.percentile_approx("value", probs, 10_000)))).first()[0]
+    bounds = df.sparkSession.createDataFrame([(found or [],)], "b array<double>").scalar()
     keyed = with_bucket(per_value.withColumn("_b", bounds), "value", "_b", buckets).drop("_b")
     totals = {r["_bk"]: r["t"] for r in keyed.groupBy("_bk").agg(F.sum("n").alias("t")).collect()}
     offsets, run = [], 0
@@ -333,11 +336,11 @@ def kde(df: DataFrame, col: str, *, grid_size: int = 200, bins: int = 2048,
     """Gaussian kernel density on a fixed grid.
 
     Scott's bandwidth h = std * n^(-1/5) * bw_adjust, grid from
-    min - cut*h to max + cut*h.  Values are first binned into ``bins``
-    equal-width bins (one partial-aggregating pass), then each non-empty
-    bin spreads its count over the grid through an array expression: cost
-    is bins x grid, independent of the row count.  Binning error is below
-    (bin width / h)^2 / 24 relative.
+    min - cut*h to max + cut*h.  Values are first binned into equal-width
+    bins (one partial-aggregating pass): ``bins`` of them, or as many as keep
+    a bin at an eighth of the bandwidth where the range is long.  Each
+    non-empty bin spreads its count over the grid through an array
+    expression.  Binning error is below (bin width / h)^2 / 24 relative.
     """
     vals = df.select(F.col(col).cast("double").alias("v")).filter(
         F.col("v").isNotNull() & ~F.isnan("v"))
@@ -346,8 +349,9 @@ def kde(df: DataFrame, col: str, *, grid_size: int = 200, bins: int = 2048,
                                 F.stddev_samp("v").alias("sd"))).scalar()
     mn, mx, n, sd = summ["mn"], summ["mx"], summ["n"], summ["sd"]
     h = sd * F.pow(n.cast("double"), F.lit(-0.2)) * F.lit(bw_adjust)
-    bw = (mx - mn) / F.lit(bins)
-    binned = vals.withColumn("bin", _bin_index(F.col("v"), mn, mx, bins))
+    nb = F.greatest(F.lit(bins).cast("long"), F.ceil((mx - mn) / h * F.lit(8)))
+    bw = (mx - mn) / nb
+    binned = vals.withColumn("bin", _bin_index(F.col("v"), mn, mx, nb))
     centers = binned.groupBy("bin").agg(F.count(F.lit(1)).alias("c")).withColumns({
         "center": F.when(mx == mn, mn).otherwise(mn + (F.col("bin") - F.lit(0.5)) * bw),
         "_h": h, "_n": n})

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -22,15 +22,38 @@ def hash_order(key_cols: Sequence[str], seed: int) -> F.Column:
     return F.md5(F.concat_ws("|", *parts))
 
 
-def _cut_targets(stats: dict, cut1: int, cut2: int):
-    """0-based ranks of the last train row and the last val row per class."""
-    targets, classes = {}, []
-    for i, (g, r) in enumerate(stats.items()):
-        n = r["n"]
-        targets[f"{i}:1"] = (g, (cut1 * n) // 10 - 1)
-        targets[f"{i}:2"] = (g, (cut2 * n) // 10 - 1)
-        classes.append((i, g[0]))
-    return targets, classes
+def _below_equal(df: DataFrame, marks: dict) -> dict:
+    """{target: (rows below, rows equal)} for {target: (group condition, column, value)}, one aggregate."""
+    if not marks:
+        return {}
+    exprs = []
+    for i, (cond, c, v) in enumerate(marks.values()):
+        exprs += [F.count(F.when(cond & (F.col(c) < v), 1)).alias(f"b{i}"),
+                  F.count(F.when(cond & (F.col(c) == v), 1)).alias(f"e{i}")]
+    row = df.agg(*exprs).first()
+    return {t: (row[f"b{i}"], row[f"e{i}"]) for i, t in enumerate(marks)}
+
+
+def _cut_points(narrow: DataFrame, label: str, cuts: Sequence[int]) -> dict:
+    """{class: [(h, r, m) per cut]}: rows of the class with _h < h, or _h = h and _r < r, or the
+    first m copies at (h, r), lie before the cut.  r is infinite where the cut splits no tie."""
+    stats = group_stats(narrow, "_h", [label])
+    targets = {(g, j): (g, (c * r["n"]) // 10 - 1) for g, r in stats.items() for j, c in enumerate(cuts)}
+    init = {g: (r["n"], r["mn"], r["mx"]) for g, r in stats.items()}
+    h = select_kth(narrow, "_h", targets, [label], init=init) if targets else {}
+    cls = {g: F.col(label) == F.lit(g[0]) for g in stats}
+    at_h = _below_equal(narrow, {t: (cls[t[0]], "_h", v) for t, v in h.items() if v is not None})
+    # rows still wanted out of those that tie on _h (repeated keys only)
+    need = {t: targets[t][1] + 1 - below for t, (below, equal) in at_h.items()
+            if targets[t][1] + 1 - below < equal}
+    r = {}
+    if need:
+        tied = narrow.filter(F.col("_h").isin(sorted({h[t] for t in need})))
+        r = select_kth(tied, "_r", {t: ((t[0][0], h[t]), n - 1) for t, n in need.items()}, [label, "_h"])
+    at_r = _below_equal(narrow, {t: (cls[t[0]] & (F.col("_h") == h[t]), "_r", v) for t, v in r.items()})
+    inf = float("inf")
+    return {g[0]: [(h.get((g, j)), r.get((g, j), inf), need[(g, j)] - at_r[(g, j)][0] if (g, j) in r else None)
+                   for j in range(len(cuts))] for g in stats}
 
 
 def stratified_split(df: DataFrame, label: str, key_cols: Sequence[str], seed: int = 42, *,
@@ -39,60 +62,61 @@ def stratified_split(df: DataFrame, label: str, key_cols: Sequence[str], seed: i
                      split_col: str = "split") -> DataFrame:
     """Add ``split`` so every class is cut exactly 60/20/20.
 
-    Rows are ordered inside each class by (md5(seed|key), key); position p
+    Rows are ordered inside each class by md5(seed|key); position p
     (1-based) of a class of size n goes to train when 10*p <= 6n, to val
     when 10*p <= 8n, else test.  Instead of numbering rows (a sort, and a
-    third of the data in one task for a big class), the two cut rows per
-    class are found by exact selection (a few counting passes), and every
-    row is then compared with its class's cuts - a broadcast of one row
-    per class.  Rows with a missing label are left out (no class to
-    stratify on).
+    third of the data in one task for a big class), the cuts of each class
+    are found by exact selection (a few counting passes), and every row is
+    then compared with its class's cuts - a broadcast of one row per class.
+
+    Keys may repeat: rows that tie with a cut are ordered by a hash of the
+    whole row, and equal rows at the cut are counted out, so the sizes stay
+    exact.  Rows with a missing label are left out (no class to stratify on).
     """
     if sum(tenths) != 10:
         raise ValueError("tenths must add up to 10")
     if label not in df.columns:
         raise KeyError(f"target column {label!r} not found")
-    key_cols = list(key_cols)
-    cut1, cut2 = tenths[0], tenths[0] + tenths[1]
+    md5 = hash_order(list(key_cols), seed)
+    hashable = [f.name for f in df.schema.fields if "map<" not in f.dataType.simpleString()]
+    # 52-bit hashes: exact as doubles; _h keeps the order of the hex text
     ordered = (df.filter(F.col(label).isNotNull())
-               .withColumn("_md5", hash_order(key_cols, seed))
-               # 52-bit prefix of the hash: exact as a double, same order as the hex text
-               .withColumn("_h", F.conv(F.substring("_md5", 1, 13), 16, 10).cast("double")))
-    # the counting passes read a narrow copy with the hash computed once
-    narrow = ordered.select(label, "_h", "_md5", *key_cols).persist(StorageLevel.MEMORY_AND_DISK)
+               .withColumn("_h", F.conv(F.substring(md5, 1, 13), 16, 10).cast("double"))
+               .withColumn("_r", F.shiftrightunsigned(F.xxhash64(*hashable), 12).cast("double")))
+    # the counting passes read a narrow copy with the hashes computed once
+    narrow = ordered.select(label, "_h", "_r").persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        stats = group_stats(narrow, "_h", [label])
-        targets, classes = _cut_targets(stats, cut1, cut2)
-        init = {g: (r["n"], r["mn"], r["mx"]) for g, r in stats.items()}
-        cuts = select_kth(narrow, "_h", targets, [label], payload=["_md5", *key_cols],
-                          init=init) if targets else {}
+        points = _cut_points(narrow, label, (tenths[0], tenths[0] + tenths[1]))
     finally:
         narrow.unpersist()
-    types = {f.name: f.dataType for f in df.schema.fields}
-    fields = [T.StructField(label, types[label])]
-    for j in (1, 2):
-        fields += [T.StructField(f"_c{j}_h", T.DoubleType()), T.StructField(f"_c{j}_m", T.StringType())]
-        fields += [T.StructField(f"_c{j}_k{i}", types[k]) for i, k in enumerate(key_cols)]
-    rows = []
-    for i, g in classes:
-        row = [g]
-        for j in (1, 2):
-            c = cuts.get(f"{i}:{j}")
-            row += list(c) if c is not None else [None] * (2 + len(key_cols))
-        rows.append(tuple(row))
+    fields = [df.schema[label]]
+    for j in (0, 1):
+        fields += [T.StructField(f"_h{j}", T.DoubleType()), T.StructField(f"_r{j}", T.DoubleType()),
+                   T.StructField(f"_m{j}", T.LongType())]
+    rows = [(g, *[x for cut in cuts for x in cut]) for g, cuts in points.items()]
     thr = df.sparkSession.createDataFrame(rows, T.StructType(fields))
     thr = F.broadcast(thr) if len(rows) <= BROADCAST_MAX_ROWS else thr
-    me = F.struct(F.col("_h").alias("h"), F.col("_md5").alias("m"),
-                  *[F.col(k).alias(f"k{i}") for i, k in enumerate(key_cols)])
-
-    def cut(j):
-        return F.struct(F.col(f"_c{j}_h").alias("h"), F.col(f"_c{j}_m").alias("m"),
-                        *[F.col(f"_c{j}_k{i}").alias(f"k{i}") for i in range(len(key_cols))])
-    split = (F.when(F.col("_c1_h").isNotNull() & (me <= cut(1)), F.lit(names[0]))
-             .when(F.col("_c2_h").isNotNull() & (me <= cut(2)), F.lit(names[1]))
-             .otherwise(F.lit(names[2])))
-    out = ordered.join(thr, label, "left").withColumn(split_col, split)
-    return out.select(*df.columns, split_col)
+    ordered = ordered.join(thr, label, "left")
+
+    def side(j):
+        return (F.col("_h") < F.col(f"_h{j}")) | ((F.col("_h") == F.col(f"_h{j}")) & (F.col("_r") < F.col(f"_r{j}")))
+
+    def at(j):
+        return F.coalesce((F.col("_h") == F.col(f"_h{j}")) & (F.col("_r") == F.col(f"_r{j}")), F.lit(False))
+    plain = F.when(side(0), names[0]).when(side(1), names[1]).otherwise(names[2])
+    if not any(m is not None for cuts in points.values() for _, _, m in cuts):
+        return ordered.withColumn(split_col, plain).select(*df.columns, split_col)
+    # copies at a cut: one row per distinct content, numbered, then written out again
+    marks = ["_h", "_r", *[f.name for f in fields[1:]]]
+    copies = ordered.filter(at(0) | at(1)).groupBy(*df.columns, *marks).agg(F.count(F.lit(1)).alias("_n"))
+    upto = F.sum("_n").over(Window.partitionBy(label, "_h", "_r").orderBy(F.struct(*df.columns)))
+    copies = copies.withColumn("_to", upto).withColumn(
+        "_p", F.explode(F.sequence(F.col("_to") - F.col("_n") + 1, F.col("_to"))))
+    counted = (F.when(side(0) | (at(0) & (F.col("_p") <= F.col("_m0"))), names[0])
+               .when(side(1) | (at(1) & (F.col("_p") <= F.col("_m1"))), names[1]).otherwise(names[2]))
+    rest = ordered.filter(~(at(0) | at(1))).withColumn(split_col, plain)
+    return (rest.select(*df.columns, split_col)
+            .unionByName(copies.withColumn(split_col, counted).select(*df.columns, split_col)))
 
 
 def split_frames(df_split: DataFrame, label: str, split_col: str = "split",

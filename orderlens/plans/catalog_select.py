@@ -163,6 +163,18 @@ def split_sizes(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.count(F.lit(1)).alias("n"))
 
 
+@register("f3_split_repeated_keys", """
+WITH c AS (SELECT o_orderstatus, count(*) AS n FROM orders WHERE o_orderstatus IS NOT NULL GROUP BY 1)
+SELECT 'train' AS split, o_orderstatus, (6 * n) // 10 AS n FROM c
+UNION ALL SELECT 'val', o_orderstatus, (8 * n) // 10 - (6 * n) // 10 FROM c
+UNION ALL SELECT 'test', o_orderstatus, n - (8 * n) // 10 FROM c""")
+def split_repeated_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Class sizes per split when the split key repeats (F3): still exactly 60/20/20."""
+    o = table(spark, sf_dir, "orders").select("o_custkey", "o_orderstatus")
+    return (stratified_split(o, "o_orderstatus", ["o_custkey"], seed=42)
+            .groupBy("split", "o_orderstatus").agg(F.count(F.lit(1)).alias("n")))
+
+
 @register("f15_balanced_weights", """
 SELECT o_orderkey, o_orderstatus,
   round((SELECT count(*) FROM orders WHERE o_orderstatus IS NOT NULL)

@@ -89,19 +89,27 @@ def stream_scores(spark: SparkSession, source_dir: str, score_fn, *, glob: str =
     """Score every record file that arrives at ``source_path``.
 
     ``score_fn(batch_df) -> (scored_df, quarantined_df)`` (e.g. a partial of
-    :func:`orderlens.plans.scoring.predict_batch`).  Each micro-batch writes
-    both outputs with ``foreachBatch``; stateless, so no watermark.
+    :func:`orderlens.plans.scoring.predict_batch`).  Each micro-batch is
+    scored once and written to its own ``batch=<id>`` folder of both outputs
+    with overwrite, so a replayed batch replaces its first try.  The
+    checkpoint belongs to the output path: a second call with the same
+    ``out_path`` goes on where the first ended.  Stateless, so no watermark.
     """
     records = _file_stream(spark, source_dir, glob, schema=schema)
     run = uuid.uuid4().hex[:12]
     out = out_path or shared_path(spark, f"r1-scores-{run}")
     bad = quarantine_path or shared_path(spark, f"r1-quarantine-{run}")
-    ckpt = shared_path(spark, f"r1-checkpoint-{run}")
-
-    def write_batch(batch: DataFrame, _epoch: int) -> None:
-        scored, quarantined = score_fn(batch)
-        scored.write.mode("append").parquet(out)
-        quarantined.write.mode("append").parquet(bad)
+    bad = bad if quarantine_path or not out_path else out.rstrip("/") + "-quarantine"
+    ckpt = out.rstrip("/") + "-checkpoint"
+
+    def write_batch(batch: DataFrame, epoch: int) -> None:
+        batch = batch.persist()          # two writes read one micro-batch
+        try:
+            scored, quarantined = score_fn(batch)
+            scored.write.mode("overwrite").parquet(f"{out}/batch={epoch}")
+            quarantined.write.mode("overwrite").parquet(f"{bad}/batch={epoch}")
+        finally:
+            batch.unpersist()
 
     q = (records.writeStream.foreachBatch(write_batch).option("checkpointLocation", ckpt)
          .trigger(availableNow=True).start())

@@ -2,6 +2,7 @@
 
 import math
 import os
+import uuid
 
 import pytest
 from pyspark.ml import PipelineModel
@@ -16,6 +17,7 @@ from orderlens.plans.training import (BoostParams, OneVsRestBoostModel, class_na
                                       ensure_model, predict, train_model)
 from orderlens.operators.evaluate import log_loss
 from orderlens.operators.validate import RecordRules
+from orderlens.session import shared_path
 from orderlens.streaming.windows import stream_scores
 
 from conftest import SF_CHECK
@@ -174,8 +176,10 @@ def test_batch_and_stream_scoring_agree(data, spark, scratch):
         s, b = predict_batch(model, batch, rules, cats, conts, "7")
         return s.select("o_custkey", "predicted_class", "confidence"), b.select("o_custkey", "errors")
 
-    out, quarantine = stream_scores(spark, src, score_fn)
-    streamed = spark.read.parquet(out)
+    to = shared_path(spark, f"r1-test-{uuid.uuid4().hex}")
+    out, quarantine = stream_scores(spark, src, score_fn, out_path=to)
+    assert stream_scores(spark, src, score_fn, out_path=to) == (out, quarantine)   # a rerun adds nothing
+    streamed = spark.read.parquet(out).drop("batch")
     batch = scored.select("o_custkey", "predicted_class", "confidence")
     assert streamed.count() == batch.count()
     assert streamed.exceptAll(batch).count() == 0

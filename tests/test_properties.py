@@ -1,5 +1,6 @@
 """Properties of the operators: exactness, symmetry, conservation."""
 
+import math
 import random
 
 import pytest
@@ -74,6 +75,31 @@ def test_split_is_exact_disjoint_and_covering(spark):
     assert sp.exceptAll(other).count() > 0
 
 
+@pytest.mark.parametrize("keys,content", [(4, 1), (1, 1), (4, 700), (1, 50)])
+def test_split_is_exact_on_repeated_keys(spark, keys, content):
+    n = 30_000                      # more rows on one key than one selection round reads out
+    df = spark.range(n).select((F.col("id") % keys).alias("k"), (F.col("id") % content).alias("v"),
+                               F.when(F.col("id") % 10 == 0, "b").otherwise("a").alias("y"))
+    sp = stratified_split(df, "y", ["k"], seed=1)
+    sizes = {(r["y"], r["split"]): r["count"] for r in sp.groupBy("y", "split").count().collect()}
+    assert sizes == {("a", "train"): 16_200, ("a", "val"): 5_400, ("a", "test"): 5_400,
+                     ("b", "train"): 1_800, ("b", "val"): 600, ("b", "test"): 600}
+    assert sp.drop("split").exceptAll(df).count() == 0
+
+
+def test_kde_with_an_outlier_matches_the_plain_sum(spark):
+    from orderlens.operators.profile import kde
+    rnd = random.Random(5)
+    vals = [rnd.gauss(0, 1) for _ in range(4000)] + [3000.0]
+    got = kde(spark.createDataFrame([(v,) for v in vals], "v double"), "v").collect()
+    mean = sum(vals) / len(vals)
+    h = (sum((v - mean) ** 2 for v in vals) / (len(vals) - 1)) ** 0.5 * len(vals) ** -0.2
+    for r in got[:6] + got[-6:]:
+        want = sum(math.exp(-0.5 * ((r["x"] - v) / h) ** 2) for v in vals) / (
+            len(vals) * h * math.sqrt(2 * math.pi))
+        assert r["density"] == pytest.approx(want, rel=2e-2, abs=1e-9)
+
+
 def test_balanced_weights_sum_to_n(spark):
     df = _skewed(spark)
     w = balanced_weights(df, "g")
