@@ -11,7 +11,8 @@ full sets.  Buckets that still span several components get further stars with
 other centres, only for members outside the centre's component, until
 ``QUIET_ROUNDS`` rounds in a row confirm nothing new.
 
-A pair at the threshold misses all 25 buckets with probability 4e-7.
+A pair at the threshold (``link`` percent) misses all 25 buckets with probability
+4e-7 at 85 and 5e-5 at 80.
 
 Defined results: null, empty and white-space texts have an empty set and link
 with nothing, like null doc_ids (component null); repeated rows of a doc_id and
@@ -141,16 +142,17 @@ def full_sets(documents: DataFrame, ids: DataFrame) -> DataFrame:
     return map_text(wanted, ["doc_id"], "text", start, [("s", "array<long>")])
 
 
-def _confirm(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+def _confirm(pairs: DataFrame, sets: DataFrame, link: int) -> DataFrame:
     """The pairs (a, b) whose full sets reach the threshold."""
     sa = sets.select(F.col("doc_id").alias("a"), F.col("s").alias("sa"))
     sb = sets.select(F.col("doc_id").alias("b"), F.col("s").alias("sb"))
     both = F.size(F.array_intersect("sa", "sb"))
     return (pairs.join(sa, "a").join(sb, "b")
-            .where(100 * both >= LINK * (F.size("sa") + F.size("sb") - both)).select("a", "b", "x", "y").dropDuplicates(["a", "b"]))
+            .where(100 * both >= link * (F.size("sa") + F.size("sb") - both))
+            .select("a", "b", "x", "y").dropDuplicates(["a", "b"]))
 
 
-def components(documents: DataFrame) -> DataFrame:
+def components(documents: DataFrame, link: int = LINK) -> DataFrame:
     """(doc_id, n_shingles, component_id) per document."""
     sk = written(sketch(documents), "near-sketch")
     live = sk.where("set_id is not null and doc_id is not null")
@@ -166,7 +168,7 @@ def components(documents: DataFrame) -> DataFrame:
     sets = written(full_sets(documents, members.select("doc_id").distinct())
                    .dropDuplicates(["doc_id", "s"]), "near-sets")
 
-    near = 100 * F.least("n", "nb") >= LINK * F.greatest("n", "nb")   # length bound
+    near = 100 * F.least("n", "nb") >= link * F.greatest("n", "nb")   # length bound
 
     def pairs_of(frame: DataFrame) -> DataFrame:
         """Star edges (a, b) with the components (x, y) they would join."""
@@ -177,7 +179,7 @@ def components(documents: DataFrame) -> DataFrame:
                 .dropDuplicates(["a", "b"]))
 
     tried = written(pairs_of(members), "near-pairs")
-    links = fresh = written(_confirm(tried, sets), "near-links")
+    links = fresh = written(_confirm(tried, sets, link), "near-links")
     quiet, r = 0, 0
     while quiet < QUIET_ROUNDS:
         r += 1
@@ -196,7 +198,7 @@ def components(documents: DataFrame) -> DataFrame:
         members = written(now.join(open_, ["band", "key"]), f"near-members{r}")
         step = pairs_of(members.where("comp <> c.comp"))
         step = written(step.join(tried.select("a", "b"), ["a", "b"], "left_anti"), f"near-pairs{r}")
-        fresh = written(_confirm(step, sets), f"near-links{r}")
+        fresh = written(_confirm(step, sets, link), f"near-links{r}")
         quiet = quiet + 1 if fresh.isEmpty() else 0
         tried, links = tried.unionByName(step), links.unionByName(fresh)
     comp = connected_components(links, "near-final")
@@ -209,14 +211,14 @@ def components(documents: DataFrame) -> DataFrame:
             .distinct())
 
 
-def report(documents: DataFrame) -> DataFrame:
+def report(documents: DataFrame, link: int = LINK) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept)."""
-    return components(documents).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
+    return components(documents, link).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
 
 
-def keep_first(documents: DataFrame) -> DataFrame:
+def keep_first(documents: DataFrame, link: int = LINK) -> DataFrame:
     """One document of each group stays: the one with the smallest doc_id (all columns)."""
-    got = written(report(documents), "near-report")
+    got = written(report(documents, link), "near-report")
     gone = written(got.where("not kept").select("doc_id").distinct(), "near-gone")
     left = documents.join(broadcast_checked(gone, MAX_BROADCAST), "doc_id", "left_anti").select(*documents.columns)
     # rows that repeat a doc_id are repeated rows: one stays (the shuffle runs only if there are any)

@@ -253,7 +253,7 @@ def test_pipeline_stages(spark):
         old = [(r["doc_id"], r["text"]) for r in before.collect()]
         ids = {r["doc_id"] for r in after.collect()}
         if k == 1:
-            assert ids == {i for i, x in brute.near_dups(old).items() if x[2]}
+            assert ids == {i for i, x in brute.near_dups(old, link=80).items() if x[2]}
         if k == 2:
             assert ids == {i for i, x in brute.decontam(old, rows("benchmark")).items() if not x[4]}
         if k >= 3:
