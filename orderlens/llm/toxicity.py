@@ -8,7 +8,8 @@ alone by proximal gradient steps on the bag likelihood (an L1 term keeps the
 lexicon small), so the sentences that carry a label are found on the way.
 
 Defined results: null, empty and word-free texts hold one empty sentence, whose
-score is the bias; repeated rows score alike (one row out per row in); a null
+score is the bias; repeated rows score alike (one row out per row in) and are
+trained on once (the smallest text of a doc_id); a null
 doc_id is kept (it is not held out); other columns are ignored; without labels
 of both classes every score is the share of label 1 (0 if there is none).
 """
@@ -172,7 +173,8 @@ def fit(documents: DataFrame, labels: DataFrame, max_per_class: int = MAX_PER_CL
                     for t in texts]
             return [["\n".join(" ".join(s) for s in b) for b in bags]]
         return f
-    docs = documents.select("doc_id", "text").join(chosen, "doc_id")
+    docs = (documents.select("doc_id", "text").join(chosen, "doc_id")
+            .groupBy("doc_id", "toxic").agg(F.min("text").alias("text")))   # a repeated doc_id stays one row
     got = map_text(docs, ["doc_id", "toxic"], "text", start, [("bag", "string")]).collect()
     got.sort(key=lambda r: (r["doc_id"], r["toxic"], r["bag"]))
     bags = [[s.split(" ") if s else [] for s in r["bag"].split("\n")] for r in got]
