@@ -112,13 +112,15 @@ def index(reps: DataFrame, pivots: np.ndarray, nearest: int = NEAREST) -> DataFr
                 yield pd.DataFrame({"pivot": near.ravel(), "rep": f["rep"].to_numpy()[at],
                                     "mult": f["mult"].to_numpy()[at], "near": [near[i] for i in at],
                                     "v": f["v"].to_numpy()[at]})
-    return reps.mapInPandas(run, "pivot int, rep long, mult long, near array<int>, v array<float>")
+    return reps.mapInPandas(run, f"pivot int, rep long, mult long, near array<int>, v {reps.schema['v'].dataType.simpleString()}")
 
 
 def components(embeddings: DataFrame, cosine: float = COSINE, nearest: int = NEAREST,
                min_shared: int = MIN_SHARED, block: int = BLOCK) -> DataFrame:
     """(vec_id, n_links, component_id) per distinct (vec_id, vector)."""
-    rows = embeddings.select("vec_id", F.col("embedding").cast("array<float>").alias("v")).distinct()
+    kind = embeddings.schema["embedding"].dataType.simpleString()
+    kind = kind if kind == "array<float>" else "array<double>"     # no component loses digits
+    rows = embeddings.select("vec_id", F.col("embedding").cast(kind).alias("v")).distinct()
     rows = written(rows.withColumn("ok", usable(F.col("v")) & F.col("vec_id").isNotNull()), "embed-rows")
     sizes = rows.where("ok").groupBy(F.size("v").alias("d")).count().orderBy(F.desc("count"), F.desc("d"))
     top = sizes.first()
