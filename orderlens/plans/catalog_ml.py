@@ -10,6 +10,7 @@ from orderlens.operators import evaluate as E
 from orderlens.operators.validate import (RecordRules, payload_size_ok, payload_to_rows,
                                           validate_records)
 from orderlens.plans.catalog_profile import rounded
+from orderlens.plans.scoring import batch_summary, confidence_by_class, predictions_vs_truth
 from orderlens.sources.tables import table
 from orderlens.streaming.windows import stream_windowed_counts, windowed_counts
 
@@ -206,3 +207,55 @@ def windowed_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = stream_windowed_counts(spark, sf_dir, "ts", "event_type", glob="events.parquet",
                                  window="1 day", watermark="1 hour", mode="complete")
     return spark.read.parquet(out)
+
+
+# --- summaries of scored rows, over every row of the rule model --------------
+
+def rule_scored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rule model's predictions in the shape of scored records."""
+    names = F.array(*map(F.lit, CLASSES))
+    return rule_predictions(spark, sf_dir).select(
+        F.get(names, F.col("actual")).alias("actual_class"),
+        F.get(names, F.col("predicted")).alias("predicted_class"),
+        F.array_max("probs").alias("confidence"), F.lit("rules-1").alias("model_version"))
+
+
+_SCORED_SQL = f"""{RULE_SQL},
+sc AS (SELECT (['A', 'N', 'R'])[actual + 1] AS actual_class, (['A', 'N', 'R'])[predicted + 1] AS predicted_class,
+              list_max(probs) AS confidence FROM rp)"""
+
+
+@register("a18_batch_summary_rules", f"""WITH {_SCORED_SQL}
+SELECT count(*) AS total_samples, count(*) AS successful_predictions, 100.0::DOUBLE AS success_rate,
+  count(*) FILTER (WHERE predicted_class = 'A') AS n_a, count(*) FILTER (WHERE predicted_class = 'N') AS n_n,
+  count(*) FILTER (WHERE predicted_class = 'R') AS n_r,
+  round(min(confidence), 6) AS conf_min, round(max(confidence), 6) AS conf_max,
+  round(avg(confidence), 6) AS conf_avg, round(stddev_pop(confidence), 6) AS conf_std,
+  'rules-1' AS model_version FROM sc""")
+def summary_of_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Batch summary of all rows scored by the rule model."""
+    scored = rule_scored(spark, sf_dir)
+    got = batch_summary(scored, scored)
+    counts = [F.coalesce(F.col("prediction_distribution")[c], F.lit(0)).alias(f"n_{c.lower()}") for c in CLASSES]
+    stats = [F.col("confidence_stats")[k].alias(f"conf_{k}") for k in ("min", "max", "avg", "std")]
+    return rounded(got.select("total_samples", "successful_predictions",
+                              F.col("success_rate").cast("double").alias("success_rate"),
+                              *counts, *stats, "model_version"))
+
+
+@register("d2_confidence_by_class_rules", f"""WITH {_SCORED_SQL}
+SELECT predicted_class, count(*) AS n, round(avg(confidence), 6) AS mean_confidence FROM sc GROUP BY 1""")
+def confidence_of_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Mean confidence per predicted class, all rows of the rule model."""
+    return rounded(confidence_by_class(rule_scored(spark, sf_dir)))
+
+
+@register("d3_predictions_vs_truth_rules", f"""WITH {_SCORED_SQL},
+p AS (SELECT predicted_class AS class, count(*) AS n FROM sc GROUP BY 1),
+t AS (SELECT actual_class AS class, count(*) AS n FROM sc GROUP BY 1)
+SELECT class, coalesce(t.n, 0) AS ground_truth, p.n IS NULL AS extra,
+  row_number() OVER (ORDER BY p.n IS NULL, class) AS position, coalesce(p.n, 0) AS predictions
+FROM p FULL OUTER JOIN t USING (class)""")
+def distributions_of_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Predicted and true class counts side by side, all rows of the rule model."""
+    return predictions_vs_truth(rule_scored(spark, sf_dir), "actual_class")

@@ -14,7 +14,8 @@ from pyspark.sql import functions as F
 
 from orderlens.operators import association as A
 from orderlens.plans.catalog_rollup import TX_SQL, _rollup_sql, cast_order_facts
-from orderlens.plans.catalog_select import ASSOC_COLS, PEARSON_COLS, customer_attrs
+from orderlens.plans.catalog_select import (ASSOC_COLS, ATTRS_SQL, PEARSON_COLS, _cramer_sql, _pairs, _union,
+                                            customer_attrs)
 from orderlens.plans.scoring import confidence_by_class
 from orderlens.plans.selection import CramersVSelector
 from orderlens.plans.training import BoostParams
@@ -119,7 +120,20 @@ def confidence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return confidence_by_class(_sample(spark, sf_dir)[0])
 
 
-@register("f9_cramers_selection")
+_LEVELS_SQL = _union([f"""SELECT '{c}' AS variable, count(DISTINCT coalesce(CAST({c} AS VARCHAR), '__NA__')) AS n
+FROM attrs""" for c in ASSOC_COLS])
+_MATRIX_SQL = _union([f"SELECT * FROM {_cramer_sql(a, b, False)}" for a, b in _pairs(ASSOC_COLS)])
+
+
+@register("f9_cramers_selection", f"""WITH {ATTRS_SQL},
+half AS ({_MATRIX_SQL}),
+m AS (SELECT var_a AS a, var_b AS b, cramers_v AS v FROM half UNION ALL SELECT var_b, var_a, cramers_v FROM half),
+o AS (SELECT variable, row_number() OVER (ORDER BY n, variable) AS k FROM ({_LEVELS_SQL})),
+near AS (SELECT x.k AS i, y.k AS j FROM m JOIN o x ON x.variable = m.a JOIN o y ON y.variable = m.b
+         WHERE x.k < y.k AND m.v >= 0.8),
+k2 AS (SELECT NOT EXISTS (SELECT 1 FROM near WHERE i = 1 AND j = 2) AS kept)
+SELECT variable, CASE k WHEN 1 THEN TRUE WHEN 2 THEN kept
+  ELSE NOT EXISTS (SELECT 1 FROM near WHERE j = 3 AND (i = 1 OR i = 2 AND kept)) END AS kept FROM o, k2""")
 def cramers_selection(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Greedy Cramér's V redundancy selection by cardinality."""
     attrs = customer_attrs(spark, sf_dir)
@@ -129,12 +143,30 @@ def cramers_selection(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.createDataFrame([(c, c in kept) for c in ASSOC_COLS], "variable string, kept boolean")
 
 
-@register("f11_pearson_selection")
+_F11_COLS = sorted([*PEARSON_COLS, "l_gross"])
+
+
+def _greedy_sql(cols: list[str]) -> str:
+    """One step per column: dropped if |r| > 0.8 with an earlier column that leads."""
+    steps, last = [], "li"
+    corr = ", ".join(f"coalesce(abs(corr({a}, {b})), -1) AS r_{i}_{j}"
+                     for i, a in enumerate(cols) for j, b in enumerate(cols) if i < j)
+    steps.append(f"s0 AS (SELECT {corr}, FALSE AS d0 FROM li)")
+    for j in range(1, len(cols)):
+        hit = " OR ".join(f"(NOT d{i} AND r_{i}_{j} > 0.8)" for i in range(j))
+        steps.append(f"s{j} AS (SELECT *, ({hit}) AS d{j} FROM s{j - 1})")
+        last = f"s{j}"
+    return ",\n".join(steps) + "\n" + _union(
+        [f"SELECT '{c}' AS variable, d{j} AS dropped FROM {last}" for j, c in enumerate(cols)])
+
+
+@register("f11_pearson_selection", "WITH li AS (SELECT *, l_extendedprice * (1 + l_tax) AS l_gross FROM lineitem),\n"
+          + _greedy_sql(_F11_COLS))
 def pearson_selection(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Correlated numerics dropped at |r| > 0.8, alphabetical scan."""
     li = table(spark, sf_dir, "lineitem").withColumn(
         "l_gross", F.col("l_extendedprice") * (1 + F.col("l_tax")))
-    cols = sorted(PEARSON_COLS + ["l_gross"])
+    cols = _F11_COLS
     corr = {(r["var_a"], r["var_b"]): r["pearson"] for r in A.pearson_matrix(li, cols).collect()}
     dropped, _ = A.greedy_correlated(cols, corr, 0.8)
     return spark.createDataFrame([(c, c in dropped) for c in cols], "variable string, dropped boolean")
