@@ -11,7 +11,11 @@ blocks that are compared pairwise, so no task holds more than two blocks, and a
 task returns one row per entry (its links and the smallest id of its local
 component), never pairs.  The number of pivots grows with the square root of
 the number of vectors; pivots come from the table by hash order, at most
-``MAX_PIVOTS``, and every vector is indexed.
+``MAX_PIVOTS``, and every vector is indexed.  No two pivots have a cosine of
+``APART`` or more, so a dense group holds few pivots, its members name the same
+ones, and recall does not depend on the group's share of the table.  Fewer than
+nearest ** 2 pivots make lists so long that one list of all vectors, an exact
+comparison, is less work: then one pivot stands for all.
 
 Defined results: null, empty and all-zero vectors, vectors with null or
 non-finite components or another length than most vectors have, and rows with
@@ -36,6 +40,7 @@ NEAREST = 8            # pivots that describe a vector
 MIN_SHARED = 2
 PIVOTS_PER_ROOT = 4    # pivots = this times the square root of the vectors
 MIN_PIVOTS, MAX_PIVOTS = 16, 4096
+APART = 0.5            # pivots have smaller cosines to each other
 BLOCK = 1024           # entries of an inverted list that one side of a task holds
 
 
@@ -50,6 +55,17 @@ def _unit(vectors) -> np.ndarray:
     return x / np.sqrt((x * x).sum(axis=1, keepdims=True))
 
 
+def apart(x: np.ndarray, cosine: float = APART) -> np.ndarray:
+    """The unit vectors, in order, whose cosine to every one taken before is below ``cosine``."""
+    taken = np.empty_like(x)
+    n = 0
+    for v in x:
+        if not n or (taken[:n] @ v).max() < cosine:
+            taken[n] = v
+            n += 1
+    return taken[:n]
+
+
 def nearest_pivots(x: np.ndarray, pivots: np.ndarray, m: int) -> np.ndarray:
     """The m nearest pivots of each unit vector, nearest first (ties: lower number)."""
     return np.argsort(-(x @ pivots.T), axis=1, kind="stable")[:, :m].astype(np.int32)
@@ -132,8 +148,10 @@ def components(embeddings: DataFrame, cosine: float = COSINE, nearest: int = NEA
     k = min(n, max(MIN_PIVOTS, min(MAX_PIVOTS, math.ceil(PIVOTS_PER_ROOT * math.sqrt(n)))))
     # at most MAX_PIVOTS rows reach the driver
     chosen = [r["v"] for r in reps.orderBy(F.xxhash64("rep"), "rep").limit(k).collect()] if k else []
-    pivots = _unit(chosen) if chosen else np.zeros((0, 1))
-    shared = min(min_shared, nearest, max(1, k))
+    pivots = apart(_unit(chosen)) if chosen else np.zeros((0, 1))
+    if len(pivots) < nearest * nearest:
+        pivots = pivots[:1]                          # one list: every pair is compared
+    shared = min(min_shared, nearest, max(1, len(pivots)))
     lists = written(index(reps, pivots, nearest), "embed-lists")
 
     # a list of s entries has ceil(s / block) blocks; an entry meets every block of its list once

@@ -74,6 +74,21 @@ def test_embeddings_against_brute_force_with_close_pairs_and_bad_vectors(spark):
         i for i in want if want[i][1] != got[i][1]}
 
 
+@pytest.mark.parametrize("n", [1200, 4800])
+def test_embeddings_recall_in_a_dense_cluster(spark, n):
+    rng = np.random.default_rng(n)
+    x = rng.normal(size=(n, 64))
+    x[:n // 3] = rng.normal(size=64) + 0.3 * rng.normal(size=(n // 3, 64))     # a third lies around one centre
+    x = np.float32(x[rng.permutation(n)]).astype(np.float64)
+    u = x / np.linalg.norm(x, axis=1, keepdims=True)
+    want = ((u @ u.T) >= 0.9).sum(axis=1) - 1
+    df = spark.createDataFrame(list(enumerate(x.tolist())), "vec_id long, embedding array<float>")
+    got = by_id(embed_dedup.report(df), "vec_id", "n_links", "component_id")
+    assert want.sum() > n * n / 30
+    assert all(got[i][0] <= want[i] for i in range(n))
+    assert sum(g[0] for g in got.values()) >= 0.97 * want.sum()
+
+
 def test_embeddings_empty(spark):
     assert embed_dedup.report(spark.createDataFrame([], "vec_id long, embedding array<float>")).collect() == []
 
