@@ -9,7 +9,9 @@ bucket member.  Inside a bucket every member is paired with one centre only (a
 star), so candidate pairs never exceed memberships.  Pairs are confirmed on the
 full sets.  Buckets that still span several components get further stars with
 other centres, only for members outside the centre's component, until
-``QUIET_ROUNDS`` rounds in a row confirm nothing new.
+``QUIET_ROUNDS`` rounds in a row confirm nothing new.  What is then left of the
+open buckets is compared exactly, pair by pair across components, in blocks of
+``BLOCK`` members; buckets with the same members are compared once.
 
 A pair at the threshold (``link`` percent) misses all 25 buckets with probability
 4e-7 at 85 and 5e-5 at 80.
@@ -24,6 +26,7 @@ ignored; an empty table gives an empty result.
 from __future__ import annotations
 
 import numpy as np
+import pandas as pd
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -34,7 +37,8 @@ SHINGLE = 5
 BINS = 128
 BANDS, ROWS = 25, 5
 LINK = 85              # least 100 * intersection / union
-QUIET_ROUNDS = 2       # further star rounds without a new link before the search ends
+QUIET_ROUNDS = 2       # further star rounds without a new link before open buckets are compared exactly
+BLOCK = 512            # members of an open bucket that one side of a task holds
 MAX_BROADCAST = 2_000_000   # ids (8 bytes) that may be broadcast to select texts
 
 _U = np.uint64
@@ -116,7 +120,7 @@ def band_keys(sig: np.ndarray) -> np.ndarray:
 
 
 def sketch(documents: DataFrame) -> DataFrame:
-    """(doc_id, n_shingles, set_id, bands) per document; set_id is null for an empty set."""
+    """(doc_id, tkey, n_shingles, set_id, bands) per document; set_id is null for an empty set."""
     def start():
         known = _WordHash()
 
@@ -129,7 +133,8 @@ def sketch(documents: DataFrame) -> DataFrame:
                 keys.append(band_keys(signature(s)) if len(s) else [])
             return [n, ids, keys]
         return f
-    return map_text(documents, ["doc_id"], "text", start, [
+    keyed = documents.select("doc_id", F.xxhash64("text").alias("tkey"), "text")
+    return map_text(keyed, ["doc_id", "tkey"], "text", start, [
         ("n_shingles", "long"), ("set_id", "binary"), ("bands", "array<long>")])
 
 
@@ -152,8 +157,59 @@ def _confirm(pairs: DataFrame, sets: DataFrame, link: int) -> DataFrame:
             .select("a", "b", "x", "y").dropDuplicates(["a", "b"]))
 
 
-def components(documents: DataFrame, link: int = LINK) -> DataFrame:
-    """(doc_id, n_shingles, component_id) per document."""
+def _block_links(f: pd.DataFrame, other: np.ndarray | None, link: int) -> pd.DataFrame:
+    """Links (a, b) that join components inside one block, or between it and the rows of ``other``."""
+    ids, sets = f["doc_id"].to_numpy(), f["s"].to_numpy()
+    _, lab, share = np.unique(f["comp"].to_numpy(), return_inverse=True, return_counts=True)
+    size = np.fromiter(map(len, sets), dtype=np.int64, count=len(f))
+    start = np.concatenate(([0], np.cumsum(size)[:-1]))
+    names, at = np.unique(np.concatenate(sets), return_inverse=True)
+    mark = np.zeros(len(names), dtype=np.int64)
+    # members of small components first: those of the largest then have few to meet
+    order = np.argsort(share[lab], kind="stable")
+    waiting = np.ones(len(f), dtype=bool) if other is None else other
+    found = []
+    for i in order if other is None else order[~other[order]]:
+        if other is None:
+            waiting[i] = False
+        near = 100 * np.minimum(size, size[i]) >= link * np.maximum(size, size[i])
+        if not (cand := waiting & (lab != lab[i]) & near).any():
+            continue
+        mine = at[start[i]:start[i] + size[i]]
+        mark[mine] = 1
+        both = np.add.reduceat(mark[at], start)
+        mark[mine] = 0
+        for j in np.flatnonzero(cand & (100 * both >= link * (size + size[i] - both))):
+            if lab[j] != lab[i]:
+                found.append((max(ids[i], ids[j]), min(ids[i], ids[j])))
+                lab[lab == lab[j]] = lab[i]
+    return pd.DataFrame(found, columns=["a", "b"], dtype="int64")
+
+
+def _rest(members: DataFrame, sets: DataFrame, link: int, block: int) -> DataFrame:
+    """(a, b): links across the components of every open bucket, all its pairs compared."""
+    def h(seed):        # 44 bits, so that their sums stay in range
+        return F.sum(F.shiftrightunsigned(F.xxhash64(F.lit(seed), "doc_id"), 20)).alias(f"h{seed}")
+
+    # the first star has tried the one pair of a bucket of two; equal buckets are compared once
+    size = members.groupBy("band", "key").agg(F.count("*").alias("k"), h(1), h(2)).where("k > 2")
+    size = written(size.groupBy("k", "h1", "h2").agg(F.min(F.struct("band", "key")).alias("at"))
+                   .select("at.*", F.ceil(F.col("k") / block).cast("int").alias("nb")), "near-rest")
+    rows = (members.select("band", "key", "doc_id", "comp").join(size, ["band", "key"])
+            .withColumn("own", F.pmod(F.xxhash64("doc_id"), F.col("nb")).cast("int"))
+            .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("nb") - 1)))
+            .select("band", "key", F.least("own", "other").alias("lo"), F.greatest("own", "other").alias("hi"),
+                    "own", "doc_id", "comp").join(sets, "doc_id"))
+
+    def compare(key, f):
+        f = f.reset_index(drop=True)
+        return _block_links(f, None if key[2] == key[3] else (f["own"] == key[3]).to_numpy(), link)
+
+    return rows.groupBy("band", "key", "lo", "hi").applyInPandas(compare, "a long, b long").distinct()
+
+
+def _components(documents: DataFrame, link: int, block: int = BLOCK) -> DataFrame:
+    """(doc_id, tkey, n_shingles, component_id) per document."""
     sk = written(sketch(documents), "near-sketch")
     live = sk.where("set_id is not null and doc_id is not null")
     classes = written(live.groupBy("set_id").agg(F.min("doc_id").alias("rep")), "near-classes")
@@ -201,16 +257,24 @@ def components(documents: DataFrame, link: int = LINK) -> DataFrame:
         fresh = written(_confirm(step, sets, link), f"near-links{r}")
         quiet = quiet + 1 if fresh.isEmpty() else 0
         tried, links = tried.unionByName(step), links.unionByName(fresh)
+    else:
+        # the last round joined nothing: members holds the open buckets and their components
+        links = links.select("a", "b").unionByName(written(_rest(members, sets, link, block), "near-rest-links"))
     comp = connected_components(links, "near-final")
     rep = (classes.join(comp.withColumnRenamed("node", "rep"), "rep", "left")
            .select("set_id", F.coalesce("component", "rep").alias("class_id")))
     rep = written(rep, "near-ids")
-    out = sk.select("doc_id", "n_shingles", "set_id").join(rep, "set_id", "left")
-    return (out.select("doc_id", "n_shingles",
+    out = sk.select("doc_id", "tkey", "n_shingles", "set_id").join(rep, "set_id", "left")
+    return (out.select("doc_id", "tkey", "n_shingles",
                        F.when(F.col("doc_id").isNotNull(), F.coalesce("class_id", "doc_id")).alias("component_id"))
             .distinct())
 
 
+def components(documents: DataFrame, link: int = LINK) -> DataFrame:
+    """(doc_id, n_shingles, component_id) per document."""
+    return _components(documents, link).drop("tkey").distinct()
+
+
 def report(documents: DataFrame, link: int = LINK) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept)."""
     return components(documents, link).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))

@@ -192,6 +192,19 @@ def test_sketch_finds_pairs_at_the_threshold_and_small_sets():
     assert (near_dup.signature(one) == 12345).all()
 
 
+def test_edited_copies_of_a_middle_document_are_one_group(spark):
+    rng = random.Random(8)
+    words = [f"w{i}" for i in range(304)]
+    data = [(500, " ".join(words))]
+    for i in [*range(500), *range(501, 1000)]:          # original-copy 0.875, copy-copy 0.77
+        w = list(words)
+        for at in rng.sample(range(6, 298, 6), 4):
+            w[at] = f"e{i}x{at}"
+        data.append((i, " ".join(w)))
+    got = by_id(near_dup.report(spark.createDataFrame(data, "doc_id long, text string")), "doc_id", "component_id")
+    assert len(got) == 1000 and set(got.values()) == {(0,)}
+
+
 # ------------------------------------------------------------- urls
 
 def test_urls(spark):
