@@ -281,10 +281,16 @@ def report(documents: DataFrame, link: int = LINK) -> DataFrame:
 
 
 def keep_first(documents: DataFrame, link: int = LINK) -> DataFrame:
-    """One document of each group stays: the one with the smallest doc_id (all columns)."""
-    got = written(report(documents, link), "near-report")
-    gone = written(got.where("not kept").select("doc_id").distinct(), "near-gone")
-    left = documents.join(broadcast_checked(gone, MAX_BROADCAST), "doc_id", "left_anti").select(*documents.columns)
-    # rows that repeat a doc_id are repeated rows: one stays (the shuffle runs only if there are any)
-    total, ids = documents.count(), got.select("doc_id").distinct().count()
-    return left.dropDuplicates(["doc_id"]) if total > ids else left
+    """The rows that ``report`` marks kept, all columns: one document of each group, the one with the
+    smallest doc_id; repeated rows of a doc_id and text give one, rows without doc_id all stay."""
+    got = written(_components(documents, link).where("doc_id is not null"), "near-report")
+    gone = written(got.where("doc_id <> component_id").select("doc_id", F.col("tkey").alias("_near_tkey")).distinct(),
+                   "near-gone")
+    keyed = documents.withColumn("_near_tkey", F.xxhash64("text"))
+    left = keyed.join(broadcast_checked(gone, MAX_BROADCAST // 2), ["doc_id", "_near_tkey"], "left_anti")
+    # rows that repeat a doc_id and text are repeated rows: one stays (the shuffle runs only if there are any)
+    total, ids = documents.where("doc_id is not null").count(), got.select("doc_id", "tkey").distinct().count()
+    if total > ids:
+        left = (left.where("doc_id is not null").dropDuplicates(["doc_id", "_near_tkey"])
+                .unionByName(left.where("doc_id is null")))
+    return left.select(*documents.columns)

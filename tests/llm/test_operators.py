@@ -205,6 +205,15 @@ def test_edited_copies_of_a_middle_document_are_one_group(spark):
     assert len(got) == 1000 and set(got.values()) == {(0,)}
 
 
+def test_keep_first_keeps_null_ids_and_texts_that_differ(spark):
+    data = [(None, "first text without an id"), (None, "second text without an id"), (1, "one two three four five six"),
+            (2, "alpha beta gamma delta epsilon"), (2, "red green blue white black"), (2, "red green blue white black"),
+            (3, "one two three four five six"), (3, "sun moon star sky cloud")]
+    left = near_dup.keep_first(spark.createDataFrame(data, "doc_id long, text string"))
+    assert sorted((r["doc_id"] or 0, r["text"]) for r in left.collect()) == sorted(
+        (i or 0, t) for i, t in set(data) - {(3, "one two three four five six")})
+
+
 # ------------------------------------------------------------- urls
 
 def test_urls(spark):
