@@ -3,7 +3,7 @@
 import pytest
 
 import __spark_entry__ as entry
-from conftest import SF_CHECK
+from paths import SF_CHECK
 from oracle_harness import compare  # noqa: E402
 
 NAMES = sorted(entry.queries())

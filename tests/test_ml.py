@@ -20,7 +20,7 @@ from orderlens.operators.validate import RecordRules
 from orderlens.session import shared_path
 from orderlens.streaming.windows import stream_scores
 
-from conftest import SF_CHECK
+from paths import SF_CHECK
 
 
 @pytest.fixture(scope="module")

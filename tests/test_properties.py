@@ -16,7 +16,7 @@ from orderlens.operators.validate import split_valid, validate_records
 from orderlens.plans.catalog_ml import TEST_RULES, customer_records
 from orderlens.sources.tables import table
 
-from conftest import SF_CHECK
+from paths import SF_CHECK
 
 
 def _skewed(spark, n=3000, seed=7):
