@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from orderlens.llm import (decontam, embed_dedup, html_text, near_dup, pieces, quality, secrets,
-                           suffix_dedup, toxicity, url_filter)
+from orderlens.llm import (decontam, embed_dedup, filter_audit, html_text, near_dup, pieces, quality, secrets,
+                           suffix_dedup, token_files, toxicity, url_filter, variants)
 
 
 def _table(spark, sf_dir, name):
@@ -68,6 +68,21 @@ def op10_suffix_dedup(spark, sf_dir):
     return suffix_dedup.report(_table(spark, sf_dir, "documents"))
 
 
+def op11_spelling_variants(spark, sf_dir):
+    """Forms and roots of all words one edit apart."""
+    return variants.report(_table(spark, sf_dir, "documents"))
+
+
+def op12_filter_audit(spark, sf_dir):
+    """Totals of five filters in all 120 orders, per language."""
+    return filter_audit.report(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
+def op13_token_files(spark, sf_dir):
+    """Places and digests of all documents, read back from their token-id files."""
+    return token_files.report(_table(spark, sf_dir, "documents"))
+
+
 def pipeline(spark, sf_dir):
     """The corpus pipeline over all documents: the token ids of what every stage keeps."""
     import corpus_pipeline
@@ -77,6 +92,6 @@ def pipeline(spark, sf_dir):
 QUERIES = {f.__name__: f for f in (
     op1_secret_scan, op2_quality_classifier, op3_decontamination, op4_toxicity, op5_embedding_near_dup,
     op6_sentencepiece, op7_minhash_near_dup, op8_url_filter, op9_html_extraction, op10_suffix_dedup,
-    pipeline)}
+    op11_spelling_variants, op12_filter_audit, op13_token_files, pipeline)}
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {"op12_filter_audit": filter_audit.ORACLE}

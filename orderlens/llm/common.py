@@ -9,13 +9,16 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from orderlens.session import shared_path
 
+BATCH_BYTES = 1 << 20   # text bytes that one step of a task turns into Python objects
 ARROW = {"long": pa.int64(), "int": pa.int32(), "double": pa.float64(), "boolean": pa.bool_(),
          "string": pa.string(), "binary": pa.binary(), "array<int>": pa.list_(pa.int32()),
          "array<long>": pa.list_(pa.int64()), "array<float>": pa.list_(pa.float32()),
@@ -40,12 +43,24 @@ def broadcast_checked(df: DataFrame, max_rows: int) -> DataFrame:
     return F.broadcast(df) if df.count() <= max_rows else df
 
 
+def byte_slices(batch: pa.RecordBatch, at: int, limit: int = BATCH_BYTES):
+    """Slices of ``batch`` whose texts in column ``at`` hold about ``limit`` bytes each."""
+    sizes = pc.fill_null(pc.binary_length(batch.column(at)), 0).to_numpy(zero_copy_only=False)
+    room = np.cumsum(sizes, dtype=np.int64) // limit
+    cuts = [0, *(np.flatnonzero(np.diff(room)) + 1), batch.num_rows]
+    for a, b in zip(cuts, cuts[1:]):
+        if b > a:
+            yield batch.slice(a, b - a)
+
+
 def map_text(df: DataFrame, keep: list[str], text: str, start: Callable, out: list[tuple]) -> DataFrame:
     """Arrow-batch map over one text column.
 
     ``start()`` runs once per task and returns ``f(texts) -> list of columns``
     in the order of ``out`` (name, type); nulls arrive as ``None``.  Columns in
-    ``keep`` pass through unchanged (64-bit ids keep their exact type).
+    ``keep`` pass through unchanged (64-bit ids keep their exact type).  Texts
+    come in slices of about ``BATCH_BYTES``, so a task never holds the Python
+    objects of a whole Arrow batch.
     """
     df = df.select(*keep, F.col(text).alias("_text_in"))
     schema = T.StructType([df.schema[c] for c in keep]
@@ -56,7 +71,7 @@ def map_text(df: DataFrame, keep: list[str], text: str, start: Callable, out: li
 
     def run(batches):
         f = start()
-        for b in batches:
+        for b in (part for whole in batches for part in byte_slices(whole, n_keep)):
             cols = f(b.column(n_keep).to_pylist())
             arrays = [b.column(i) for i in range(n_keep)]
             arrays += [c if isinstance(c, pa.Array) else pa.array(c, t) for c, t in zip(cols, types)]

@@ -5,6 +5,9 @@ from __future__ import annotations
 import hashlib
 import math
 import re
+import zlib
+from collections import Counter, defaultdict
+from itertools import permutations
 
 import numpy as np
 
@@ -144,3 +147,79 @@ def viterbi(codec, text):
         out.append([k] if k >= 0 else [codec.byte_id[b] for b in s[i:j].replace("\x00", "▁").encode()])
         j = i
     return [x for part in reversed(out) for x in part]
+
+
+def variants(docs):
+    """{word: (form, root, n, n_near, form_n)} by deletion neighbourhoods."""
+    counts = Counter()
+    for doc_id, text in docs:
+        for run in re.findall("[A-Za-zÀ-ÿ]+", text or ""):
+            run = "".join(c.lower() if c.isascii() else c for c in run)
+            h = zlib.crc32(f"{'' if doc_id is None else doc_id}:{run}".encode())
+            if h % 31 == 0:
+                run = run[:h % len(run)] + run[h % len(run) + 1:]
+            counts[run] += 1
+    words = {w: n for w, n in counts.items() if len(w) >= 7 and n >= 2}
+    hole = defaultdict(set)
+    for w in words:
+        for i in range(len(w)):
+            hole[i, w[:i] + w[i + 1:]].add(w)
+    near = defaultdict(set)
+    for w in words:
+        for i in range(len(w)):
+            short = w[:i] + w[i + 1:]
+            near[w] |= hole[i, short] - {w}
+            if short in words:
+                near[w].add(short)
+                near[short].add(w)
+    form = {}
+    for w, n in words.items():
+        top = min(near[w], key=lambda x: (-words[x], x), default=None)
+        form[w] = top if top is not None and words[top] >= 10 * n else None
+
+    def root(w):
+        while form[w] is not None:
+            w = form[w]
+        return w
+    return {w: (form[w], root(w), n, len(near[w]), words.get(form[w])) for w, n in words.items()}
+
+
+def token_files(docs, tokenizer):
+    """{doc_id: (start, n_tokens, crc32)} with whole texts encoded one by one."""
+    out, at = {}, 0
+    for doc_id, text in sorted(docs):
+        ids = tokenizer.encode(text or "", add_special_tokens=False).ids + [1]
+        out[doc_id] = (at, len(ids), zlib.crc32(np.array(ids, dtype="<u4").tobytes()))
+        at += len(ids)
+    return out
+
+
+def filter_audit(docs, labels):
+    """{(part, order, step): (kept, removed, redundant, unique, good, toxic, shapley)} one order at a time."""
+    first, marks, fails = {}, defaultdict(lambda: [0, 0]), []
+    for i, q, t in labels:
+        marks[i] = [max(marks[i][0], int(q == 1)), max(marks[i][1], int(t == 1))]
+    for i, text, _ in docs:
+        if i is not None:
+            first[text or ""] = min(first.get(text or "", i), i)
+    for i, text, lang in docs:
+        t = text or ""
+        w = re.findall(r"[^\x20\x09-\x0D]+", t)
+        bad = {c for c, b in zip("ABCDE", (
+            len(w) < 100, 100 * len(set(w)) < 80 * len(w), 100 * len(re.findall("[A-Z]", t)) > 10 * len(t),
+            re.search("[#$%&*|]", t), i is not None and first[t] < i)) if b}
+        fails.append((lang or "", bad, marks[i] if i is not None else [0, 0]))
+    out, shapley = {}, Counter()
+    for part in {p for p, _, _ in fails}:
+        mine = [(b, m) for p, b, m in fails if p == part]
+        for order in permutations("ABCDE"):
+            left, gone = mine, []
+            for step, f in enumerate(order, 1):
+                now = [x for x in left if f in x[0]]
+                redundant = sum(f in b for b, _ in gone)
+                left, gone = [x for x in left if f not in x[0]], gone + now
+                shapley[part, f] += len(now)
+                out[part, "".join(order), step] = (
+                    len(left), len(now), redundant, sum(b == {f} for b, _ in mine),
+                    sum(m[0] for _, m in now), sum(m[1] for _, m in now))
+    return {k: v + (shapley[k[0], k[1][k[2] - 1]],) for k, v in out.items()}
