@@ -162,9 +162,9 @@ l AS (SELECT unnest(range(1, 6)) AS i),
 orders AS (SELECT [a.i, b.i, c.i, d.i, e.i] AS p FROM l a, l b, l c, l d, l e
            WHERE len(list_distinct([a.i, b.i, c.i, d.i, e.i])) = 5),
 steps AS (SELECT p, i AS step, p[i] AS f, p[1:i - 1] AS before,
-                 array_to_string(list_transform(p, x -> substr('ABCDE', x, 1)), '') AS filter_order FROM orders, l),
+                 array_to_string(list_transform(p, lambda x: substr('ABCDE', x, 1)), '') AS filter_order FROM orders, l),
 hit AS (SELECT c.part, s.filter_order, s.step, s.f, c.n, c.good, c.toxic, c.fails[s.f] AS fails_it,
-               len(list_filter(s.before, x -> c.fails[x])) AS earlier, len(list_filter(c.fails, x -> x)) AS k
+               len(list_filter(s.before, lambda x: c.fails[x])) AS earlier, len(list_filter(c.fails, lambda x: x)) AS k
         FROM cells c, steps s),
 sums AS (SELECT part, filter_order, step, any_value(f) AS f,
            sum(n)::BIGINT AS total, coalesce(sum(n) FILTER (earlier > 0), 0)::BIGINT AS gone,

@@ -36,7 +36,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderlens.llm.common import byte_slices, shared_path, written
+from orderlens.llm.common import byte_slices, shared_path, tidy, written
 
 TOKENIZER = "/opt/tokenizers/word_bpe_49k.json"
 END_ID = 1             # appended to each document
@@ -217,7 +217,7 @@ def write_token_files(documents: DataFrame, folder: str, tokenizer: str = TOKENI
                 schema=pa.schema([("shard", pa.int32()), ("path", pa.string()), ("index_path", pa.string()),
                                   ("n_docs", pa.int64()), ("n_ids", pa.int64()), ("n_sequences", pa.int64())]))
 
-    shards = written(keys.select("doc_id", "text").mapInArrow(run, MANIFEST), "token-shards")
+    shards = written(keys.select("doc_id", "text").mapInArrow(tidy(run), MANIFEST), "token-shards")
     rows, base = [], 0
     for r in sorted(shards.collect()):       # one short row per shard, not per document
         rows.append((*r, base))
@@ -257,7 +257,7 @@ def read_documents(spark: SparkSession, folder: str) -> DataFrame:
                 tokens.close()
 
     return (shards.repartitionByRange(n, "shard")
-            .mapInArrow(run, "doc_id long, start long, n_tokens long, ids_crc32 long"))
+            .mapInArrow(tidy(run), "doc_id long, start long, n_tokens long, ids_crc32 long"))
 
 
 def report(documents: DataFrame, tokenizer: str = TOKENIZER) -> DataFrame:

@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from orderlens.llm.common import broadcast_checked, byte_slices, written
+from orderlens.llm.common import broadcast_checked, byte_slices, tidy, written
 
 MIN_LENGTH = 7         # code points of a word
 MIN_COUNT = 2          # occurrences of a word
@@ -89,7 +89,7 @@ def word_counts(documents: DataFrame) -> DataFrame:
             yield _sums(held)
 
     texts = documents.select("doc_id", F.col("text").cast("binary").alias("text"))
-    counts = texts.mapInArrow(run, "key string, n long").groupBy(F.col("key").alias("word")).agg(F.sum("n").alias("n"))
+    counts = texts.mapInArrow(tidy(run), "key string, n long").groupBy(F.col("key").alias("word")).agg(F.sum("n").alias("n"))
     return (counts.withColumn("length", F.length("word"))
             .where((F.col("length") >= MIN_LENGTH) & (F.col("n") >= MIN_COUNT)))
 
@@ -112,7 +112,7 @@ def frequent_grams(words: DataFrame) -> dict[str, int]:
         if held:
             yield _sums(held)
 
-    got = words.select("word").mapInArrow(run, "key string, n long").groupBy("key").agg(F.sum("n").alias("n"))
+    got = words.select("word").mapInArrow(tidy(run), "key string, n long").groupBy("key").agg(F.sum("n").alias("n"))
     return {r.key: r.n for r in got.where(F.col("n") > least).collect()}
 
 
@@ -161,7 +161,7 @@ def gram_lists(words: DataFrame) -> DataFrame:
                      *(b.column(c).take(rows) for c in (2, 0, 1))], ["gram", "place", "length", "word", "n"])
 
     return (words.select("word", "n", "length")
-            .mapInArrow(run, "gram string, place int, length int, word string, n long"))
+            .mapInArrow(tidy(run), "gram string, place int, length int, word string, n long"))
 
 
 def near_pairs(words: DataFrame) -> DataFrame:
