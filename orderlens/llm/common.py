@@ -6,6 +6,8 @@ names, so a lost executor costs only the tasks that ran on it.
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import uuid
 from collections.abc import Callable
 
@@ -43,6 +45,21 @@ def broadcast_checked(df: DataFrame, max_rows: int) -> DataFrame:
     return F.broadcast(df) if df.count() <= max_rows else df
 
 
+def tidy(run: Callable) -> Callable:
+    """``run`` with its memory given back to the system at the end: workers live on between tasks,
+    and Arrow's pool and the C heap keep what a task has freed."""
+    def outer(batches):
+        try:
+            yield from run(batches)
+        finally:
+            gc.collect()
+            pa.default_memory_pool().release_unused()
+            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+            if trim is not None:
+                trim(0)
+    return outer
+
+
 def byte_slices(batch: pa.RecordBatch, at: int, limit: int = BATCH_BYTES):
     """Slices of ``batch`` whose texts in column ``at`` hold about ``limit`` bytes each."""
     sizes = pc.fill_null(pc.binary_length(batch.column(at)), 0).to_numpy(zero_copy_only=False)
@@ -77,7 +94,7 @@ def map_text(df: DataFrame, keep: list[str], text: str, start: Callable, out: li
             arrays += [c if isinstance(c, pa.Array) else pa.array(c, t) for c, t in zip(cols, types)]
             yield pa.RecordBatch.from_arrays(arrays, names)
 
-    return df.mapInArrow(run, schema)
+    return df.mapInArrow(tidy(run), schema)
 
 
 def connected_components(edges: DataFrame, tag: str) -> DataFrame:

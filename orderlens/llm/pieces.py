@@ -18,32 +18,34 @@ by one, whatever their ids or other columns; any length is encoded whole.
 
 from __future__ import annotations
 
-import gc
 import hashlib
 import os
 import re
-from itertools import chain
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from orderlens.llm.common import map_text
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SPACE = "▁"
-MEMO = 500_000     # memoised stretches per task
-MEMO_LEN = 48      # longest memoised stretch
+DECODE_ROWS = 64   # rows whose ids one step of a decoding task holds as Python numbers
+MEMO = 50_000      # memoised stretches per task
+MEMO_LEN = 48      # longest stretch that is kept in the memo
 
 
 class _Memo(dict):
-    """Ids by word; full at ``MEMO`` words, longer words are not kept."""
+    """Ids (little-endian 32-bit, as bytes) by stretch; ``MEMO`` stretches at most."""
 
     def __init__(self, make):
         super().__init__()
         self.make = make
 
     def __missing__(self, word):
-        got = self.make(word)
+        got = np.asarray(self.make(word), dtype="<i4").tobytes()
         if len(self) < MEMO and len(word) <= MEMO_LEN:
             self[word] = got
         return got
@@ -88,132 +90,141 @@ class Codec:
         rest = f"[^{SPACE}\n{sign}]"
         self.word = re.compile(".+" if crossed or not signs else
                                f"{SPACE}+(?:[{sign}]+{rest}*|{rest}*)|[{sign}]+{rest}*|{rest}+|\n+", re.S)
-        self.memo = _Memo(self._ids)
+        self.memo = _Memo(self.stream)
 
     # -- one stretch -----------------------------------------------------
     def _bytes(self, ch: str) -> list[int]:
         return [self.byte_id[b] for b in ch.encode()]
 
-    def _short(self, s: str) -> tuple:
-        """Plain dynamic programme over a short stretch; ties go to the longer last piece."""
-        n, trie, unknown = len(s), self.trie, self.unknown
-        total, back = [0.0] + [-np.inf] * n, [None] * (n + 1)
+    def stream(self, s: str) -> list[int]:
+        """Best ids of a stretch of any length, in one pass; ties go to the longer last piece.
+
+        The window holds the boundaries that a piece can still reach or start
+        from.  Every ``longest`` characters the paths of all live boundaries are
+        followed back to the one in which they meet, and the ids up to there
+        are committed.
+        """
+        n, trie, unknown, longest = len(s), self.trie, self.unknown, self.longest
+        total, back = {0: 0.0}, {}
+        out, done, due = [], 0, 2 * longest
         for i in range(n):
+            if i >= due:
+                due = i + longest
+                meet = self._meet(back, total, i)
+                if meet > done:
+                    self._commit(s, back, done, meet, out)
+                    base, done = total[meet], meet
+                    total = {k: v - base for k, v in total.items() if k >= meet}
             t, node, j = total[i], trie.get(s[i]), i + 1
             if node is None or 0 not in node:
-                if t + unknown > total[j]:
+                if j not in total or t + unknown > total[j]:
                     total[j], back[j] = t + unknown, (i, -1)
             while node:
                 hit = node.get(0)
-                if hit is not None and t + hit[0] > total[j]:
+                if hit is not None and (j not in total or t + hit[0] > total[j]):
                     total[j], back[j] = t + hit[0], (i, hit[1])
                 if j == n:
                     break
                 node = node.get(s[j])
                 j += 1
-        return self._trace(s, back, n)
+        self._commit(s, back, done, n, out)
+        return out
 
-    def _trace(self, s: str, back, n: int) -> tuple:
-        out, j = [], n
-        while j:
+    @staticmethod
+    def _meet(back: dict, total: dict, i: int) -> int:
+        """The boundary through which the paths of all live boundaries (``i`` and later) run."""
+        live = {k for k in total if k >= i}
+        while len(live) > 1:
+            last = max(live)
+            live.discard(last)
+            live.add(back[last][0])
+        return min(live)
+
+    def _commit(self, s: str, back: dict, done: int, end: int, out: list[int]) -> None:
+        """Append the ids of ``s[done:end]`` along the back-pointers and forget those."""
+        parts, j = [], end
+        while j > done:
             i, k = back[j]
-            out.append([k] if k >= 0 else self._bytes(s[i:j]))
+            parts.append([k] if k >= 0 else self._bytes(s[i:j]))
             j = i
-        return tuple(x for part in reversed(out) for x in part)
-
-    def stream(self, s: str) -> list[int]:
-        """The same result for a stretch of any length within a window of ``longest`` boundaries."""
-        out, best, longest, n = [], self.best, self.longest, len(s)
-        score, back, committed = {0: 0.0}, {}, 0
-        for j in range(1, n + 1):
-            top, arg = -np.inf, None
-            for i in range(max(committed, j - longest), j):
-                hit = best.get(s[i:j], (self.unknown, -1) if j - i == 1 else None)
-                if hit is not None and score[i] + hit[0] > top:
-                    top, arg = score[i] + hit[0], (i, hit[1])
-            score[j], back[j] = top, arg
-            if j - committed >= 2 * longest or j == n:
-                # surviving ends: boundaries that a later piece can still start from
-                ends = [j] if j == n else list(range(j - longest + 1, j + 1))
-                live = set(ends)
-                while len(live) > 1:          # follow the latest path back until all have met
-                    last = max(live)
-                    live.discard(last)
-                    live.add(back[last][0])
-                meet = min(live)
-                if meet > committed:
-                    part, k = [], meet
-                    while k > committed:
-                        i, p = back[k]
-                        part.append([p] if p >= 0 else self._bytes(s[i:k]))
-                        k = i
-                    out += [x for y in reversed(part) for x in y]
-                    base = score[meet]
-                    for x in range(committed, meet):
-                        score.pop(x, None)
-                        back.pop(x, None)
-                    committed = meet
-                    score = {k: v - base for k, v in score.items()}
-        return out
+        for part in reversed(parts):
+            out += part
+        for k in range(done + 1, end + 1):
+            back.pop(k, None)
 
     # -- whole texts -----------------------------------------------------
-    def _stretches(self, text: str):
-        """Maximal stretches of ``text`` (spaces already marked) without an uncrossable boundary."""
-        pairs, at, n = self.pairs, 0, len(text)
-        for k in range(1, n):
-            if text[k - 1:k + 1] not in pairs:
-                yield text[at:k]
-                at = k
-        if n:
-            yield text[at:]
-
-    def _ids(self, word: str):
-        """Ids of one word: short words in one go, long ones as streamed stretches."""
-        if len(word) <= MEMO_LEN:
-            return self._short(word)
-        return [x for s in self._stretches(word) for x in self.stream(s)]
-
-    def encode(self, text: str) -> list[int]:
+    def buffer(self, text: str | None) -> bytes:
+        """Ids of a whole text as little-endian 32-bit integers."""
         if not text:
-            return []
-        out: list[int] = []
+            return b""
+        out: list[bytes] = []
         # a literal space mark is spelled in bytes, between two independent parts
         for n, part in enumerate(text.split(SPACE)):
             if n:
-                out += [self.byte_id[b] for b in SPACE.encode()]
+                out.append(np.asarray([self.byte_id[b] for b in SPACE.encode()], dtype="<i4").tobytes())
             part = part.replace(" ", SPACE)
-            words = self.word.findall(part if n else SPACE + part)
-            out += chain.from_iterable(map(self.memo.__getitem__, words))
-        return out
+            out += map(self.memo.__getitem__, self.word.findall(part if n else SPACE + part))
+        return b"".join(out)
+
+    def encode(self, text: str) -> list[int]:
+        return np.frombuffer(self.buffer(text), dtype="<i4").tolist()
 
     def decode(self, ids: list[int]) -> str:
         text = b"".join(map(self.raw.__getitem__, ids)).decode("utf-8", "replace")
         return text[1:] if text.startswith(" ") else text
 
 
+def _id_column(buffers: list[bytes | None]) -> pa.Array:
+    """One int32 list column over a single values buffer."""
+    sizes = np.fromiter((0 if b is None else len(b) // 4 for b in buffers), dtype=np.int32, count=len(buffers))
+    ends = np.concatenate(([0], np.cumsum(sizes))).astype(np.int32)
+    offsets = pa.array(ends, mask=np.append([b is None for b in buffers], False))
+    values = pa.array(np.frombuffer(b"".join(b for b in buffers if b), dtype="<i4"))
+    return pa.ListArray.from_arrays(offsets, values)
+
+
 def encode(documents: DataFrame, model_file: str = MODEL, keep: list[str] | None = None) -> DataFrame:
     """``keep`` columns (default doc_id) and ``ids``: the token ids of every whole text."""
     def start():
-        gc.set_threshold(500_000, 50, 100)   # the memo holds many small tuples and no cycles
         codec = Codec(model_file)
-        return lambda texts: [[None if t is None else codec.encode(t) for t in texts]]
+        return lambda texts: [_id_column([None if t is None else codec.buffer(t) for t in texts])]
     return map_text(documents, keep or ["doc_id"], "text", start, [("ids", "array<int>")])
 
 
+def decode(encoded: DataFrame, model_file: str = MODEL, keep: list[str] | None = None) -> DataFrame:
+    """``keep`` columns (default doc_id) and ``text``: the texts of an ``ids`` column (null stays null,
+    null ids inside a row are skipped)."""
+    names = keep or ["doc_id"]
+    frame = encoded.select(*names, F.col("ids").cast("array<int>").alias("_ids"))
+    schema = T.StructType([encoded.schema[c] for c in names] + [T.StructField("text", T.StringType())])
+    columns = [f.name for f in schema.fields]
+
+    def run(batches):
+        codec = Codec(model_file)
+        for whole in batches:
+            for at in range(0, whole.num_rows, DECODE_ROWS):
+                b = whole.slice(at, DECODE_ROWS)
+                texts = [None if row is None else codec.decode([x for x in row if x is not None])
+                         for row in b.column(len(names)).to_pylist()]
+                yield pa.RecordBatch.from_arrays(
+                    [b.column(k) for k in range(len(names))] + [pa.array(texts, pa.string())], columns)
+
+    return frame.mapInArrow(run, schema)
+
+
 def digest(documents: DataFrame, model_file: str = MODEL) -> DataFrame:
     """(doc_id, n_ids, ids_sha256 of the little-endian 32-bit ids, exact): ``exact`` says that
     decoding gives the text back.  Null text: no ids, exact is null."""
     def start():
-        gc.set_threshold(500_000, 50, 100)   # the memo holds many small tuples and no cycles
         codec = Codec(model_file)
 
         def f(texts):
             cols = [[], [], []]
             for t in texts:
-                ids = codec.encode(t) if t else []
-                cols[0].append(len(ids))
-                cols[1].append(hashlib.sha256(np.asarray(ids, dtype="<i4").tobytes()).hexdigest())
-                cols[2].append(None if t is None else codec.decode(ids) == t)
+                ids = codec.buffer(t)
+                cols[0].append(len(ids) // 4)
+                cols[1].append(hashlib.sha256(ids).hexdigest())
+                cols[2].append(None if t is None else codec.decode(np.frombuffer(ids, dtype="<i4").tolist()) == t)
             return cols
         return f
     return map_text(documents, ["doc_id"], "text", start, [
