@@ -8,10 +8,10 @@ are one class before any bucket is built, so a large group of copies is one
 bucket member.  Inside a bucket every member is paired with one centre only (a
 star), so candidate pairs never exceed memberships.  Pairs are confirmed on the
 full sets.  Buckets that still span several components get further stars with
-other centres, only for members outside the centre's component, until
-``QUIET_ROUNDS`` rounds in a row confirm nothing new.  What is then left of the
-open buckets is compared exactly, pair by pair across components, in blocks of
-``BLOCK`` members; buckets with the same members are compared once.
+other centres, only for members outside the centre's component, in
+``STAR_ROUNDS`` rounds.  What is then left of the open buckets is compared
+exactly, pair by pair across components, in blocks of ``BLOCK`` members;
+buckets with the same members are compared once.
 
 A pair at the threshold (``link`` percent) misses all 25 buckets with probability
 4e-7 at 85 and 5e-5 at 80.
@@ -37,7 +37,7 @@ SHINGLE = 5
 BINS = 128
 BANDS, ROWS = 25, 5
 LINK = 85              # least 100 * intersection / union
-QUIET_ROUNDS = 2       # further star rounds without a new link before open buckets are compared exactly
+STAR_ROUNDS = 2        # further star rounds before open buckets are compared exactly
 BLOCK = 512            # members of an open bucket that one side of a task holds
 MAX_BROADCAST = 2_000_000   # ids (8 bytes) that may be broadcast to select texts
 
@@ -54,7 +54,7 @@ def _mix(x: np.ndarray) -> np.ndarray:
 class _WordHash(dict):
     def __missing__(self, w):
         h = xxhash.xxh3_64_intdigest(w)
-        if len(self) < 500_000:
+        if len(self) < 100_000 and len(w) <= 64:
             self[w] = h
         return h
 
@@ -236,15 +236,21 @@ def _components(documents: DataFrame, link: int, block: int = BLOCK) -> DataFram
 
     tried = written(pairs_of(members), "near-pairs")
     links = fresh = written(_confirm(tried, sets, link), "near-links")
-    quiet, r = 0, 0
-    while quiet < QUIET_ROUNDS:
-        r += 1
+    for r in range(1, STAR_ROUNDS + 2):
         # only the new links can join components; closed buckets (one component) never open again
         comp = written(connected_components(fresh.select(F.col("x").alias("a"), F.col("y").alias("b")),
                                             f"near-cc{r}"), f"near-comp{r}")
         now = members.join(comp.withColumnRenamed("node", "comp"), "comp", "left").select(
             "band", "key", "doc_id", "n", F.coalesce("component", "comp").alias("comp"))
         now = written(now, f"near-now{r}")
+        if r > STAR_ROUNDS:     # the stars are done: the members of the open buckets meet each other
+            open_ = written(now.groupBy("band", "key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"))
+                            .where("lo <> hi").select("band", "key"), "near-open-rest")
+            if not open_.isEmpty():
+                members = written(now.join(open_, ["band", "key"]), "near-members-rest")
+                links = links.select("a", "b").unionByName(
+                    written(_rest(members, sets, link, block), "near-rest-links"))
+            break
         centre = F.struct(F.xxhash64("doc_id", "band", F.lit(r)).alias("h"), "doc_id", "n", "comp")
         open_ = written(now.groupBy("band", "key").agg(
             F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.min(centre).alias("c"))
@@ -255,11 +261,7 @@ def _components(documents: DataFrame, link: int, block: int = BLOCK) -> DataFram
         step = pairs_of(members.where("comp <> c.comp"))
         step = written(step.join(tried.select("a", "b"), ["a", "b"], "left_anti"), f"near-pairs{r}")
         fresh = written(_confirm(step, sets, link), f"near-links{r}")
-        quiet = quiet + 1 if fresh.isEmpty() else 0
         tried, links = tried.unionByName(step), links.unionByName(fresh)
-    else:
-        # the last round joined nothing: members holds the open buckets and their components
-        links = links.select("a", "b").unionByName(written(_rest(members, sets, link, block), "near-rest-links"))
     comp = connected_components(links, "near-final")
     rep = (classes.join(comp.withColumnRenamed("node", "rep"), "rep", "left")
            .select("set_id", F.coalesce("component", "rep").alias("class_id")))
