@@ -11,11 +11,14 @@ blocks that are compared pairwise, so no task holds more than two blocks, and a
 task returns one row per entry (its links and the smallest id of its local
 component), never pairs.  The number of pivots grows with the square root of
 the number of vectors; pivots come from the table by hash order, at most
-``MAX_PIVOTS``, and every vector is indexed.  No two pivots have a cosine of
-``APART`` or more, so a dense group holds few pivots, its members name the same
-ones, and recall does not depend on the group's share of the table.  Fewer than
-nearest ** 2 pivots make lists so long that one list of all vectors, an exact
-comparison, is less work: then one pivot stands for all.
+``MAX_PIVOTS``, and every vector is indexed.  Nearness to pivots is measured
+from the mean of the pivot candidates, so vectors that share a common direction
+(text embeddings do) spread over the lists like any others; links are verified
+on the vectors as they are.  No two pivots have a cosine of ``APART`` or more
+seen from there, so a dense group holds few pivots, its members name the same
+ones, and recall does not depend on the group's share of the table; where that
+leaves less than ``4 * NEAREST`` pivots the bound is raised step by step.  Up to
+``MIN_PIVOTS`` vectors, each names all pivots.
 
 Defined results: null, empty and all-zero vectors, vectors with null or
 non-finite components or another length than most vectors have, and rows with
@@ -36,11 +39,11 @@ from pyspark.sql import functions as F
 from orderlens.llm.common import connected_components, written
 
 COSINE = 0.9
-NEAREST = 8            # pivots that describe a vector
+NEAREST = 12           # pivots that describe a vector
 MIN_SHARED = 2
 PIVOTS_PER_ROOT = 4    # pivots = this times the square root of the vectors
-MIN_PIVOTS, MAX_PIVOTS = 16, 4096
-APART = 0.5            # pivots have smaller cosines to each other
+MIN_PIVOTS, MAX_PIVOTS = 48, 4096
+APART = (0.5, 0.6, 0.7, 0.8)   # pivots have smaller cosines to each other: the first that leaves enough of them
 BLOCK = 1024           # entries of an inverted list that one side of a task holds
 
 
@@ -55,7 +58,24 @@ def _unit(vectors) -> np.ndarray:
     return x / np.sqrt((x * x).sum(axis=1, keepdims=True))
 
 
-def apart(x: np.ndarray, cosine: float = APART) -> np.ndarray:
+def _from(x: np.ndarray, centre: np.ndarray) -> np.ndarray:
+    """Unit directions of unit vectors seen from ``centre`` (a vector that lies there has none: zeros)."""
+    y = x - centre
+    return y / np.maximum(np.sqrt((y * y).sum(axis=1, keepdims=True)), 1e-12)
+
+
+def choose_pivots(x: np.ndarray, enough: int) -> tuple[np.ndarray, np.ndarray]:
+    """(pivots, centre) out of unit vectors in hash order."""
+    centre = x.mean(axis=0, keepdims=True) if len(x) > 2 else np.zeros((1, x.shape[1]))
+    y = _from(x, centre)
+    for cosine in APART:
+        pivots = apart(y, cosine)
+        if len(pivots) >= enough:
+            break
+    return pivots, centre
+
+
+def apart(x: np.ndarray, cosine: float) -> np.ndarray:
     """The unit vectors, in order, whose cosine to every one taken before is below ``cosine``."""
     taken = np.empty_like(x)
     n = 0
@@ -117,12 +137,12 @@ def _list_block(pivot: int, a: pd.DataFrame, b: pd.DataFrame | None, cosine: flo
     return pd.DataFrame({"rep": ids[hit], "links": links[hit], "root": lab[hit]})
 
 
-def index(reps: DataFrame, pivots: np.ndarray, nearest: int = NEAREST) -> DataFrame:
+def index(reps: DataFrame, pivots: np.ndarray, centre: np.ndarray, nearest: int = NEAREST) -> DataFrame:
     """Inverted lists: (pivot, rep, mult, near, v), a row per vector and named pivot."""
     def run(frames):
         for f in frames:
             if len(f):
-                near = nearest_pivots(_unit(f["v"]), pivots, nearest)
+                near = nearest_pivots(_from(_unit(f["v"]), centre), pivots, nearest)
                 k = near.shape[1]
                 at = np.repeat(np.arange(len(f)), k)
                 yield pd.DataFrame({"pivot": near.ravel(), "rep": f["rep"].to_numpy()[at],
@@ -148,11 +168,10 @@ def components(embeddings: DataFrame, cosine: float = COSINE, nearest: int = NEA
     k = min(n, max(MIN_PIVOTS, min(MAX_PIVOTS, math.ceil(PIVOTS_PER_ROOT * math.sqrt(n)))))
     # at most MAX_PIVOTS rows reach the driver
     chosen = [r["v"] for r in reps.orderBy(F.xxhash64("rep"), "rep").limit(k).collect()] if k else []
-    pivots = apart(_unit(chosen)) if chosen else np.zeros((0, 1))
-    if len(pivots) < nearest * nearest:
-        pivots = pivots[:1]                          # one list: every pair is compared
-    shared = min(min_shared, nearest, max(1, len(pivots)))
-    lists = written(index(reps, pivots, nearest), "embed-lists")
+    pivots, centre = choose_pivots(_unit(chosen), 4 * nearest) if chosen else (np.zeros((0, 1)), np.zeros((1, 1)))
+    named = len(pivots) if n <= MIN_PIVOTS else min(nearest, max(2, math.ceil(len(pivots) / 4)))
+    shared = max(1, min(min_shared, named // 4))
+    lists = written(index(reps, pivots, centre, named), "embed-lists")
 
     # a list of s entries has ceil(s / block) blocks; an entry meets every block of its list once
     length = lists.groupBy("pivot").agg(F.ceil(F.count("*") / block).cast("int").alias("nb"))
