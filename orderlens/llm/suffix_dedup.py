@@ -32,6 +32,7 @@ doc_ids are not compared and lose nothing; other columns are ignored.
 from __future__ import annotations
 
 import hashlib
+import math
 
 import numpy as np
 import pyarrow as pa
@@ -44,6 +45,7 @@ LENGTH = 100
 GRAM = 32
 HOT = 40
 SEGMENT = 1 << 22           # bytes of a very long document handled at a time
+TASK_ROWS = 100_000         # anchors (168 bytes around each) that one task of the column-wise order holds
 MAX_BROADCAST = 2_000_000   # anchor hashes or ids (8 bytes) that may be broadcast
 
 _U = np.uint64
@@ -61,14 +63,14 @@ def gram_hashes(b: np.ndarray, gram: int = GRAM) -> np.ndarray:
     return h
 
 
-def anchors(b: np.ndarray, length: int = LENGTH, gram: int = GRAM):
+def anchors(b: np.ndarray, length: int = LENGTH, gram: int = GRAM, segment: int = SEGMENT):
     """(hash, position, first window, last window) of each anchor: windows [first, last] chose it."""
     n = len(b) - length + 1
     if n <= 0:
         return None
     out = []
-    for base in range(0, n, SEGMENT):                 # window starts base .. stop - 1
-        stop = min(n, base + SEGMENT)
+    for base in range(0, n, segment):                 # window starts base .. stop - 1
+        stop = min(n, base + segment)
         h = gram_hashes(b[base:stop + length - 1], gram)
         key = (h & ~_POS) | np.arange(len(h), dtype=np.uint64)
         span, width, m = length - gram + 1, 1, key
@@ -89,11 +91,11 @@ def _bytes(text: str) -> np.ndarray:
     return np.frombuffer(text.encode("utf-8"), dtype=np.uint8)
 
 
-def anchor_counts(documents: DataFrame, length: int) -> DataFrame:
+def anchor_counts(documents: DataFrame, length: int, segment: int) -> DataFrame:
     """(h, n): anchor hashes that occur at least twice."""
     def run(batches):
         for b in batches:
-            found = [a[0] for t in b.column(0).to_pylist() if t and (a := anchors(_bytes(t), length))]
+            found = [a[0] for t in b.column(0).to_pylist() if t and (a := anchors(_bytes(t), length, segment=segment))]
             if found:
                 h, n = np.unique(np.concatenate(found), return_counts=True)
                 yield pa.RecordBatch.from_arrays([pa.array(h), pa.array(n)], ["h", "n"])
@@ -101,12 +103,12 @@ def anchor_counts(documents: DataFrame, length: int) -> DataFrame:
     return written(rows.groupBy("h").agg(F.sum("n").alias("n")).where("n > 1"), "suffix-repeated")
 
 
-def anchor_rows(documents: DataFrame, length: int) -> DataFrame:
+def anchor_rows(documents: DataFrame, length: int, segment: int) -> DataFrame:
     """(h, doc_id, tkey, a, lo, hi) for every anchor of every document."""
     def run(batches):
         for b in batches:
             ids, keys = b.column(0).to_numpy(zero_copy_only=False), b.column(1).to_numpy(zero_copy_only=False)
-            rows = [(i, a) for i, t in enumerate(b.column(2).to_pylist()) if t and (a := anchors(_bytes(t), length))]
+            rows = [(i, a) for i, t in enumerate(b.column(2).to_pylist()) if t and (a := anchors(_bytes(t), length, segment=segment))]
             if rows:
                 at = np.repeat([i for i, _ in rows], [len(a[0]) for _, a in rows])
                 h, a, lo, hi = (np.concatenate([x[k] for _, x in rows]) for k in range(4))
@@ -247,7 +249,7 @@ def merged(spans) -> list[list[int]]:
     return out
 
 
-def repeats(documents: DataFrame, length: int = LENGTH) -> DataFrame:
+def repeats(documents: DataFrame, length: int = LENGTH, segment: int = SEGMENT) -> DataFrame:
     """(doc_id, tkey, n_bytes, sha256, copy, spans): ``copy`` marks a document that an earlier one
     equals (all of it goes if it has ``length`` bytes), ``spans`` the other removed spans, unmerged;
     ``sha256`` is that of the whole text."""
@@ -265,12 +267,16 @@ def repeats(documents: DataFrame, length: int = LENGTH) -> DataFrame:
     docs = keyed.where(F.col("doc_id").isNotNull() & (F.octet_length("text") >= length))
     docs = docs.join(broadcast_checked(copies, MAX_BROADCAST), ["doc_id", "tkey"], "left_anti")
 
-    repeated = anchor_counts(docs, length)
-    mine = anchor_rows(docs, length).join(broadcast_checked(repeated, MAX_BROADCAST), "h")
-    # a repeated row of the table is one document: its anchors count once
-    mine = written(mine.dropDuplicates(["doc_id", "tkey", "a"]), "suffix-anchors")
-    parts = max(1, int(documents.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    cold = contexts(docs, mine.where(F.col("n") <= HOT), length)
+    repeated = anchor_counts(docs, length, segment)
+    mine = anchor_rows(docs, length, segment).join(broadcast_checked(repeated, MAX_BROADCAST), "h")
+    # a repeated row of the table is one document: its anchors count once; an anchor that windows on
+    # both sides of a segment's end have chosen is two rows, with different windows
+    mine = written(mine.dropDuplicates(["doc_id", "tkey", "a", "lo"]), "suffix-anchors")
+    few = mine.where(F.col("n") <= HOT)
+    # a task holds its whole partition, so the number of partitions follows the rows
+    parts = max(int(documents.sparkSession.conf.get("spark.sql.shuffle.partitions")),
+                math.ceil(few.count() / TASK_ROWS))
+    cold = contexts(docs, few, length)
     spans = written(cold_spans(cold, length, parts), "suffix-cold")
     hot = written(contexts(docs, mine.where(F.col("n") > HOT), length), "suffix-hot")
     spans = spans.unionByName(written(hot_spans(hot, length), "suffix-hot-spans"))
@@ -282,9 +288,9 @@ def repeats(documents: DataFrame, length: int = LENGTH) -> DataFrame:
     return out.select("doc_id", "tkey", "n_bytes", "sha256", F.coalesce("copy", F.lit(False)).alias("copy"), "spans")
 
 
-def report(documents: DataFrame, length: int = LENGTH) -> DataFrame:
+def report(documents: DataFrame, length: int = LENGTH, segment: int = SEGMENT) -> DataFrame:
     """(doc_id, n_bytes, n_removed, n_spans, kept_sha256) per document."""
-    got = written(repeats(documents, length), "suffix-report")
+    got = written(repeats(documents, length, segment), "suffix-report")
     empty = F.sha2(F.lit("").cast("binary"), 256)
     plain = got.where("copy or spans is null").select(
         "doc_id", "n_bytes", F.when(F.col("copy"), F.col("n_bytes")).otherwise(F.lit(0)).cast("long").alias("n_removed"),
