@@ -3,11 +3,15 @@
 Markup is stripped into lines (one per block element).  A line weighs its text
 outside links; lines inside menus, headers, footers, sidebars, notices,
 adverts, forms and reader comments weigh nothing and never enter the result.
-The weights are summed over sliding windows of lines; the text body is the
-stretch between a surge (a window sum rises above zero) and the next dive (it
-falls back to zero) that holds most text.  Where that stretch lies inside an
-``article`` or ``main`` element, surge and dive are moved to the element's
-first and last line, so short first and last paragraphs stay.
+The weights are summed over sliding windows of the lines that hold text; the
+text body is the stretch between a surge (a window sum rises above zero) and the
+next dive (it falls back to zero) that holds most text.  Lines without text
+(figures, spacers) are in no window, so they end nothing.  Where that stretch
+lies inside an ``article`` or ``main`` element, surge and dive are moved to the
+first and last line of all such elements, so short first and last paragraphs and
+further articles stay.  Inside them a class, id or role marks furniture only if
+it starts with a telling word (``share-buttons``, not ``post-header`` or
+``notice-period``).
 
 Defined results: null or empty html gives the empty string; a page cut off in
 the middle of a tag, comment or script loses only that unfinished piece;
@@ -37,10 +41,12 @@ TOKENS = re.compile(r"[a-z]+")
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param",
         "source", "track", "wbr"}
 RAW = {"script", "style", "title", "textarea", "noscript", "template", "iframe", "object", "svg",
-       "math", "canvas", "audio", "video", "select", "head"}
+       "canvas", "audio", "video", "select", "head"}
 INLINE = {"a", "abbr", "acronym", "b", "bdi", "bdo", "big", "cite", "code", "data", "del", "dfn",
           "em", "font", "i", "img", "ins", "kbd", "label", "mark", "q", "rp", "rt", "ruby", "s",
-          "samp", "small", "span", "strike", "strong", "sub", "sup", "time", "tt", "u", "var", "wbr"}
+          "samp", "small", "span", "strike", "strong", "sub", "sup", "time", "tt", "u", "var", "wbr",
+          "math", "mi", "mn", "mo", "mtext", "mrow", "mfrac", "msqrt", "mroot", "msub", "msup", "msubsup",
+          "semantics"}
 ASIDE = {"nav", "header", "footer", "aside", "form", "button", "menu", "dialog", "fieldset"}
 BODY = {"article", "main"}
 NEVER = {"html", "body", "article", "main"}
@@ -55,13 +61,22 @@ FURNITURE = {"ad", "ads", "adv", "advert", "adverts", "advertisement", "advertis
              "contentinfo", "dialog"}
 
 
+#: furniture words that an article may use for parts of its own
+OWN = {"header", "footer", "notice", "notices", "alert", "search", "widget", "banner", "menu", "dialog", "modal",
+       "login", "copyright", "promo", "promotion", "toolbar", "subscription"}
+NAMES = re.compile(r"[^\s]+")
+
+
 def _furniture(name: str, attrs: str, inside_body: bool) -> bool:
     if name in ASIDE:
         return not (name == "header" and inside_body)   # an article's own header holds its title
     if name in NEVER or not attrs:
         return False
-    return any(not FURNITURE.isdisjoint(TOKENS.findall((a or b or c).lower()))
-               for _, a, b, c in ATTR.findall(attrs))
+    values = [(a or b or c).lower() for _, a, b, c in ATTR.findall(attrs)]
+    if inside_body:
+        firsts = (TOKENS.match(x) for v in values for x in NAMES.findall(v))
+        return any(m and m.group(0) in FURNITURE - OWN for m in firsts)
+    return any(not FURNITURE.isdisjoint(TOKENS.findall(v)) for v in values)
 
 
 def lines_of(page: str) -> list[tuple[str, int, bool, int]]:
@@ -145,7 +160,8 @@ def lines_of(page: str) -> list[tuple[str, int, bool, int]]:
 
 def body_range(lines: list) -> tuple[int, int]:
     """First and last + 1 line of the text body."""
-    weights = [w for _, w, _, _ in lines]
+    at = [k for k, (t, _, off, _) in enumerate(lines) if t or off]      # lines without text end nothing
+    weights = [lines[k][1] for k in at]
     sums = [sum(weights[i:i + WINDOW]) for i in range(len(weights))]
     best, most, i = (0, 0), 0, 0
     while i < len(sums):
@@ -159,19 +175,19 @@ def body_range(lines: list) -> tuple[int, int]:
         if total > most:
             best, most = (i, j), total
         i = j
-    if not most:
-        best = (0, len(lines))                  # link lists only: everything that is not furniture
+    s, e = best
+    while s < e and not weights[s]:
+        s += 1
+    # link lists only: everything that is not furniture
+    s, e = (at[s], at[e - 1] + 1) if most else (0, len(lines))
     by_body: dict[int, int] = {}
-    for _, w, _, b in lines[best[0]:best[1]]:
+    for _, w, _, b in lines[s:e]:
         by_body[b] = by_body.get(b, 0) + w
     inside = max((b for b in by_body if b), key=lambda b: (by_body[b], -b), default=0)
     if inside and (by_body[inside] or not most):
-        own = [k for k, x in enumerate(lines) if x[3] == inside]
+        own = [k for k, x in enumerate(lines) if x[3]]
         return own[0], own[-1] + 1
-    s, e = best
-    while s < e and not weights[s]:
-        s += 1
-    return (s, e) if most else best
+    return s, e
 
 
 def main_text(page: str | None) -> str:
