@@ -50,10 +50,10 @@ class _Shapes(dict):
     symbols; ends a sentence); bounded memo."""
 
     def __missing__(self, word):
-        s = _RUNS.sub(rb"\1", word[:200])
-        got = (_slot(f"shape {s[:40]!r}"), len(s) <= 3 and not any(c in b"aA0" for c in s),
+        s = _RUNS.sub(rb"\1", word)
+        got = (_slot(f"shape {s!r}"), len(s) <= 3 and not any(c in b"aA0" for c in s),
                s[-1:] in (b".", b"?", b"!"))
-        if len(self) < 100_000:
+        if len(self) < 50_000 and len(word) <= 64:
             self[word] = got
         return got
 
