@@ -37,28 +37,64 @@ def unpivot(df: DataFrame, cols: Sequence[str], cast: str = "string", ids: Seque
 
 # --- F1 ------------------------------------------------------------------
 
-def typify_columns(df: DataFrame, discrete_max: int = 5, exclude: Sequence[str] = ()) -> DataFrame:
+#: hashes this close are one value whose bin was averaged with itself; two values come so close once in 1e8
+_SAME = float(1 << 24)
+
+
+def bounded_distinct(df: DataFrame, cols: Sequence[str], limit: int) -> dict:
+    """{column: distinct values, missing counted as one, or ``limit + 1`` for more than ``limit``}.
+
+    Values enter a histogram of ``limit + 1`` bins as 52-bit hashes.  It joins
+    the two closest bins when there are too many; copies of a value lie closest
+    of all, so bins of different values are joined only while there are more
+    values than bins.  One aggregate with that many numbers of state per column
+    therefore tells "at most ``limit``", and how many, without collecting or
+    shuffling distinct values.
+    """
+    types = _types(df)
+    aggs = []
+    for i, c in enumerate(cols):
+        v = F.col(c)
+        if isinstance(types[c], (T.FloatType, T.DoubleType)):
+            v = v + F.lit(0.0)                  # -0.0 and 0.0 are one value
+        hashed = F.when(v.isNotNull(), F.shiftrightunsigned(F.xxhash64(v), 12).cast("double"))
+        aggs += [F.histogram_numeric(hashed, F.lit(max(limit + 1, 2))).alias(f"h{i}"),
+                 F.max(F.col(c).isNull().cast("int")).alias(f"m{i}")]
+    row = df.agg(*aggs).first() if aggs else None
+    out = {}
+    for i, c in enumerate(cols):
+        xs = sorted(b["x"] for b in row[f"h{i}"] or [])
+        n = sum(k == 0 or x - xs[k - 1] > _SAME for k, x in enumerate(xs))
+        out[c] = min(n + (row[f"m{i}"] or 0), limit + 1)
+    return out
+
+
+def typify_columns(df: DataFrame, discrete_max: int = 5, exclude: Sequence[str] = (), *,
+                   exact_distinct: bool = False) -> DataFrame:
     """Column kinds (F1): numeric with <= ``discrete_max`` distinct values
     (missing counts as one) -> discrete, other numeric -> continuous,
     text/bool -> categorical, dates/timestamps -> temporal.
 
-    All numeric distinct counts come from ONE aggregate.  Every Spark
-    numeric type is included (the reference only looks at 32/64-bit types).
+    Deciding takes one aggregate with a bounded state per numeric column
+    (:func:`bounded_distinct`); ``n_distinct`` is given for discrete columns, and
+    for all numeric columns with ``exact_distinct``, which counts them in full.
+    Every Spark numeric type is included (the reference only looks at 32/64-bit types).
     """
     spark = df.sparkSession
     types = {c: t for c, t in _types(df).items() if c not in set(exclude)}
     numeric = [c for c, t in types.items() if isinstance(t, NUMERIC)]
-    counts = {}
-    if numeric:
-        aggs = []
-        for c in numeric:
-            aggs.append((F.count_distinct(F.col(c)) + F.max(F.col(c).isNull().cast("int"))).alias(c))
-        counts = df.agg(*aggs).first().asDict()
+    if exact_distinct and numeric:
+        counts = df.agg(*[(F.count_distinct(F.col(c)) + F.coalesce(F.max(F.col(c).isNull().cast("int")), F.lit(0)))
+                          .alias(c) for c in numeric]).first().asDict()
+    else:
+        counts = bounded_distinct(df, numeric, discrete_max)
     rows = []
     for c, t in types.items():
         if c in counts:
             nd = int(counts[c] or 0)
             kind = "discrete" if nd <= discrete_max else "continuous"
+            if kind == "continuous" and not exact_distinct:
+                nd = None
         elif isinstance(t, TEMPORAL):
             nd, kind = None, "temporal"
         elif isinstance(t, (T.StringType, T.BooleanType)):

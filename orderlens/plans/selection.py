@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from orderlens.operators import association as A
-from orderlens.operators.profile import capture_variables
+from orderlens.operators.profile import bounded_distinct, capture_variables
 
 log = logging.getLogger(__name__)
 
@@ -115,8 +115,9 @@ class CramersVSelector(Estimator, _CramerParams, DefaultParamsReadable, DefaultP
         numeric = [c for c, t in kinds.items() if isinstance(t, T.NumericType)]
         if not numeric or not self.getOrDefault(self.includeDiscrete):
             return text
-        levels = A.distinct_counts(df, numeric, self.getOrDefault(self.naToken))
-        return text + [c for c in numeric if levels[c] <= self.getOrDefault(self.discreteMaxCardinality)]
+        most = self.getOrDefault(self.discreteMaxCardinality)
+        levels = bounded_distinct(df, numeric, most)
+        return text + [c for c in numeric if levels[c] <= most]
 
     def _order(self, df: DataFrame, variables: list[str]) -> list[str]:
         """Columns by preference: as given, fewest levels first, or most important first."""
