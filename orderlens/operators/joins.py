@@ -1,12 +1,14 @@
-"""Joins with a checked broadcast side, distribution alignment and grids."""
+"""Joins with a checked broadcast side and distribution alignment."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from orderlens.operators.ranking import global_rank
+
 # Largest row count we broadcast after checking it.
 BROADCAST_MAX_ROWS = 100_000
 
@@ -35,21 +37,17 @@ def align_distributions(template: DataFrame, source: DataFrame, key: str = "clas
                         value: str = "n", order_col: str | None = None) -> DataFrame:
     """Source counts in template key order, 0 where absent, extra keys after.
 
-    ``template`` and ``source`` are (key, value) tables (class-count sized).
+    ``template`` and ``source`` are (key, value) tables, one row per key.
     Template keys keep their order (``order_col`` ascending, else key name);
     source keys missing from the template follow, by name.  Result:
-    ``key, value, extra, position``.
+    ``key, value, extra, position``.  Positions come from a range partitioning
+    with an offset per range, so the key may be as wide as the data.
     """
     order = F.col(order_col) if order_col else F.col(key)
     t = template.select(key, order.alias("_t_order"))
     joined = t.join(source.select(key, value), key, "full_outer")
     extra = F.col("_t_order").isNull()
-    w = Window.orderBy(extra, F.col("_t_order"), F.col(key))
-    return joined.select(
-        key, F.coalesce(F.col(value), F.lit(0)).cast("long").alias(value),
-        extra.alias("extra"), F.row_number().over(w).alias("position"))
-
-
-def zero_filled(counts: DataFrame, grid: DataFrame, keys: Sequence[str], value: str = "n") -> DataFrame:
-    """Left join a fixed grid with counts, zeros where empty."""
-    return grid.join(counts, list(keys), "left").fillna({value: 0})
+    rows = joined.select(key, F.coalesce(F.col(value), F.lit(0)).cast("long").alias(value),
+                         extra.alias("extra"), "_t_order")
+    ranked = global_rank(rows, ["extra", "_t_order", key], rank_col="_at", size_col=None, unique_order=True)
+    return ranked.select(key, value, "extra", (F.col("_at") + 1).cast("int").alias("position"))

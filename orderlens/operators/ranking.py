@@ -2,7 +2,7 @@
 
 Quantiles use exact selection by counting (``selection_exact``): no sort,
 no shuffle of rows.  ``global_rank`` numbers EVERY row, which needs a
-distributed sort; it is kept for callers that need per-row positions.
+distributed sort; it serves callers that need per-row positions (J3).
 
 ``row_number() OVER (PARTITION BY class ORDER BY ...)`` sends every row of
 a class through ONE task; with three classes and 100 TB that is a third of
@@ -75,12 +75,20 @@ def global_rank(df: DataFrame, order_cols: Sequence[str], group_cols: Sequence[s
     part_keys = [*group_cols, "_pid"]
     stats = ranged.groupBy(*part_keys).agg(F.count(F.lit(1)).alias("_cnt"),
                                            F.min("_local").alias("_first"))
-    w = Window.partitionBy(*group_cols).orderBy("_pid") if group_cols else Window.orderBy("_pid")
-    stats = stats.withColumn(
-        "_offset", F.sum("_cnt").over(w.rowsBetween(Window.unboundedPreceding, -1)))
-    if size_col:
-        wg = Window.partitionBy(*group_cols) if group_cols else Window.partitionBy(F.lit(0))
-        stats = stats.withColumn(size_col, F.sum("_cnt").over(wg))
+    if group_cols:
+        w = Window.partitionBy(*group_cols).orderBy("_pid")
+        stats = stats.withColumn("_offset", F.sum("_cnt").over(w.rowsBetween(Window.unboundedPreceding, -1)))
+        if size_col:
+            stats = stats.withColumn(size_col, F.sum("_cnt").over(Window.partitionBy(*group_cols)))
+    else:
+        # one row per partition: offsets are summed in the driver, not in a window over everything
+        rows, run = [], 0
+        for r in sorted(stats.collect(), key=lambda r: r["_pid"]):
+            rows.append((r["_pid"], r["_cnt"], r["_first"], run))
+            run += r["_cnt"]
+        stats = df.sparkSession.createDataFrame(rows, "_pid int, _cnt long, _first long, _offset long")
+        if size_col:
+            stats = stats.withColumn(size_col, F.lit(run).cast("long"))
     stats = stats.fillna({"_offset": 0})
     out = ranged.join(stats, part_keys, "inner").withColumn(
         rank_col, F.col("_offset") + F.col("_local") - F.col("_first"))
