@@ -1,7 +1,7 @@
 """Parquet folder reading, per-file de-duplication, load reports and writers.
 
-S1-S10 of the operator inventory.  Everything is lazy DataFrame work except
-the schema comparison, which only reads parquet footers (metadata).
+S1-S10 of the operator inventory.  Everything is lazy DataFrame work; the
+schema comparison reads the first file's footer first.
 """
 
 from __future__ import annotations
@@ -13,6 +13,8 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from orderlens.sources.footers import file_schema, list_files, schema_differences
+
 # Fixed values ------------------------------------------------------------
 PARQUET_GLOB = "*.parquet"
 SOURCE_FILE_COL = "_source_file"
@@ -87,36 +89,20 @@ def load_report(df: DataFrame, key: str) -> DataFrame:
 
 
 def schema_report(spark: SparkSession, folder: str, glob: str = PARQUET_GLOB) -> DataFrame:
-    """Compare every file's schema with the first file's.
+    """Compare every file's schema with the first file's.
 
-    Reads footers only (one schema call per file, metadata sized), then the
-    comparison itself is a full outer join.  Result columns: file_name,
-    column, ref_type, file_type, status in {same, missing, extra, retyped}.
+    The files are listed as rows and tasks read their footers, so the number of
+    jobs does not grow with the number of files.  Result columns: file_name,
+    column, ref_type, file_type, status in {same, missing, extra, retyped,
+    unreadable}.
     """
-    listing = (spark.read.option("pathGlobFilter", glob)
-               .option("recursiveFileLookup", "false").parquet(folder).inputFiles())
-    files = sorted(listing)
-    if not files:
+    files = list_files(spark, folder, glob)
+    first = files.agg(F.min("path")).first()[0]
+    if first is None:
         raise FileNotFoundError(f"no parquet files in {folder!r}")
-    rows = []
-    for path in files:
-        fname = path.rsplit("/", 1)[-1]
-        for field in spark.read.parquet(path).schema.fields:
-            rows.append((fname, field.name, field.dataType.simpleString()))
-    entries = spark.createDataFrame(rows, "file_name string, column string, file_type string")
-    ref_name = files[0].rsplit("/", 1)[-1]
-    ref_cols = [(c, t) for f, c, t in rows if f == ref_name]
-    # (file, reference column) expectations: files x columns, metadata sized
-    expected = spark.createDataFrame(
-        [(f.rsplit("/", 1)[-1], c, t) for f in files for c, t in ref_cols],
-        "file_name string, column string, ref_type string")
-    joined = expected.join(entries, ["file_name", "column"], "full_outer")
-    status = (F.when(F.col("ref_type").isNull(), "extra")
-              .when(F.col("file_type").isNull(), "missing")
-              .when(F.col("ref_type") != F.col("file_type"), "retyped")
-              .otherwise("same"))
-    return joined.withColumn("status", status).select(
-        "file_name", "column", "ref_type", "file_type", "status")
+    reference = file_schema(files.filter(F.col("path") == first))
+    name = F.regexp_extract("path", r"([^/]+)$", 1).alias("file_name")
+    return schema_differences(files, reference).select(name, "column", "ref_type", "file_type", "status")
 
 
 def write_processed(df: DataFrame, path: str, *, fail_if_empty: bool = True,
@@ -144,3 +130,8 @@ def write_json_lines(df: DataFrame, path: str, *, mode: str = "overwrite") -> st
     """JSON lines, one object per row."""
     df.write.mode(mode).json(path)
     return path
+
+
+def read_json_lines(spark: SparkSession, path: str, schema) -> DataFrame:
+    """Read JSON lines back with their schema (S9, S10); a line that does not fit it is an error."""
+    return spark.read.schema(schema).option("mode", "FAILFAST").json(path)
