@@ -79,28 +79,67 @@ def per_class_report(confusion: DataFrame) -> DataFrame:
     return per.unionByName(macro).unionByName(weighted)
 
 
-def probability_width_violations(df: DataFrame, probs: str, k: int) -> DataFrame:
-    """Rows whose probability array does not have k entries (E5)."""
-    return df.agg(F.count(F.when(F.size(F.col(probs)) != k, 1)).alias("bad_width"))
+def metric_cells(df: DataFrame, label: str, pred: str, probs: str, k: int, by: Sequence[str] = (),
+                 eps: float = LOG_LOSS_EPS) -> DataFrame:
+    """(by..., actual, predicted, n, loss, bad_width): all that the metrics need, one scan.
+
+    ``loss`` sums -ln of the clipped true-class probability, ``bad_width`` counts
+    rows whose probability array does not have ``k`` entries (E5); those have no
+    loss of their own beyond the clip.
+    """
+    p = F.coalesce(F.get(F.col(probs), F.col(label).cast("int")), F.lit(0.0))
+    p = F.least(F.greatest(p, F.lit(eps)), F.lit(1 - eps))
+    return df.groupBy(*by, F.col(label).cast("int").alias("actual"), F.col(pred).cast("int").alias("predicted")).agg(
+        F.count(F.lit(1)).alias("n"), F.sum(-F.ln(p)).alias("loss"),
+        F.count(F.when(F.coalesce(F.size(F.col(probs)), F.lit(-1)) != k, 1)).alias("bad_width"))
 
 
-def metric_rows(split: str, **metrics: float) -> list[tuple]:
-    """(split, metric, value) rows for a metrics table."""
-    return [(split, k, float(v)) for k, v in metrics.items()]
+def _ratio(a: F.Column, b: F.Column) -> F.Column:
+    return F.when(b > 0, a / b).otherwise(F.lit(0.0))
 
 
-def evaluate_split(df: DataFrame, label: str, pred: str, probs: str, classes: Sequence[str],
-                   split: str) -> DataFrame:
-    """Flat metric rows of one split: log loss, accuracy, macro/weighted F1.
+def metrics_from_cells(cells: DataFrame, classes: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
+    """(by..., metric, class, value) rows from :func:`metric_cells`.
 
-    Three small aggregates; the result has a handful of rows.
+    Per class precision, recall, f1 and support (E3); over all classes log_loss
+    (E1), accuracy (E2), bad_width (E5), rows, and macro and weighted averages.
+    Empty denominators give 0.  Cells are counted once: each hands its counts to
+    its actual and its predicted class, and zero rows add the classes without any.
     """
-    ll = log_loss(df, label, probs).select(F.lit("log_loss").alias("metric"),
-                                          F.col("log_loss").alias("value"))
-    acc = accuracy(df, label, pred).select(F.lit("accuracy").alias("metric"),
-                                          F.col("accuracy").alias("value"))
-    rep = per_class_report(confusion_counts(df, label, pred, classes))
-    f1 = rep.filter(F.col("scope").isin("macro avg", "weighted avg")).select(
-        F.concat(F.regexp_replace("scope", " avg", ""), F.lit("_f1")).alias("metric"),
-        F.col("f1").alias("value"))
-    return ll.unionByName(acc).unionByName(f1).select(F.lit(split).alias("split"), "metric", "value")
+    k, by = len(classes), list(by)
+    hit = F.when(F.col("actual") == F.col("predicted"), F.col("n")).otherwise(0)
+
+    def share(cls, support, tp, said, loss, bad):
+        return F.struct(cls.alias("cls"), support.cast("long").alias("support"), tp.cast("long").alias("tp"),
+                        said.cast("long").alias("said"), loss.alias("loss"), bad.cast("long").alias("bad"))
+    zero, none = F.lit(0), F.lit(0.0)
+    given = F.array(share(F.col("actual"), F.col("n"), hit, zero, F.col("loss"), F.col("bad_width")),
+                    share(F.col("predicted"), zero, zero, F.col("n"), none, zero))
+    every = F.transform(F.sequence(F.lit(0), F.lit(k - 1)),
+                        lambda c: share(c, zero, zero, zero, none, zero))
+    parts = cells.select(*by, F.inline(F.concat(given, every)))
+    cls = parts.filter(F.col("cls").isNotNull()).groupBy(*by, "cls").agg(
+        *[F.sum(c).alias(c) for c in ("support", "tp", "said", "loss", "bad")])
+    cls = cls.withColumns({"precision": _ratio(F.col("tp"), F.col("said")),
+                           "recall": _ratio(F.col("tp"), F.col("support"))})
+    both = F.col("precision") + F.col("recall")
+    cls = cls.withColumn("f1", _ratio(2 * F.col("precision") * F.col("recall"), both))
+    rows = F.sum("support")
+    whole = [("rows", rows.cast("double")), ("log_loss", F.sum("loss") / rows), ("accuracy", F.sum("tp") / rows),
+             ("bad_width", F.sum("bad").cast("double"))]
+    for m in ("precision", "recall", "f1"):
+        whole += [(f"macro_{m}", F.avg(m)), (f"weighted_{m}", F.sum(F.col(m) * F.col("support")) / rows)]
+    names = F.array(*[F.lit(c) for c in classes])
+    total = cls.groupBy(*by).agg(F.collect_list(F.struct("cls", "precision", "recall", "f1", "support")).alias("per"),
+                                 F.array(*[F.struct(F.lit(m).alias("metric"), F.lit(None).cast("string").alias("class"),
+                                                    v.alias("value")) for m, v in whole]).alias("whole"))
+    out = total.withColumn("all", F.concat("whole", F.flatten(F.transform("per", lambda x: F.array(*[
+        F.struct(F.lit(m).alias("metric"), F.get(names, x["cls"]).alias("class"), x[m].cast("double").alias("value"))
+        for m in ("precision", "recall", "f1", "support")])))))
+    return out.select(*by, F.inline("all"))
+
+
+def evaluate_splits(scored: DataFrame, label: str, pred: str, probs: str, classes: Sequence[str],
+                    split: str = "split") -> DataFrame:
+    """All metrics of all splits as (split, metric, class, value) rows, from one scan."""
+    return metrics_from_cells(metric_cells(scored, label, pred, probs, len(classes), [split]), classes, [split])

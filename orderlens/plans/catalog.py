@@ -3,10 +3,10 @@
 from __future__ import annotations
 
 from orderlens.plans import (catalog_features, catalog_ml, catalog_profile, catalog_rollup,
-                             catalog_select, catalog_workflow)
+                             catalog_select, catalog_stream, catalog_workflow)
 
 _MODULES = [catalog_rollup, catalog_profile, catalog_select, catalog_features, catalog_ml,
-            catalog_workflow]
+            catalog_stream, catalog_workflow]
 
 
 def all_queries() -> dict:

@@ -32,7 +32,7 @@ def register(name: str, sql: str | None = None):
 CLASSES = ["A", "N", "R"]
 
 
-def rule_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
+def rule_predictions(spark: SparkSession, sf_dir: str, *more: str) -> DataFrame:
     """True class = return flag; predicted class and probabilities by a fixed
     rule on discount / tax.  Only a fixture for the metric operators."""
     li = table(spark, sf_dir, "lineitem")
@@ -41,7 +41,7 @@ def rule_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
     pred = F.when(F.col("l_discount") < 0.03, 0).when(F.col("l_discount") < 0.07, 1).otherwise(2)
     probs = F.array(F.lit(0.2) + F.col("l_discount"), F.lit(0.3) + F.col("l_tax"),
                     F.lit(0.5) - F.col("l_discount") - F.col("l_tax"))
-    return li.select("l_orderkey", "l_linenumber", actual.alias("actual"),
+    return li.select("l_orderkey", "l_linenumber", *more, actual.alias("actual"),
                      pred.alias("predicted"), probs.alias("probs"))
 
 
@@ -102,6 +102,40 @@ def class_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(E.per_class_report(cm))
 
 
+_PER_SQL = """SELECT split, 'precision' AS metric, c.class, precision AS value FROM cls c
+UNION ALL SELECT split, 'recall', class, recall FROM cls UNION ALL SELECT split, 'f1', class, f1 FROM cls
+UNION ALL SELECT split, 'support', class, support FROM cls"""
+_AVG_SQL = "\n".join(f"""UNION ALL SELECT split, 'macro_{m}', NULL, avg({m}) FROM cls GROUP BY split
+UNION ALL SELECT split, 'weighted_{m}', NULL, sum({m} * support) / sum(support) FROM cls GROUP BY split"""
+                     for m in ("precision", "recall", "f1"))
+
+
+@register("e6_split_metrics_rules", f"""WITH rp AS (SELECT l_linestatus AS split,
+  CASE WHEN l_returnflag = 'A' THEN 0 WHEN l_returnflag = 'N' THEN 1 ELSE 2 END AS actual,
+  CASE WHEN l_discount < 0.03 THEN 0 WHEN l_discount < 0.07 THEN 1 ELSE 2 END AS predicted,
+  [0.2 + l_discount, 0.3 + l_tax, 0.5 - l_discount - l_tax] AS probs FROM lineitem),
+g AS (SELECT split, CAST(i AS INTEGER) AS i FROM (SELECT DISTINCT split FROM rp), range(0, 3) t(i)),
+n AS (SELECT g.split, (['A', 'N', 'R'])[g.i + 1] AS class, count(*) FILTER (actual = g.i) AS support,
+        count(*) FILTER (predicted = g.i) AS said, count(*) FILTER (actual = g.i AND predicted = g.i) AS tp
+      FROM g JOIN rp ON rp.split = g.split GROUP BY 1, 2),
+pr AS (SELECT split, class, CAST(support AS DOUBLE) AS support, CASE WHEN said > 0 THEN tp / said ELSE 0.0 END AS precision,
+         CASE WHEN support > 0 THEN tp / support ELSE 0.0 END AS recall FROM n),
+cls AS (SELECT *, CASE WHEN precision + recall > 0 THEN 2 * precision * recall / (precision + recall) ELSE 0.0 END AS f1
+        FROM pr),
+al AS ({_PER_SQL}
+{_AVG_SQL}
+UNION ALL SELECT split, 'rows', NULL, CAST(count(*) AS DOUBLE) FROM rp GROUP BY split
+UNION ALL SELECT split, 'bad_width', NULL, 0.0 FROM rp GROUP BY split
+UNION ALL SELECT split, 'accuracy', NULL, avg(CASE WHEN actual = predicted THEN 1.0 ELSE 0.0 END) FROM rp GROUP BY split
+UNION ALL SELECT split, 'log_loss', NULL, avg(-ln(least(greatest(probs[actual + 1], 1e-15), 1 - 1e-15))) FROM rp
+          GROUP BY split)
+SELECT split, metric, class, round(CAST(value AS DOUBLE), 6) AS value FROM al""")
+def split_metrics_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every metric of every split of the rule model from one scan; line status plays the split."""
+    rows = rule_predictions(spark, sf_dir, "l_linestatus").withColumnRenamed("l_linestatus", "split")
+    return rounded(E.evaluate_splits(rows, "actual", "predicted", "probs", CLASSES))
+
+
 @register("c8_argmax_labels", f"""WITH {RULE_SQL}
 SELECT l_orderkey, l_linenumber, CAST(list_position(probs, list_max(probs)) - 1 AS INTEGER) AS pred_idx,
   (['A', 'N', 'R'])[list_position(probs, list_max(probs))] AS predicted_class,

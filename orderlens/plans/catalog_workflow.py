@@ -18,7 +18,9 @@ from orderlens.plans.catalog_select import (ASSOC_COLS, ATTRS_SQL, PEARSON_COLS,
                                             customer_attrs)
 from orderlens.plans.scoring import confidence_by_class
 from orderlens.plans.selection import CramersVSelector
-from orderlens.plans.training import BoostParams
+from orderlens.operators.split import stratified_split
+from orderlens.operators.validate import RecordRules
+from orderlens.plans.training import BoostParams, predict, train_model
 from orderlens.plans.workflow import (WorkflowConfig, fit, metrics_table, score_sample)
 from orderlens.session import shared_path
 from orderlens.sources.tables import TPCH_ROLLUP, TPCH_SCHEMA, customer_attributes, table
@@ -38,11 +40,16 @@ def register(name: str, sql: str | None = None):
     return deco
 
 
+#: records that the scorer accepts; MACHINERY customers and large debts are quarantined
+RULES = RecordRules(allowed={"c_mktsegment": ["AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD"]},
+                    ranges={"c_acctbal": (-900, None)})
+
+
 def _config(spark: SparkSession) -> WorkflowConfig:
     return WorkflowConfig(
         out_dir=shared_path(spark, f"orderlens-workflow-{uuid.uuid4().hex[:12]}"),
         schema=TPCH_SCHEMA, rollup=TPCH_ROLLUP, cast=CastConfig(), id_pattern="key",
-        boost=BoostParams(), sample_size=None)
+        boost=BoostParams(), sample_size=None, rules=RULES)
 
 
 def fitted_run(spark: SparkSession, sf_dir: str):
@@ -56,14 +63,17 @@ def fitted_run(spark: SparkSession, sf_dir: str):
     return _RUNS[key]
 
 
-@register("f3_split_customers", f"""WITH {TX_SQL}, cu AS ({_rollup_sql('tx')})
+_SPLIT_SQL = f"""WITH {TX_SQL}, cu AS ({_rollup_sql('tx')})
 SELECT o_custkey, o_orderstatus,
   CASE WHEN 10 * rn <= 6 * n THEN 'train' WHEN 10 * rn <= 8 * n THEN 'val' ELSE 'test' END AS split
 FROM (SELECT o_custkey, o_orderstatus,
         row_number() OVER (PARTITION BY o_orderstatus
                            ORDER BY md5(concat_ws('|', '42', CAST(o_custkey AS VARCHAR))), o_custkey) AS rn,
         count(*) OVER (PARTITION BY o_orderstatus) AS n
-      FROM cu WHERE o_orderstatus IS NOT NULL)""")
+      FROM cu WHERE o_orderstatus IS NOT NULL)"""
+
+
+@register("f3_split_customers", _SPLIT_SQL)
 def split_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Workflow steps 1-2: rolled-up customers split 60/20/20 per class (A1 + F3)."""
     cfg, fitted = fitted_run(spark, sf_dir)
@@ -83,16 +93,51 @@ def selected_features(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("m1_test_predictions")
 def test_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Model scores of every TEST customer."""
-    from orderlens.plans.training import predict
     _, fitted = fitted_run(spark, sf_dir)
     scored = predict(fitted.model, fitted.splits["test"], fitted.categorical, fitted.continuous)
     return scored.select("o_custkey", "o_orderstatus", "predicted_class",
                          F.round("confidence", 6).alias("confidence"))
 
 
+@register("m1_rule_label_predictions", """
+WITH c AS (SELECT c_custkey, CASE WHEN c_mktsegment IN ('AUTOMOBILE', 'BUILDING') THEN 'X'
+                                  WHEN c_mktsegment = 'FURNITURE' THEN 'Y' ELSE 'Z' END AS target FROM customer),
+r AS (SELECT *, row_number() OVER (PARTITION BY target ORDER BY md5(concat_ws('|', '42', CAST(c_custkey AS VARCHAR))),
+                                   c_custkey) AS rn, count(*) OVER (PARTITION BY target) AS n FROM c)
+SELECT c_custkey, target AS predicted_class FROM r WHERE 10 * rn > 8 * n""")
+def rule_label_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Boosted trees trained on a rule over a category give that rule back on the TEST customers (M1-M3)."""
+    seg = F.col("c_mktsegment")
+    df = table(spark, sf_dir, "customer").withColumn("target", F.when(
+        seg.isin("AUTOMOBILE", "BUILDING"), "X").when(seg == "FURNITURE", "Y").otherwise("Z"))
+    parts = stratified_split(df, "target", ["c_custkey"], 42).persist()
+    try:
+        pick = {s: parts.filter(F.col("split") == s) for s in ("train", "val", "test")}
+        args = ["target", ["c_mktsegment"], ["c_acctbal"]]
+        model = train_model(pick["train"], pick["val"], *args,
+                            BoostParams(max_iter=6, patience=2, step_size=0.3, max_depth=3))
+        out = shared_path(spark, f"orderlens-rule-label-{uuid.uuid4().hex[:12]}")
+        predict(model, pick["test"], *args[1:]).select("c_custkey", "predicted_class").write.parquet(out)
+    finally:
+        parts.unpersist()
+    return spark.read.parquet(out)
+
+
+@register("i4_quarantine", f"""SELECT s.o_custkey, list_filter([
+    CASE WHEN c_mktsegment NOT IN ('AUTOMOBILE', 'BUILDING', 'FURNITURE', 'HOUSEHOLD')
+         THEN 'c_mktsegment: not allowed ' || c_mktsegment END,
+    CASE WHEN c_acctbal < -900 THEN 'c_acctbal: out of range ' || CAST(c_acctbal AS VARCHAR) END],
+    lambda x: x IS NOT NULL) AS errors
+FROM ({_SPLIT_SQL}) s JOIN customer c ON c.c_custkey = s.o_custkey
+WHERE s.split = 'test' AND len(errors) > 0""")
+def quarantined(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """TEST customers that the record rules keep from the scorer, read back from the quarantine."""
+    return _sample(spark, sf_dir)[1]
+
+
 @register("e6_split_metrics")
 def split_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """log loss / accuracy / F1 per split."""
+    """All metrics per split: log loss, accuracy, averages and per-class rows."""
     cfg, fitted = fitted_run(spark, sf_dir)
     return metrics_table(spark, fitted, cfg)
 

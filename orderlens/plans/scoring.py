@@ -1,4 +1,4 @@
-"""Batch scoring with validation, summaries and the model table.
+"""Batch scoring with validation and summaries.
 
 The reference scores requests one by one under a concurrency limit; here a
 batch is a DataFrame: partitions replace the semaphore, invalid rows go to a
@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from orderlens.functions.scalar import all_finite_nonneg, uri_tail
 from orderlens.operators.joins import align_distributions
 from orderlens.operators.validate import RecordRules, split_valid, validate_records
-from orderlens.plans.training import class_names, predict
+from orderlens.plans.training import predict
 
 
 def predict_batch(model: PipelineModel, records: DataFrame, rules: RecordRules | None,
@@ -79,27 +79,6 @@ def hyperparameter_frame(spark: SparkSession, params: dict) -> DataFrame:
                                  "param string, value string")
 
 
-def resolve_model_path(models: DataFrame, name: str, preferred_stage: str | None = "Production"):
-    """Pick the model path from a (name, version, stage, path) table (M6):
-    the highest version in the preferred stage, else the highest version."""
-    cand = models.filter(F.col("name") == name)
-    pick = cand.agg(
-        F.max_by("path", F.when(F.col("stage") == F.lit(preferred_stage), F.col("version")))
-        .alias("staged"),
-        F.max_by("path", F.col("version")).alias("latest"))
-    row = pick.first()
-    path = (row["staged"] or row["latest"]) if row else None
-    if path is None:
-        raise LookupError(f"no stored versions of model {name!r}")
-    return path
-
-
 def model_version_of(path_col) -> F.Column:
     """Model version = last element of the model URI."""
     return uri_tail(path_col)
-
-
-def model_bundle(model: PipelineModel, categorical: list[str], continuous: list[str]) -> dict:
-    """Class names, categorical columns and input columns of a stored model (M7)."""
-    return {"classes": class_names(model), "categorical": list(categorical),
-            "inputs": list(categorical) + list(continuous)}

@@ -6,8 +6,8 @@
   in val/test raises (F14).
 * Continuous features: median ``Imputer`` (trees here have no native
   missing-value handling).
-* Classifier: boosted trees one-vs-rest (:class:`OneVsRestBoost`) with
-  validation early stopping and best-round truncation (M1-M3, patience on the validation loss), or a
+* Classifier: boosted trees on the softmax loss (:mod:`orderlens.plans.boosting`) with
+  patience on the validation loss and best-round truncation (M1-M3), or a
   ``RandomForestClassifier`` (native multiclass probabilities).
 * Balanced row weights n/(k*n_class) on TRAIN rows, 1.0 on validation rows
   (F15).
@@ -18,206 +18,24 @@ the class names), so training and serving use the same encodings.
 
 from __future__ import annotations
 
-import json
 import logging
 import math
-from dataclasses import asdict, dataclass, replace
+from dataclasses import replace
 
-from pyspark import StorageLevel
-from pyspark.ml import Estimator, Model, Pipeline, PipelineModel
-from pyspark.ml.classification import (GBTClassificationModel, GBTClassifier,
-                                       RandomForestClassifier)
+from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.feature import Imputer, StringIndexer, VectorAssembler
-from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.ml.param import Param, Params, TypeConverters
-from pyspark.ml.util import (DefaultParamsReader, DefaultParamsWriter, MLReadable, MLReader,
-                             MLWritable, MLWriter)
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from orderlens.operators.split import balanced_weights
+from orderlens.plans.boost_params import BoostParams
+from orderlens.plans.boosting import SoftmaxBoost
 
 log = logging.getLogger(__name__)
 
 
-@dataclass(frozen=True)
-class BoostParams:
-    """Boosting settings (M1/M4).  Reference values: 3000 rounds, rate 0.05,
-    depth 6, min child weight 3, row sample 0.8, column sample 0.8, seed 42,
-    early stop after 50 rounds without gain.  ``min_instances_per_node`` counts
-    rows, not Hessian weight.  ``max_bins`` is a least value: it follows the
-    largest number of levels of a categorical feature."""
-
-    max_iter: int = 3000
-    step_size: float = 0.05
-    max_depth: int = 6
-    min_instances_per_node: int = 3
-    subsampling_rate: float = 0.8
-    feature_subset: str = "0.8"
-    seed: int = 42
-    patience: int = 50
-    max_bins: int = 32
-    classifier: str = "gbt"  # or "rf"
-    num_trees: int = 100  # random forest only
-
-    def record(self) -> dict:
-        """Hyper-parameter record (M4)."""
-        return asdict(self)
-
-
-def _p(name, doc, conv):
-    return Param(Params._dummy(), name, doc, typeConverter=conv)
-
-
-class _OvrParams(Params):
-    featuresCol = _p("featuresCol", "features vector", TypeConverters.toString)
-    labelCol = _p("labelCol", "0-based class index", TypeConverters.toString)
-    weightCol = _p("weightCol", "row weight column ('' = none)", TypeConverters.toString)
-    validationIndicatorCol = _p("validationIndicatorCol", "true on validation rows ('' = none)",
-                                TypeConverters.toString)
-    numClasses = _p("numClasses", "number of classes (0 = from data)", TypeConverters.toInt)
-    paramsJson = _p("paramsJson", "BoostParams as JSON", TypeConverters.toString)
-
-
-def grow_with_patience(grow, validation: DataFrame, bp: BoostParams):
-    """(model of the best validation round, losses per round).
-
-    Boosting here has no warm start, but its rounds do not depend on the round
-    limit (seeded per round).  So the limit doubles until the best round lies
-    ``patience`` rounds back, at most twice the work of one long run, and the
-    model is grown once more to exactly the best round.
-    """
-    rounds = min(bp.max_iter, bp.patience + 14)
-    while True:
-        model = grow(rounds)
-        losses = list(model.evaluateEachIteration(validation))
-        best = min(range(len(losses)), key=lambda i: (losses[i], i)) + 1
-        if best + bp.patience <= rounds or rounds >= bp.max_iter:
-            break
-        rounds = min(bp.max_iter, 2 * rounds)
-    return (model if best == rounds else grow(best)), losses
-
-
-class OneVsRestBoost(Estimator, _OvrParams):
-    """One GBT per class (label == c vs rest), each stopped by patience on the validation loss.
-
-    PySpark's OneVsRest passes only label/features/weight to the binary
-    learner, so a validation indicator would never reach it; this loop
-    keeps the indicator.  The input is persisted once and reused by the k
-    fits.  Probabilities: p_c = s(2 m_c) / sum_j s(2 m_j) with m_c the GBT
-    margin of class c (normalised one-vs-rest logistic scores; not a
-    calibrated softmax).
-    """
-
-    def __init__(self, featuresCol="features", labelCol="label_idx", weightCol="",
-                 validationIndicatorCol="", numClasses=0, params: BoostParams | None = None):
-        super().__init__()
-        self._setDefault(featuresCol="features", labelCol="label_idx", weightCol="",
-                         validationIndicatorCol="", numClasses=0,
-                         paramsJson=json.dumps(asdict(BoostParams())))
-        self._set(featuresCol=featuresCol, labelCol=labelCol, weightCol=weightCol,
-                  validationIndicatorCol=validationIndicatorCol, numClasses=numClasses,
-                  paramsJson=json.dumps(asdict(params or BoostParams())))
-
-    def _fit(self, df: DataFrame) -> "OneVsRestBoostModel":
-        g = self.getOrDefault
-        bp = BoostParams(**json.loads(g(self.paramsJson)))
-        label, feats, wcol, vcol = g(self.labelCol), g(self.featuresCol), g(self.weightCol), \
-            g(self.validationIndicatorCol)
-        k = g(self.numClasses) or int(df.agg(F.max(label)).first()[0]) + 1
-        cols = [label, feats] + [c for c in (wcol, vcol) if c]
-        data = df.select(*cols).persist(StorageLevel.MEMORY_AND_DISK)
-        models, history = [], []
-        try:
-            for c in range(k):
-                extra = {}
-                if wcol:
-                    extra["weightCol"] = wcol
-                binary = data.withColumn("_bin", (F.col(label) == c).cast("double"))
-                rows = binary.filter(~F.col(vcol)) if vcol else binary
-
-                def grow(rounds, rows=rows, extra=extra):
-                    return GBTClassifier(
-                        featuresCol=feats, labelCol="_bin", maxIter=rounds, stepSize=bp.step_size,
-                        maxDepth=bp.max_depth, minInstancesPerNode=bp.min_instances_per_node,
-                        subsamplingRate=bp.subsampling_rate, featureSubsetStrategy=bp.feature_subset,
-                        seed=bp.seed, maxBins=bp.max_bins, **extra).fit(rows)
-                model, losses = (grow_with_patience(grow, binary.filter(F.col(vcol)), bp) if vcol
-                                 else (grow(bp.max_iter), []))
-                models.append(model)
-                history.append(losses)
-                log.info("class %d: %d trees", c, models[-1].getNumTrees)
-        finally:
-            data.unpersist()
-        out = self._copyValues(OneVsRestBoostModel(models))
-        out.validation_losses = history
-        return out
-
-
-class OneVsRestBoostModel(Model, _OvrParams, MLWritable, MLReadable):
-    """Adds ``probability`` (vector), ``probabilities`` (array) and ``prediction``."""
-
-    def __init__(self, models=None):
-        super().__init__()
-        self._setDefault(featuresCol="features", labelCol="label_idx", weightCol="",
-                         validationIndicatorCol="", numClasses=0,
-                         paramsJson=json.dumps(asdict(BoostParams())))
-        self.models = list(models or [])
-
-    def _transform(self, df: DataFrame) -> DataFrame:
-        feats = self.getOrDefault(self.featuresCol)
-        out = df
-        margins = []
-        for i, m in enumerate(self.models):
-            m2 = m.copy().setFeaturesCol(feats).setRawPredictionCol(f"_raw{i}") \
-                .setProbabilityCol("").setPredictionCol("")
-            out = m2.transform(out)
-            margins.append(vector_to_array(F.col(f"_raw{i}"))[1])
-        sig = [F.lit(1.0) / (F.lit(1.0) + F.exp(F.lit(-2.0) * m)) for m in margins]
-        total = sig[0]
-        for s in sig[1:]:
-            total = total + s
-        probs = F.array(*[s / total for s in sig])
-        out = out.withColumn("probabilities", probs).drop(*[f"_raw{i}" for i in range(len(margins))])
-        best = F.array_position(F.col("probabilities"), F.array_max("probabilities")) - 1
-        return out.withColumns({"probability": array_to_vector(F.col("probabilities")),
-                                "prediction": best.cast("double")})
-
-    def write(self) -> MLWriter:
-        return _OvrWriter(self)
-
-    @classmethod
-    def read(cls) -> MLReader:
-        return _OvrReader(cls)
-
-
-class _OvrWriter(MLWriter):
-    def __init__(self, instance):
-        super().__init__()
-        self.instance = instance
-
-    def saveImpl(self, path: str) -> None:
-        DefaultParamsWriter.saveMetadata(self.instance, path, self.sc,
-                                         extraMetadata={"numModels": len(self.instance.models)})
-        for i, m in enumerate(self.instance.models):
-            m.save(f"{path}/model_{i}")
-
-
-class _OvrReader(MLReader):
-    def __init__(self, cls):
-        super().__init__()
-        self.cls = cls
-
-    def load(self, path: str):
-        meta = DefaultParamsReader.loadMetadata(path, self.sc)
-        models = [GBTClassificationModel.load(f"{path}/model_{i}")
-                  for i in range(meta["numModels"])]
-        inst = self.cls(models)
-        DefaultParamsReader.getAndSetParams(inst, meta)
-        inst._resetUid(meta["uid"])
-        return inst
-
-
 # --- the training pipeline ---------------------------------------------------------
 
 def _prep_stages(categorical: list[str], continuous: list[str], label: str):
@@ -274,9 +92,8 @@ def train_model(train: DataFrame, val: DataFrame, label: str, categorical: list[
             seed=params.seed, maxBins=params.max_bins)
         model = clf.fit(fit_df.filter(~F.col("is_val")))
     else:
-        model = OneVsRestBoost(featuresCol="features", labelCol="label_idx", weightCol="weight",
-                               validationIndicatorCol="is_val", numClasses=k,
-                               params=params).fit(fit_df)
+        model = SoftmaxBoost(featuresCol="features", labelCol="label_idx", weightCol="weight",
+                             validationIndicatorCol="is_val", numClasses=k, params=params).fit(fit_df)
     return PipelineModel(stages=[*prep.stages, model])
 
 
@@ -294,6 +111,17 @@ def class_names(model: PipelineModel) -> list[str]:
     raise ValueError("model has no label indexer")
 
 
+def encoder_columns(model: PipelineModel) -> tuple[list[str], list[str]]:
+    """(categorical, continuous) input columns of a stored model, read from its encoders (M7)."""
+    found = {"__idx": [], "__imp": []}
+    for st in model.stages:
+        for kind, cols in found.items():
+            if st.hasParam("outputCols") and st.isDefined(st.getParam("outputCols")):
+                outs = st.getOrDefault(st.getParam("outputCols"))
+                cols += [o[:-len(kind)] for o in outs if o.endswith(kind)]
+    return found["__idx"], found["__imp"]
+
+
 def predict(model: PipelineModel, df: DataFrame, categorical: list[str],
             continuous: list[str], with_label: bool = False) -> DataFrame:
     """Probabilities per row (I2) plus class, confidence.

@@ -28,14 +28,15 @@ from pyspark.sql import functions as F
 
 from orderlens.config import CastConfig, RollupSpec, TransactionSchema
 from orderlens.operators.cast import validate_and_cast
-from orderlens.operators.evaluate import evaluate_split
+from orderlens.operators.evaluate import evaluate_splits
 from orderlens.operators.rollup import aggregate_to_customer, aggregate_with_attributes
 from orderlens.operators.sampling import sample_rows
 from orderlens.operators.split import stratified_split
+from orderlens.operators.validate import RecordRules, split_valid, validate_records
 from orderlens.plans.scoring import batch_summary, predict_batch, predictions_vs_truth
 from orderlens.plans.selection import FeatureSelector
 from orderlens.plans.training import BoostParams, ensure_model, predict, train_model
-from orderlens.sources.parquet import read_processed, write_json_lines, write_processed
+from orderlens.sources.parquet import read_json_lines, read_processed, write_json_lines, write_processed
 
 log = logging.getLogger(__name__)
 
@@ -51,6 +52,7 @@ class WorkflowConfig:
     boost: BoostParams = field(default_factory=BoostParams)
     sample_size: int | None = 50
     model_version: str = "1"
+    rules: RecordRules | None = None      # record checks before scoring; bad records go to quarantine
 
 
 def path(cfg: WorkflowConfig, name: str) -> str:
@@ -87,7 +89,8 @@ class Fitted:
     model: object
     categorical: list
     continuous: list
-    splits: dict
+    splits: dict          # selected features per split
+    table: object         # the split table: all columns of every customer, and split
 
 
 def fit(spark: SparkSession, transactions: DataFrame, cfg: WorkflowConfig,
@@ -108,38 +111,49 @@ def fit(spark: SparkSession, transactions: DataFrame, cfg: WorkflowConfig,
         m.write().overwrite().save(model_path)
 
     model = ensure_model(model_path, train_and_save)
-    return Fitted(selector, model, cats, conts, sel)
+    return Fitted(selector, model, cats, conts, sel, sp)
 
 
 def metrics_table(spark: SparkSession, fitted: Fitted, cfg: WorkflowConfig) -> DataFrame:
-    """Step 5: (split, metric, value) for every split."""
+    """Step 5: (split, metric, class, value) for every split, all splits scored in one scan."""
     from orderlens.plans.training import class_names
-    classes = class_names(fitted.model)
-    frames = []
-    for s, df in fitted.splits.items():
-        scored = predict(fitted.model, df, fitted.categorical, fitted.continuous, with_label=True)
-        frames.append(evaluate_split(scored, "label_idx", "prediction", "probabilities", classes, s))
-    out = frames[0]
-    for f in frames[1:]:
-        out = out.unionByName(f)
+    sel = fitted.selector
+    both = sel.copy({sel.passthroughCols: [*sel.getOrDefault(sel.passthroughCols), "split"]})
+    scored = predict(fitted.model, both.transform(fitted.table), fitted.categorical, fitted.continuous,
+                     with_label=True)
+    out = evaluate_splits(scored, "label_idx", "prediction", "probabilities", class_names(fitted.model))
     out.write.mode("overwrite").parquet(path(cfg, "metrics"))
     return spark.read.parquet(path(cfg, "metrics"))
 
 
-def score_sample(spark: SparkSession, fitted: Fitted, cfg: WorkflowConfig, rules=None):
-    """Step 6: TEST split, or a seeded sample of it (I5) -> scored rows, quarantine, summary, distributions."""
-    test = fitted.splits["test"]
+def score_sample(spark: SparkSession, fitted: Fitted, cfg: WorkflowConfig):
+    """Step 6: TEST split, or a seeded sample of it (I5) -> scored rows, quarantine, summary, distributions.
+
+    Records are checked by ``cfg.rules`` before any feature is made (I4); the
+    results are written as JSON lines and read back from there (S9, S10).
+    """
+    test = fitted.table.filter(F.col("split") == "test").drop("split")
     sample = test if cfg.sample_size is None else sample_rows(test, cfg.sample_size, [cfg.schema.key], cfg.seed)
-    scored, bad = predict_batch(fitted.model, sample, rules, fitted.categorical,
-                                fitted.continuous, cfg.model_version)
+    checked = validate_records(sample, cfg.rules) if cfg.rules else sample.withColumn(
+        "errors", F.array().cast("array<string>"))
+    write_json_lines(split_valid(checked)[1].select(cfg.schema.key, "errors"), path(cfg, "quarantine"))
+    valid = fitted.selector.transform(split_valid(checked)[0])
+    scored, _ = predict_batch(fitted.model, valid, None, fitted.categorical, fitted.continuous, cfg.model_version)
     results = scored.select(cfg.schema.key, cfg.schema.label, "predicted_class", "confidence",
                             "probabilities", "model_version")
-    summary = batch_summary(scored, sample)
-    dist = predictions_vs_truth(scored, cfg.schema.label)
+    key = sample.schema[cfg.schema.key].dataType.simpleString()
+    label = sample.schema[cfg.schema.label].dataType.simpleString()
     write_json_lines(results, path(cfg, "inference_results"))
+    scored = read_json_lines(spark, path(cfg, "inference_results"),
+                             f"{cfg.schema.key} {key}, {cfg.schema.label} {label}, predicted_class string, "
+                             "confidence double, probabilities array<double>, model_version string")
+    bad = read_json_lines(spark, path(cfg, "quarantine"), f"{cfg.schema.key} {key}, errors array<string>")
+    summary = batch_summary(scored, sample)
+    write_json_lines(predictions_vs_truth(scored, cfg.schema.label), path(cfg, "inference_distributions"))
     write_json_lines(summary, path(cfg, "inference_summary"))
-    write_json_lines(dist, path(cfg, "inference_distributions"))
-    return results, bad, summary, dist
+    dist = read_json_lines(spark, path(cfg, "inference_distributions"),
+                           f"class {label}, ground_truth long, extra boolean, position int, predictions long")
+    return scored, bad, summary, dist
 
 
 def run(spark: SparkSession, transactions: DataFrame, cfg: WorkflowConfig) -> dict:

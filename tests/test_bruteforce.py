@@ -10,7 +10,8 @@ import pytest
 from orderlens.operators import association as A
 from orderlens.operators import profile as P
 from orderlens.operators.selection_exact import select_kth
-from orderlens.plans.scoring import hyperparameter_frame, model_bundle
+from orderlens.plans.registry import model_facts
+from orderlens.plans.scoring import hyperparameter_frame
 from orderlens.plans.training import BoostParams
 
 
@@ -130,8 +131,8 @@ def test_hyperparameters_and_bundle(spark):
     class _Model:
         stages = [_Idx()]
 
-    b = model_bundle(_Model(), ["c1"], ["x1", "x2"])
-    assert b == {"classes": ["A", "B"], "categorical": ["c1"], "inputs": ["c1", "x1", "x2"]}
+    b = model_facts(_Model(), ["c1"], ["x1", "x2"])
+    assert b == {"classes": ["A", "B"], "categorical": ["c1"], "inputs": ["c1", "x1", "x2"], "best_round": None}
 
 
 def test_near_constant_matches_pandas(spark):

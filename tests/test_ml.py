@@ -10,11 +10,13 @@ from pyspark.sql import functions as F
 
 from orderlens.operators.split import stratified_split
 from orderlens.plans.catalog_rollup import customer_rollup
-from orderlens.plans.scoring import batch_summary, predict_batch, resolve_model_path
+from orderlens.plans.boosting import SoftmaxBoostModel
+from orderlens.plans.registry import resolve_model_path
+from orderlens.plans.scoring import batch_summary, predict_batch
 from orderlens.plans.selection import (CramersVSelector, DateFeatures, FeatureSelector,
                                        FeatureSelectorModel)
-from orderlens.plans.training import (BoostParams, OneVsRestBoostModel, class_names,
-                                      ensure_model, predict, train_model)
+from orderlens.plans.training import (BoostParams, class_names, encoder_columns, ensure_model, predict,
+                                      train_model)
 from orderlens.operators.evaluate import log_loss
 from orderlens.operators.validate import RecordRules
 from orderlens.session import shared_path
@@ -89,20 +91,34 @@ def test_train_learns_and_persists(data, spark, scratch, kind):
     assert sums.filter(F.abs(F.col("s") - 1.0) > 1e-9).count() == 0
     ll = log_loss(scored, "label_idx", "probabilities").first()[0]
     assert ll < math.log(3)
+    assert encoder_columns(model) == (cats, conts)
     if kind == "gbt":
-        ovr = model.stages[-1]
-        assert isinstance(ovr, OneVsRestBoostModel) and len(ovr.models) == 3
+        boost = model.stages[-1]
+        assert isinstance(boost, SoftmaxBoostModel) and len(boost.models) == 3
 
 
 def test_patience_keeps_the_best_round(data, spark):
     parts, sel = data
     cats, conts = sel.getOrDefault(sel.categoricalCols), sel.getOrDefault(sel.continuousCols)
     params = BoostParams(max_iter=12, patience=4, step_size=0.3, max_depth=3)
-    ovr = train_model(parts["train"], parts["val"], "target", cats, conts, params).stages[-1]
-    for model, losses in zip(ovr.models, ovr.validation_losses):
-        best = losses.index(min(losses)) + 1
-        assert model.getNumTrees == best > 1
-        assert min(losses) < losses[0]
+    boost = train_model(parts["train"], parts["val"], "target", cats, conts, params).stages[-1]
+    losses = boost.validation_losses
+    best = losses.index(min(losses)) + 1
+    assert boost.best_round == best > 1 and min(losses) < losses[0] < math.log(3)
+    assert len(losses) in (best + 4, 12)         # it ends four rounds after the best, or at the limit
+
+
+def test_a_prefix_of_the_rounds_is_the_shorter_run(data, spark):
+    """Warm start: the first rounds of a long run are those of a short one, and each is fitted once."""
+    parts, sel = data
+    cats, conts = sel.getOrDefault(sel.categoricalCols), sel.getOrDefault(sel.continuousCols)
+
+    def losses(rounds):
+        params = BoostParams(max_iter=rounds, patience=9, step_size=0.2, max_depth=3)
+        return train_model(parts["train"], parts["val"], "target", cats, conts, params).stages[-1].validation_losses
+    short, long_ = losses(2), losses(4)
+    assert len(short) == 2 and len(long_) == 4
+    assert long_[:2] == pytest.approx(short, abs=1e-9)
 
 
 def test_many_levels_train(data, spark):
