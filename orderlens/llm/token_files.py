@@ -13,8 +13,10 @@ lost executor leaves files that nothing refers to.
 
 A document is encoded by the tokenizers library.  Where the tokenizer drops
 white space (checked when it is loaded), no token reaches over an ASCII space,
-so texts are cut there and the ids of repeated words are kept in a bounded memo;
-other tokenizers get whole texts.
+so texts are cut there and the distinct words of a slice of texts are encoded
+once; where its text rules are the known ones, plain words are cut into their
+pieces here and the library's model encodes the pieces that the task's bounded
+memo does not hold.  Other tokenizers get whole texts.
 
 Defined results: a null text is the empty text, which has the end id only; null
 doc_ids come first; rows that share a doc_id are ordered by their text's hash,
@@ -24,6 +26,7 @@ gives no shard and an empty result; a text of any length is encoded whole.
 
 from __future__ import annotations
 
+import json
 import os
 import re
 import uuid
@@ -31,6 +34,7 @@ import zlib
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyarrow import fs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
@@ -42,14 +46,56 @@ TOKENIZER = "/opt/tokenizers/word_bpe_49k.json"
 END_ID = 1             # appended to each document
 LENGTH = 2048          # ids of a sequence
 SEQUENCES = 256        # sequences of a record batch
-MEMO = 200_000         # memoised words per task
+SLICE = 8 << 20        # text bytes that one step of a task encodes
+MEMO = 100_000         # memoised words and pieces per generation and task
 MEMO_BYTES = 64        # longest memoised word
 
 MANIFEST = "shard int, path string, index_path string, n_docs long, n_ids long, n_sequences long"
 
 
+# The text rules of the word tokenizer's file, and what they make of plain words.
+NORMALIZER = {"type": "Sequence", "normalizers": [
+    {"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}]}
+PRE_TOKENIZER = {"type": "Sequence", "pretokenizers": [
+    {"type": "Split", "pattern": {"Regex": "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"},
+     "behavior": "Removed", "invert": True},
+    {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False}]}
+#: signs, digits and letters up to U+017F: none composes with another, and each has one lower-case letter
+PLAIN = "^[!-~À-ÖØ-öø-įı-ſ]+$"
+PIECE = re.compile("'(?:s|t|re|ve|m|ll|d)|[a-zß-öø-ſ]+|[0-9]|[^a-z0-9ß-öø-ſ\n]+|\n")
+
+
+def byte_letters() -> dict[int, int]:
+    """Byte -> code point of the byte-level alphabet: printable bytes stand for themselves, the others
+    follow from U+0100 in their order."""
+    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    others = [b for b in range(256) if b not in plain]
+    return {b: b for b in plain} | {b: 256 + k for k, b in enumerate(others)}
+
+
+class _Memo(dict):
+    """Ids by key in two generations: when one is full it becomes the old one, and what is still in
+    use moves on from there, so the memo stays bounded and frequent keys stay in it."""
+
+    def __init__(self, make, size: int):
+        super().__init__()
+        self.make, self.size, self.old = make, size, {}
+
+    def __missing__(self, key):
+        got = self.old.get(key)
+        if got is None:
+            got = self.make(key)
+            if len(key) > MEMO_BYTES:
+                return got
+        if len(self) >= self.size:
+            self.old = dict(self)
+            self.clear()
+        self[key] = got
+        return got
+
+
 class Encoder:
-    """Ids of UTF-8 texts as the bytes of little-endian integers."""
+    """Ids of whole texts."""
 
     def __init__(self, tokenizer: str = TOKENIZER, end_id: int = END_ID):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"      # Spark runs one task per core
@@ -57,36 +103,75 @@ class Encoder:
         self.tok = Tokenizer.from_file(os.path.realpath(tokenizer))
         top = max(self.tok.get_vocab_size(with_added_tokens=True) - 1, end_id)
         self.dtype = np.dtype("<u2" if top < 1 << 16 else "<u4")
-        self.end = np.array([end_id], dtype=self.dtype).tobytes()
-        self.memo: dict[bytes, bytes] = {}
-        self.by_word = self._drops_space()
+        self.end = end_id
+        rules = json.loads(self.tok.to_str())
+        # the library's model is asked directly where the rules for plain words are the known ones
+        self.known = rules["normalizer"] == NORMALIZER and rules["pre_tokenizer"] == PRE_TOKENIZER
+        self.special = "|".join(re.escape(t["content"]) for t in rules["added_tokens"])
+        self.by_word = self.known or self._drops_space()
+        self.letters = byte_letters()
+        self.pieces, self.words = _Memo(self._piece, MEMO), _Memo(self._word, MEMO)
+
+    def _ids(self, ids: list[int]) -> bytes:
+        return np.array(ids, dtype=self.dtype).tobytes()
 
     def _plain(self, text: str) -> list[int]:
         return self.tok.encode(text, add_special_tokens=False).ids
 
     def _drops_space(self) -> bool:
         """Whether a text's ids are those of its space-separated words, one after the other."""
-        probes = ["a b", "The  quick\t\nfox's 12 34", " . , ' s 's", "é ́e x́ Σ ΣΑΣ ß", "<|x|> <b>   y"]
+        probes = ["a b", "The  quick\t\nfox's 12 34", " . , ' s 's", "é ́e x́ Σ ΣΑΣ ß", "<|x|> <b>   y"]
         return all(self._plain(p) == [i for w in re.split(r"[ \t-\r]+", p) for i in self._plain(w)] for p in probes)
 
-    def encode(self, text: bytes | None) -> bytes:
-        if not text:
+    def _word(self, word: str) -> bytes:
+        return self._ids(self._plain(word))
+
+    def _piece(self, piece: str) -> bytes:
+        if piece == "\n":                       # between two words
             return b""
+        return self._ids([t.id for t in self.tok.model.tokenize(
+            piece.encode().decode("latin-1").translate(self.letters))])
+
+    def _joined(self, parts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        sizes = np.fromiter(map(len, parts), dtype=np.int64, count=len(parts)) // self.dtype.itemsize
+        return np.frombuffer(b"".join(parts), dtype=self.dtype), sizes
+
+    def _distinct(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(ids, sizes, place of each word among the sizes) of distinct words."""
+        plain = np.zeros(len(words), dtype=bool)
+        if self.known:
+            plain = pc.match_substring_regex(words, PLAIN).to_numpy(zero_copy_only=False)
+            if self.special:
+                plain &= ~pc.match_substring_regex(words, self.special).to_numpy(zero_copy_only=False)
+        place, n = np.empty(len(words), dtype=np.int64), int(plain.sum())
+        place[plain], place[~plain] = np.arange(n), np.arange(n, len(words))
+        pieces = PIECE.findall("\n".join(words.filter(pa.array(plain)).to_pylist()).lower())
+        ids, sizes = self._joined(list(map(self.pieces.__getitem__, pieces)))
+        word = np.cumsum(np.fromiter(map("\n".__eq__, pieces), dtype=bool, count=len(pieces)))
+        sizes = np.bincount(word, sizes, n).astype(np.int64) if n else sizes
+        rest, more = self._joined(list(map(self.words.__getitem__, words.filter(pa.array(~plain)).to_pylist())))
+        return np.concatenate([ids, rest]), np.concatenate([sizes, more]), place
+
+    def column(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all texts one after the other, ids per text), each text with its end id; null is empty."""
+        texts = pc.fill_null(texts, "")
         if not self.by_word:
-            return np.array(self._plain(text.decode()), dtype=self.dtype).tobytes()
-        words, memo = text.split(), self.memo
-        new = list({w for w in words if w not in memo})
-        extra = {}
-        if new:
-            if len(memo) + len(new) > MEMO:
-                memo.clear()
-                new = list(set(words))
-            got = self.tok.encode_batch([w.decode() for w in new], add_special_tokens=False)
-            for w, e in zip(new, got):
-                (memo if len(w) <= MEMO_BYTES else extra)[w] = np.array(e.ids, dtype=self.dtype).tobytes()
-        if not extra:
-            return b"".join(map(memo.__getitem__, words))
-        return b"".join(memo[w] if w in memo else extra[w] for w in words)
+            return self._joined([self._ids([*self._plain(t), self.end]) for t in texts.to_pylist()])
+        split = pc.ascii_split_whitespace(texts)
+        coded = split.flatten().dictionary_encode()
+        ids, sizes, place = self._distinct(coded.dictionary)
+        # every text ends in one more word, whose only id is the end id
+        ids, sizes = np.append(ids, np.array([self.end], dtype=self.dtype)), np.append(sizes, 1)
+        n_words = split.value_lengths().to_numpy().astype(np.int64)
+        at = np.insert(place[coded.indices.to_numpy()], np.cumsum(n_words), len(sizes) - 1)
+        ends = np.concatenate(([0], np.cumsum(sizes)))
+        found = pa.LargeListArray.from_arrays(pa.array(ends), pa.array(ids)).take(pa.array(at))
+        starts = np.concatenate(([0], np.cumsum(n_words + 1)[:-1]))
+        return found.flatten().to_numpy(), np.add.reduceat(sizes[at], starts)
+
+    def encode(self, text: str) -> list[int]:
+        """Ids of one text, without the end id."""
+        return self.column(pa.array([text], pa.string()))[0][:-1].tolist()
 
 
 def _store(folder: str) -> tuple[fs.FileSystem, str]:
@@ -111,10 +196,10 @@ class ShardWriter:
         self.file = pa.ipc.new_file(self.out, self.schema.with_metadata(meta))
         self.parts, self.waiting, self.n_ids, self.n_sequences = [], 0, 0, 0
 
-    def add(self, ids: bytes) -> None:
-        self.parts.append(ids)
-        self.waiting += len(ids)
-        self.n_ids += len(ids) // self.dtype.itemsize
+    def add(self, ids: np.ndarray) -> None:
+        self.parts.append(ids.tobytes())
+        self.waiting += ids.nbytes
+        self.n_ids += len(ids)
         full = self.length * self.sequences * self.dtype.itemsize
         if self.waiting >= full:
             data = b"".join(self.parts)
@@ -186,25 +271,24 @@ def write_token_files(documents: DataFrame, folder: str, tokenizer: str = TOKENI
     places = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("n_ids", pa.int64())])
     # the last key spreads equal rows of one doc_id over several shards
     keys = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("h"),
-                            F.rand(7).alias("r"), F.col("text").cast("binary").alias("text"))
+                            F.rand(7).alias("r"), "text")
     keys = keys.repartitionByRange("doc_id", "h", "r").sortWithinPartitions("doc_id", "h", "r")
 
     def run(batches):
         shard = None
         store, root = _store(folder)
         name, n_docs = uuid.uuid4().hex, 0
-        for b in (part for whole in batches for part in byte_slices(whole, 1)):
+        for b in (part for whole in batches for part in byte_slices(whole, 1, SLICE)):
             if shard is None:
                 encoder = Encoder(tokenizer, end_id)
                 shard = ShardWriter(store, f"{root}/{name}.arrow", encoder.dtype, length, sequences)
                 index_out = store.open_output_stream(f"{root}/{name}.index.arrow")
                 index = pa.ipc.new_file(index_out, places)
-            starts = [shard.n_ids]
-            for text in b.column(1).to_pylist():
-                shard.add(encoder.encode(text) + encoder.end)
-                starts.append(shard.n_ids)
+            ids, sizes = encoder.column(b.column(1))
+            starts = shard.n_ids + np.concatenate(([0], np.cumsum(sizes)[:-1]))
+            shard.add(ids)
             index.write_batch(pa.RecordBatch.from_arrays(
-                [b.column(0), pa.array(starts[:-1], pa.int64()), pa.array(np.diff(starts))], schema=places))
+                [b.column(0), pa.array(starts), pa.array(sizes)], schema=places))
             n_docs += b.num_rows
         if shard is not None:
             shard.close()
