@@ -31,7 +31,7 @@ def check_not_empty(df: DataFrame, fail_if_empty: bool = True) -> bool:
     return True
 
 
-def validate_and_cast(df: DataFrame, config: CastConfig) -> DataFrame:
+def validate_and_cast(df: DataFrame, config: CastConfig, *, check_empty: bool = True) -> DataFrame:
     """Coerce the columns named in ``config.dtype_map`` (P1-P4) and parse dates.
 
     * 'float*'/'double' targets: unparsable text becomes null (P1).
@@ -39,8 +39,11 @@ def validate_and_cast(df: DataFrame, config: CastConfig) -> DataFrame:
       column is kept as it was (P2).  All failure counts come from ONE
       aggregate over the frame.
     * absent columns are skipped (P4).
+    * an empty frame raises or passes through (P5); looking for a first row runs
+      the plan behind ``df``, so a caller that writes the result and looks at
+      what was written turns this off with ``check_empty``.
     """
-    if not check_not_empty(df, config.fail_if_empty):
+    if check_empty and not check_not_empty(df, config.fail_if_empty):
         return df
     types = dict(df.dtypes)
     schema = {f.name: f.dataType for f in df.schema.fields}

@@ -13,24 +13,29 @@ from orderlens.operators.ranking import global_rank
 BROADCAST_MAX_ROWS = 100_000
 
 
-def fits(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows (reads at most max_rows+1)."""
-    return df.limit(max_rows + 1).count() <= max_rows
+def checked_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+    """``df`` as a broadcast table of at most ``max_rows`` rows, or ``df`` itself if it has more.
+
+    The check keeps the rows that it has read (at most ``max_rows + 1``), so a
+    small table is computed once and is no part of the later plan.
+    """
+    rows = df.limit(max_rows + 1).collect()
+    if len(rows) > max_rows:
+        return df
+    return F.broadcast(df.sparkSession.createDataFrame(rows, df.schema))
 
 
 def lookup_join(big: DataFrame, small: DataFrame, on: str | Sequence[str], how: str = "left",
                 max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
     """Join a lookup table: broadcast when its row count is checked to be small,
     otherwise a plain shuffle join (AQE splits skewed keys there)."""
-    side = F.broadcast(small) if fits(small, max_rows) else small
-    return big.join(side, on, how)
+    return big.join(checked_broadcast(small, max_rows), on, how)
 
 
 def semi_join_keys(big: DataFrame, keys: DataFrame, on: str | Sequence[str],
                    max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
     """Rows of ``big`` whose key is in ``keys`` (J2): left-semi, broadcast when small."""
-    side = F.broadcast(keys) if fits(keys, max_rows) else keys
-    return big.join(side, on, "left_semi")
+    return big.join(checked_broadcast(keys, max_rows), on, "left_semi")
 
 
 def align_distributions(template: DataFrame, source: DataFrame, key: str = "class",

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from orderlens.functions.scalar import epoch_micros
+from orderlens.operators.quantiles_grouped import grouped_quantiles
 from orderlens.operators.ranking import quantile_values, quantiles
 from orderlens.operators.selection_exact import group_stats, with_bucket
 
@@ -240,7 +241,7 @@ def describe_temporal(df: DataFrame, cols: Sequence[str], *, exact: bool = True)
 
 def stats_by_class(df: DataFrame, cols: Sequence[str], label: str, *,
                    exact: bool = True) -> DataFrame:
-    """mean / median / min / max / std of each continuous column per class."""
+    """mean / median / min / max / std of each continuous column per class (A9), for any number of classes."""
     long = _numeric_long(df, cols, ids=[label])
     v = F.col("value")
     if not exact:
@@ -250,16 +251,10 @@ def stats_by_class(df: DataFrame, cols: Sequence[str], label: str, *,
         med = quantiles(long, "value", [0.5], [label, "variable"], exact=False,
                         prefix="median").drop("n").withColumnRenamed("median50", "median")
         return stats.join(med, [label, "variable"], "left")
-    stats = group_stats(long, "value", [label, "variable"],
-                        [F.avg(v).alias("mean"), F.stddev_samp(v).alias("std")])
-    qv = quantile_values(long, "value", [0.5], [label, "variable"], stats)
-    rows = [(g[0], g[1], r["mean"], r["mn"], r["mx"], r["std"], qv[g][0])
-            for g, r in stats.items()]
-    D = T.DoubleType()
-    ltype = dict((f.name, f.dataType) for f in df.schema.fields)[label]
-    return _typed_rows(df.sparkSession, rows, [
-        (label, ltype), ("variable", T.StringType()), ("mean", D), ("min", D), ("max", D),
-        ("std", D), ("median", D)])
+    got = grouped_quantiles(long, "value", [0.5], [label, "variable"], prefix="median", extra=[
+        F.avg("_v").alias("mean"), F.min("_v").alias("min"), F.max("_v").alias("max"),
+        F.stddev_samp("_v").alias("std")])
+    return got.select(label, "variable", "mean", "min", "max", "std", F.col("median50").alias("median"))
 
 
 def shape_moments(df: DataFrame, cols: Sequence[str]) -> DataFrame:

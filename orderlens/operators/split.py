@@ -78,11 +78,14 @@ def stratified_split(df: DataFrame, label: str, key_cols: Sequence[str], seed: i
     if label not in df.columns:
         raise KeyError(f"target column {label!r} not found")
     md5 = hash_order(list(key_cols), seed)
-    hashable = [f.name for f in df.schema.fields if "map<" not in f.dataType.simpleString()]
+    # maps have no order and no hash: their JSON text stands for them
+    maps = [f.name for f in df.schema.fields if "map<" in f.dataType.simpleString()]
+    texts = {c: F.to_json(F.struct(F.col(c))) for c in maps}
+    content = [texts.get(c, F.col(c)) for c in df.columns]
     # 52-bit hashes: exact as doubles; _h keeps the order of the hex text
     ordered = (df.filter(F.col(label).isNotNull())
                .withColumn("_h", F.conv(F.substring(md5, 1, 13), 16, 10).cast("double"))
-               .withColumn("_r", F.shiftrightunsigned(F.xxhash64(*hashable), 12).cast("double")))
+               .withColumn("_r", F.shiftrightunsigned(F.xxhash64(*content), 12).cast("double")))
     # the counting passes read a narrow copy with the hashes computed once
     narrow = ordered.select(label, "_h", "_r").persist(StorageLevel.MEMORY_AND_DISK)
     try:
@@ -108,8 +111,10 @@ def stratified_split(df: DataFrame, label: str, key_cols: Sequence[str], seed: i
         return ordered.withColumn(split_col, plain).select(*df.columns, split_col)
     # copies at a cut: one row per distinct content, numbered, then written out again
     marks = ["_h", "_r", *[f.name for f in fields[1:]]]
-    copies = ordered.filter(at(0) | at(1)).groupBy(*df.columns, *marks).agg(F.count(F.lit(1)).alias("_n"))
-    upto = F.sum("_n").over(Window.partitionBy(label, "_h", "_r").orderBy(F.struct(*df.columns)))
+    keys = {f"_c{j}": e for j, e in enumerate(content)}
+    copies = (ordered.filter(at(0) | at(1)).withColumns(keys).groupBy(*keys, *marks)
+              .agg(F.count(F.lit(1)).alias("_n"), *[F.first(c).alias(c) for c in df.columns]))
+    upto = F.sum("_n").over(Window.partitionBy(label, "_h", "_r").orderBy(F.struct(*keys)))
     copies = copies.withColumn("_to", upto).withColumn(
         "_p", F.explode(F.sequence(F.col("_to") - F.col("_n") + 1, F.col("_to"))))
     counted = (F.when(side(0) | (at(0) & (F.col("_p") <= F.col("_m0"))), names[0])
@@ -141,13 +146,12 @@ def with_class_size(df: DataFrame, label: str, size_col: str = "n_class") -> Dat
 def balanced_weights(df: DataFrame, label: str, weight_col: str = "weight") -> DataFrame:
     """Row weight n / (k * n_class), sklearn's 'balanced' (F15, J1, W2).
 
-    Class sizes come from a map-side-combined count (k rows); n and k are
-    scalar subqueries over that small table.  The k-row weight table is
-    broadcast after its row count is checked, so the big side is never
-    shuffled by the (skewed) label; past the limit it is a shuffle join.
+    Class sizes come from one map-side-combined count; n and k are sums over
+    its rows.  The weight table is read out and broadcast if it has at most
+    ``BROADCAST_MAX_ROWS`` classes, so the rows are scanned once in the plan and
+    never shuffled by the (skewed) label; past the limit it is a shuffle join.
     """
     counts = class_counts(df.filter(F.col(label).isNotNull()), label)
-    total = counts.select(F.sum("n")).scalar()
-    k = counts.select(F.count(F.lit(1))).scalar()
-    w = counts.select(label, (total / (k * F.col("n"))).alias(weight_col))
+    whole = counts.select(F.struct(F.sum("n").alias("n"), F.count(F.lit(1)).alias("k"))).scalar()
+    w = counts.select(label, (whole["n"] / (whole["k"] * F.col("n"))).alias(weight_col))
     return lookup_join(df, w, label, "left")

@@ -7,6 +7,7 @@ Every query reads the test tables (or frames Spark derives from them) at
 from __future__ import annotations
 
 import os
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,6 +17,7 @@ from orderlens.functions.scalar import to_numeric, to_timestamp_lenient
 from orderlens.operators.cast import validate_and_cast
 from orderlens.operators.rollup import (aggregate_to_customer, aggregate_with_attributes,
                                         drop_exact_duplicates, keep_last_per_key)
+from orderlens.session import shared_path
 from orderlens.sources.parquet import (file_row_report, load_report, read_parquet_folder,
                                        schema_report, stack_frames)
 from orderlens.sources.tables import (TPCH_ROLLUP, TPCH_SCHEMA, customer_attributes, order_facts,
@@ -176,6 +178,32 @@ def load_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return load_report(table(spark, sf_dir, "orders"), "o_custkey")
 
 
+@register("s1_read_folder", """
+SELECT * FROM orders UNION ALL SELECT * FROM orders UNION ALL
+SELECT * FROM orders WHERE o_orderkey % 3 = 0""")
+def read_folder(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A folder of files: copies inside a file go, copies in different files stay, other names and
+    sub-folders are not read (S1/S2/S7)."""
+    o = table(spark, sf_dir, "orders")
+    folder = shared_path(spark, f"orderlens-folder-{uuid.uuid4().hex[:12]}")
+    third = o.filter("o_orderkey % 3 = 0")
+    for part in (o.unionByName(third), o, third.unionByName(third).unionByName(third)):
+        part.coalesce(1).write.mode("append").parquet(folder)
+    third.write.json(f"{folder}/deeper")
+    return read_parquet_folder(spark, folder)
+
+
+@register("p2_cast_fallback", """
+SELECT o_orderkey, o_orderpriority, CAST(o_custkey AS VARCHAR) AS o_custkey,
+  CAST(trunc(o_totalprice) AS BIGINT) AS o_totalprice FROM orders""")
+def cast_fallback(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Casts by map: text that is no number keeps its column, absent columns are skipped."""
+    o = table(spark, sf_dir, "orders").withColumn("o_totalprice", F.floor("o_totalprice").cast("string"))
+    config = CastConfig(dtype_map={"o_orderpriority": "int", "o_custkey": "string", "o_totalprice": "bigint",
+                                   "no_such_column": "double"}, timestamp_cols=())
+    return validate_and_cast(o, config).select("o_orderkey", "o_orderpriority", "o_custkey", "o_totalprice")
+
+
 @register("s6_schema_report")
 def schema_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every test file's schema against the first file's (S6); metadata only."""

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -10,7 +12,7 @@ from orderlens.operators import association as A
 from orderlens.operators import timegrid as TG
 from orderlens.operators.joins import align_distributions
 from orderlens.operators.sampling import sample_key_histories, sample_rows, test_sample
-from orderlens.operators.split import balanced_weights, class_counts, stratified_split
+from orderlens.operators.split import balanced_weights, class_counts, split_frames, stratified_split
 from orderlens.plans.catalog_profile import rounded
 from orderlens.sources.tables import table
 
@@ -163,6 +165,33 @@ def split_sizes(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.count(F.lit(1)).alias("n"))
 
 
+@register("p8_split_frames", f"""
+SELECT 'X_' || split AS frame, count(*) AS n, 'o_orderkey' AS columns FROM ({_SPLIT_ORDERS}) GROUP BY split
+UNION ALL SELECT 'y_' || split, count(*), 'o_orderstatus' FROM ({_SPLIT_ORDERS}) GROUP BY split""")
+def xy_frames(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Features and target of each split as frames of their own: rows and columns."""
+    frames = split_frames(_split_orders(spark, sf_dir), "o_orderstatus")
+    names = [f"{side}_{part}" for side in ("X", "y") for part in ("train", "val", "test")]
+    out = [f.agg(F.lit(n).alias("frame"), F.count(F.lit(1)).alias("n"), F.lit(",".join(f.columns)).alias("columns"))
+           for n, f in zip(names, frames)]
+    return reduce(DataFrame.unionByName, out)
+
+
+@register("f3_split_maps", """
+WITH c AS (SELECT o_orderstatus, count(*) AS n FROM orders WHERE o_orderstatus IS NOT NULL GROUP BY 1)
+SELECT 'train' AS split, o_orderstatus, (6 * n) // 10 AS n FROM c
+UNION ALL SELECT 'val', o_orderstatus, (8 * n) // 10 - (6 * n) // 10 FROM c
+UNION ALL SELECT 'test', o_orderstatus, n - (8 * n) // 10 FROM c""")
+def split_maps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Class sizes per split of rows with a map column and few keys (F3): still exactly 60/20/20."""
+    o = table(spark, sf_dir, "orders").select(
+        "o_orderstatus", F.pmod("o_custkey", F.lit(7)).alias("k"),
+        F.create_map(F.lit("priority"), "o_orderpriority", F.lit("month"),
+                     F.month("o_orderdate").cast("string")).alias("facts"))
+    return (stratified_split(o, "o_orderstatus", ["k"], seed=42)
+            .groupBy("split", "o_orderstatus").agg(F.count(F.lit(1)).alias("n")))
+
+
 @register("f3_split_repeated_keys", """
 WITH c AS (SELECT o_orderstatus, count(*) AS n FROM orders WHERE o_orderstatus IS NOT NULL GROUP BY 1)
 SELECT 'train' AS split, o_orderstatus, (6 * n) // 10 AS n FROM c

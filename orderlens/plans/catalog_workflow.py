@@ -123,6 +123,17 @@ def rule_label_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(out)
 
 
+@register("m7_model_bundle", f"""WITH t AS (SELECT DISTINCT o_orderstatus AS c FROM ({_SPLIT_SQL}) WHERE split = 'train')
+SELECT 1 AS version, 'Production' AS stage, CAST(row_number() OVER (ORDER BY c) - 1 AS INTEGER) AS position,
+       c AS class FROM t""")
+def bundle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Version, stage and classes of the workflow's model, read from the model table (M6, M7)."""
+    _, fitted = fitted_run(spark, sf_dir)
+    got = fitted.bundle
+    return spark.createDataFrame([(got["version"], got["stage"], k, c) for k, c in enumerate(got["classes"])],
+                                 "version int, stage string, position int, class string")
+
+
 @register("i4_quarantine", f"""SELECT s.o_custkey, list_filter([
     CASE WHEN c_mktsegment NOT IN ('AUTOMOBILE', 'BUILDING', 'FURNITURE', 'HOUSEHOLD')
          THEN 'c_mktsegment: not allowed ' || c_mktsegment END,

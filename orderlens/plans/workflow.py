@@ -7,7 +7,8 @@ Same steps as the reference's entry point, as Spark jobs:
 2. exact stratified 60/20/20 split, written once (the ranking is reused by
    every later step instead of being recomputed);
 3. feature selection fitted on TRAIN, applied to all splits;
-4. model trained only when none is stored (M5), saved as a PipelineModel;
+4. model trained only when none is stored (M5), saved as a PipelineModel, registered and promoted
+   in the model table (M6, M7);
 5. metrics per split (E1-E6) written as a (split, metric, value) table;
 6. a seeded test sample is scored with validation + quarantine (I4/I5),
    and its summary (A18), scored rows (S9) and prediction-vs-truth
@@ -33,6 +34,7 @@ from orderlens.operators.rollup import aggregate_to_customer, aggregate_with_att
 from orderlens.operators.sampling import sample_rows
 from orderlens.operators.split import stratified_split
 from orderlens.operators.validate import RecordRules, split_valid, validate_records
+from orderlens.plans import registry
 from orderlens.plans.scoring import batch_summary, predict_batch, predictions_vs_truth
 from orderlens.plans.selection import FeatureSelector
 from orderlens.plans.training import BoostParams, ensure_model, predict, train_model
@@ -51,7 +53,7 @@ class WorkflowConfig:
     id_pattern: str = "_id"
     boost: BoostParams = field(default_factory=BoostParams)
     sample_size: int | None = 50
-    model_version: str = "1"
+    model_name: str = "customers"
     rules: RecordRules | None = None      # record checks before scoring; bad records go to quarantine
 
 
@@ -67,7 +69,8 @@ def customers_table(spark: SparkSession, transactions: DataFrame, cfg: WorkflowC
     With ``attributes`` (one row per key), the fact rows are rolled up first
     and the attributes joined after (skew-safe form of the same result).
     """
-    valid = validate_and_cast(transactions, cfg.cast)
+    # emptiness is looked at in the written result (write_processed), not by running the input's joins
+    valid = validate_and_cast(transactions, cfg.cast, check_empty=False)
     if attributes is not None:
         customers = aggregate_with_attributes(valid, attributes, cfg.rollup, cfg.schema)
     else:
@@ -91,6 +94,7 @@ class Fitted:
     continuous: list
     splits: dict          # selected features per split
     table: object         # the split table: all columns of every customer, and split
+    bundle: dict          # the model's row of the model table: version, stage, classes, columns, best round
 
 
 def fit(spark: SparkSession, transactions: DataFrame, cfg: WorkflowConfig,
@@ -104,14 +108,27 @@ def fit(spark: SparkSession, transactions: DataFrame, cfg: WorkflowConfig,
     cats = list(selector.getOrDefault(selector.categoricalCols))
     conts = list(selector.getOrDefault(selector.continuousCols))
     sel = {s: selector.transform(df) for s, df in parts.items()}
-    model_path = path(cfg, "model")
+    model_path, root = path(cfg, "model"), path(cfg, "models")
 
     def train_and_save():
         m = train_model(sel["train"], sel["val"], cfg.schema.label, cats, conts, cfg.boost)
         m.write().overwrite().save(model_path)
+        facts = registry.model_facts(m, cats, conts)
+        row = spark.createDataFrame([(cfg.model_name, model_path, *facts.values())], registry_row(facts))
+        registry.register(row, root)
+        new = registry.current(spark, root).groupBy("name").agg(F.max("version").alias("version"))
+        registry.promote(new, root)
 
     model = ensure_model(model_path, train_and_save)
-    return Fitted(selector, model, cats, conts, sel, sp)
+    # what the scorer needs comes from the stored model's row, not from this run (M6, M7)
+    bundle = registry.model_bundle(spark, root, cfg.model_name)
+    cats = bundle["categorical"]
+    return Fitted(selector, model, cats, [c for c in bundle["inputs"] if c not in cats], sel, sp, bundle)
+
+
+def registry_row(facts: dict) -> str:
+    kinds = {"best_round": "int"}
+    return "name string, path string, " + ", ".join(f"{c} {kinds.get(c, 'array<string>')}" for c in facts)
 
 
 def metrics_table(spark: SparkSession, fitted: Fitted, cfg: WorkflowConfig) -> DataFrame:
@@ -138,7 +155,8 @@ def score_sample(spark: SparkSession, fitted: Fitted, cfg: WorkflowConfig):
         "errors", F.array().cast("array<string>"))
     write_json_lines(split_valid(checked)[1].select(cfg.schema.key, "errors"), path(cfg, "quarantine"))
     valid = fitted.selector.transform(split_valid(checked)[0])
-    scored, _ = predict_batch(fitted.model, valid, None, fitted.categorical, fitted.continuous, cfg.model_version)
+    scored, _ = predict_batch(fitted.model, valid, None, fitted.categorical, fitted.continuous,
+                              str(fitted.bundle["version"]))
     results = scored.select(cfg.schema.key, cfg.schema.label, "predicted_class", "confidence",
                             "probabilities", "model_version")
     key = sample.schema[cfg.schema.key].dataType.simpleString()

@@ -8,8 +8,9 @@ from pyspark.sql import functions as F
 
 from orderlens.operators import association as A
 from orderlens.operators import evaluate as E
-from orderlens.operators.joins import align_distributions
+from orderlens.operators.joins import align_distributions, lookup_join
 from orderlens.operators.profile import bounded_distinct
+from orderlens.operators.quantiles_grouped import grouped_quantiles
 from orderlens.plans import registry
 from orderlens.sources.footers import footer_schemas, list_files
 from orderlens.sources.parquet import schema_report
@@ -149,6 +150,31 @@ def test_near_constant_by_candidates(spark):
     assert got["b"][1] is False and got["b"][0] <= 0.0005
 
 
+def test_quantiles_of_many_groups_with_ties_and_null(spark):
+    import numpy as np
+    import pandas as pd
+    rng = np.random.default_rng(0)
+    n = 30_000
+    g = np.where(rng.random(n) < 0.5, "hot", np.where(rng.random(n) < 0.5, None, rng.integers(0, 3000, n).astype(str)))
+    x = np.where(rng.random(n) < 0.3, 7.0, np.exp(rng.normal(size=n) * 3))      # ties and a heavy tail
+    pdf = pd.DataFrame({"g": g, "v": x})
+    got = grouped_quantiles(spark.createDataFrame(pdf), "v", [0.1, 0.5, 0.99], ["g"], finish=300,
+                            extra=[F.max("_v").alias("top")]).toPandas()
+    got = got.assign(g=got.g.fillna("~")).set_index("g")
+    per = pdf.assign(g=pdf.g.fillna("~")).groupby("g").v
+    want = per.quantile([0.1, 0.5, 0.99]).unstack()
+    assert np.abs(got.loc[want.index, ["q10", "q50", "q99"]].to_numpy() - want.to_numpy()).max() == 0
+    assert (got.top == per.max().loc[got.index]).all() and (got.n == per.size().loc[got.index]).all()
+
+
+def test_lookup_rows_are_read_once(spark):
+    big = spark.range(100).withColumn("k", F.col("id") % 7)
+    small = big.groupBy("k").agg(F.count("*").alias("n"))
+    plan = lookup_join(big, small, "k")._jdf.queryExecution().executedPlan().toString()
+    assert "LocalTableScan" in plan and plan.count("Range (") == 1
+    assert lookup_join(big, small, "k", max_rows=3).count() == 100
+
+
 def test_positions_without_a_single_window(spark):
     t = spark.createDataFrame([(f"k{i:04d}", i) for i in range(0, 3000, 2)], "class string, n long")
     s = spark.createDataFrame([(f"k{i:04d}", i) for i in range(0, 3000, 3)], "class string, n long")
