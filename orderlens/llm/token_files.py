@@ -15,8 +15,8 @@ A document is encoded by the tokenizers library.  Where the tokenizer drops
 white space (checked when it is loaded), no token reaches over an ASCII space,
 so texts are cut there and the distinct words of a slice of texts are encoded
 once; where its text rules are the known ones, plain words are cut into their
-pieces here and the library's model encodes the pieces that the task's bounded
-memo does not hold.  Other tokenizers get whole texts.
+pieces here and the library's model encodes the pieces that the worker's
+bounded memo does not hold.  Other tokenizers get whole texts.
 
 Defined results: a null text is the empty text, which has the end id only; null
 doc_ids come first; rows that share a doc_id are ordered by their text's hash,
@@ -31,6 +31,7 @@ import os
 import re
 import uuid
 import zlib
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -47,7 +48,7 @@ END_ID = 1             # appended to each document
 LENGTH = 2048          # ids of a sequence
 SEQUENCES = 256        # sequences of a record batch
 SLICE = 8 << 20        # text bytes that one step of a task encodes
-MEMO = 100_000         # memoised words and pieces per generation and task
+MEMO = 100_000         # memoised words and pieces per generation and worker
 MEMO_BYTES = 64        # longest memoised word
 
 MANIFEST = "shard int, path string, index_path string, n_docs long, n_ids long, n_sequences long"
@@ -174,6 +175,12 @@ class Encoder:
         return self.column(pa.array([text], pa.string()))[0][:-1].tolist()
 
 
+@lru_cache(maxsize=2)
+def encoder_of(tokenizer: str, end_id: int) -> Encoder:
+    """The encoder of this worker process: its file is read once and its memo stays for later tasks."""
+    return Encoder(tokenizer, end_id)
+
+
 def _store(folder: str) -> tuple[fs.FileSystem, str]:
     """File system and path of a folder, given as a path or URI."""
     if re.match(r"[a-zA-Z][a-zA-Z0-9+.-]*:/", folder):
@@ -280,7 +287,7 @@ def write_token_files(documents: DataFrame, folder: str, tokenizer: str = TOKENI
         name, n_docs = uuid.uuid4().hex, 0
         for b in (part for whole in batches for part in byte_slices(whole, 1, SLICE)):
             if shard is None:
-                encoder = Encoder(tokenizer, end_id)
+                encoder = encoder_of(tokenizer, end_id)
                 shard = ShardWriter(store, f"{root}/{name}.arrow", encoder.dtype, length, sequences)
                 index_out = store.open_output_stream(f"{root}/{name}.index.arrow")
                 index = pa.ipc.new_file(index_out, places)
