@@ -40,9 +40,9 @@ def register(name: str, sql: str | None = None):
     return deco
 
 
-#: records that the scorer accepts; MACHINERY customers and large debts are quarantined
+#: records that the scorer accepts; MACHINERY customers and those of many lines are quarantined
 RULES = RecordRules(allowed={"c_mktsegment": ["AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD"]},
-                    ranges={"c_acctbal": (-900, None)})
+                    ranges={"n_lines": (1, 50)})
 
 
 def _config(spark: SparkSession) -> WorkflowConfig:
@@ -137,9 +137,12 @@ def bundle(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("i4_quarantine", f"""SELECT s.o_custkey, list_filter([
     CASE WHEN c_mktsegment NOT IN ('AUTOMOBILE', 'BUILDING', 'FURNITURE', 'HOUSEHOLD')
          THEN 'c_mktsegment: not allowed ' || c_mktsegment END,
-    CASE WHEN c_acctbal < -900 THEN 'c_acctbal: out of range ' || CAST(c_acctbal AS VARCHAR) END],
+    CASE WHEN coalesce(n.n, 0) NOT BETWEEN 1 AND 50
+         THEN 'n_lines: out of range ' || CAST(coalesce(n.n, 0) AS VARCHAR) END],
     lambda x: x IS NOT NULL) AS errors
 FROM ({_SPLIT_SQL}) s JOIN customer c ON c.c_custkey = s.o_custkey
+LEFT JOIN (SELECT o_custkey, count(*) AS n FROM orders JOIN lineitem ON l_orderkey = o_orderkey GROUP BY 1) n
+  ON n.o_custkey = s.o_custkey
 WHERE s.split = 'test' AND len(errors) > 0""")
 def quarantined(spark: SparkSession, sf_dir: str) -> DataFrame:
     """TEST customers that the record rules keep from the scorer, read back from the quarantine."""
