@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from orderlens.llm import (decontam, embed_dedup, filter_audit, html_text, near_dup, pieces, quality, secrets,
-                           suffix_dedup, token_files, toxicity, url_filter, variants)
+from orderlens.llm import (decontam, embed_dedup, filter_audit, html_text, near_dup, oracles, pieces, quality,
+                           secrets, suffix_dedup, token_files, toxicity, url_filter, variants)
 
 
 def _table(spark, sf_dir, name):
@@ -94,4 +94,7 @@ QUERIES = {f.__name__: f for f in (
     op6_sentencepiece, op7_minhash_near_dup, op8_url_filter, op9_html_extraction, op10_suffix_dedup,
     op11_spelling_variants, op12_filter_audit, op13_token_files, pipeline)}
 
-ORACLE: dict[str, str] = {"op12_filter_audit": filter_audit.ORACLE}
+ORACLE: dict[str, str] = {
+    "op3_decontamination": oracles.DECONTAMINATION, "op5_embedding_near_dup": oracles.EMBEDDINGS,
+    "op7_minhash_near_dup": oracles.NEAR_DUP, "op11_spelling_variants": oracles.VARIANTS,
+    "op12_filter_audit": filter_audit.ORACLE}

@@ -270,7 +270,7 @@ def test_toxicity_on_held_out_labels(spark):
     got = (catalog.op4_toxicity(spark, sf).join(spark.read.parquet(f"{sf}/labels.parquet"), "doc_id")
            .where("held_out").select("score", "toxic").collect())
     pos, neg = [r[0] for r in got if r[1]], [r[0] for r in got if not r[1]]
-    assert np.mean([(a > b) + 0.5 * (a == b) for a in pos for b in neg]) > 0.6     # few labels at this size
+    assert np.mean([(a > b) + 0.5 * (a == b) for a in pos for b in neg]) > 0.8     # 36 label-1 rows to learn from
     bags = [[["good", "day"], ["you", "idiotic"]], [["good"], ["day"]]] * 30
     model = toxicity.fit_bags(bags, np.array([1, 0] * 30), np.ones(60))
     text = "Good day to all. You idiotic one! Day."
