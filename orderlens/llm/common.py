@@ -20,6 +20,7 @@ from pyspark.sql import types as T
 
 from orderlens.session import shared_path
 
+BATCH_ROWS = 1_000      # rows of an Arrow batch of texts
 BATCH_BYTES = 1 << 20   # text bytes that one step of a task turns into Python objects
 ARROW = {"long": pa.int64(), "int": pa.int32(), "double": pa.float64(), "boolean": pa.bool_(),
          "string": pa.string(), "binary": pa.binary(), "array<int>": pa.list_(pa.int32()),
@@ -70,6 +71,14 @@ def byte_slices(batch: pa.RecordBatch, at: int, limit: int = BATCH_BYTES):
             yield batch.slice(a, b - a)
 
 
+def small_batches(spark: SparkSession, rows: int = BATCH_ROWS) -> None:
+    """Fewer rows per Arrow batch, where the session has Spark's default of 10,000: with long texts
+    those are tens of megabytes outside the heap, for each task and direction."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if spark.conf.get(key, "10000") == "10000":
+        spark.conf.set(key, str(rows))
+
+
 def map_text(df: DataFrame, keep: list[str], text: str, start: Callable, out: list[tuple]) -> DataFrame:
     """Arrow-batch map over one text column.
 
@@ -79,6 +88,7 @@ def map_text(df: DataFrame, keep: list[str], text: str, start: Callable, out: li
     come in slices of about ``BATCH_BYTES``, so a task never holds the Python
     objects of a whole Arrow batch.
     """
+    small_batches(df.sparkSession)
     df = df.select(*keep, F.col(text).alias("_text_in"))
     schema = T.StructType([df.schema[c] for c in keep]
                           + [T.StructField(n, T._parse_datatype_string(t)) for n, t in out])
