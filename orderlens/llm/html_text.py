@@ -3,11 +3,10 @@
 Markup is stripped into lines (one per block element).  A line weighs its text
 outside links; lines inside menus, headers, footers, sidebars, notices,
 adverts, forms and reader comments weigh nothing and never enter the result.
-The weights are summed over sliding windows of the lines that hold text; the
-text body is the stretch between a surge (a window sum rises above zero) and the
-next dive (it falls back to zero) that holds most text.  Lines without text
-(figures, spacers) are in no window, so they end nothing.  Where that stretch
-lies inside an ``article`` or ``main`` element, surge and dive are moved to the
+The weights are summed over sliding windows of lines; the text body is the
+stretch between a surge (a window sum rises above zero) and the next dive (it
+falls back to zero) that holds most text.  Elements that hold nothing but media
+(figures) are no lines, so they end nothing.  Where that stretch lies inside an ``article`` or ``main`` element, surge and dive are moved to the
 first and last line of all such elements, so short first and last paragraphs and
 further articles stay.  Inside them a class, id or role marks furniture only if
 it starts with a telling word (``share-buttons``, not ``post-header`` or
@@ -47,6 +46,7 @@ INLINE = {"a", "abbr", "acronym", "b", "bdi", "bdo", "big", "cite", "code", "dat
           "samp", "small", "span", "strike", "strong", "sub", "sup", "time", "tt", "u", "var", "wbr",
           "math", "mi", "mn", "mo", "mtext", "mrow", "mfrac", "msqrt", "mroot", "msub", "msup", "msubsup",
           "semantics"}
+MEDIA = {"img", "picture", "source", "svg", "video", "audio", "canvas", "iframe", "object", "embed"}
 ASIDE = {"nav", "header", "footer", "aside", "form", "button", "menu", "dialog", "fieldset"}
 BODY = {"article", "main"}
 NEVER = {"html", "body", "article", "main"}
@@ -82,15 +82,17 @@ def _furniture(name: str, attrs: str, inside_body: bool) -> bool:
 def lines_of(page: str) -> list[tuple[str, int, bool, int]]:
     """(text, weight, furniture, number of the body element or 0) per block, in page order."""
     out, parts = [], []
-    # (element, inside furniture, body element, lines before it)
-    stack: list[tuple[str, bool, int, int]] = []
+    # (element, inside furniture, body element, lines and media before it)
+    stack: list[tuple[str, bool, int, int, int]] = []
     off, body, bodies, links, plain = False, 0, 0, 0, 0
+    media, quiet = 0, False           # media elements so far; whether only media came since the last line
 
     def flush():
-        nonlocal plain
+        nonlocal plain, quiet
         text = " ".join(_html.unescape("".join(parts)).split())
-        if text or parts:
+        if text or parts and not quiet:
             out.append((text, 0 if off else min(plain, len(text)), off, body))
+            quiet = False
         parts.clear()
         plain = 0
 
@@ -111,6 +113,7 @@ def lines_of(page: str) -> list[tuple[str, int, bool, int]]:
             continue
         closing = bool(m.group(1) or m.group(4))
         attrs = m.group(3) or m.group(6) or ""
+        media += name in MEDIA and not closing
         if not closing and name in RAW:
             end = re.compile(rf"</{re.escape(name)}\s*(?:>|\Z)", re.I).search(page, at)
             at = end.end() if end else n
@@ -131,7 +134,7 @@ def lines_of(page: str) -> list[tuple[str, int, bool, int]]:
                     hide = off or _furniture(name, attrs, bool(body))
                     if hide and not off:
                         flush()
-                    stack.append((name, hide, body, -1))
+                    stack.append((name, hide, body, -1, media))
                     off = hide
             continue
         flush()
@@ -141,17 +144,20 @@ def lines_of(page: str) -> list[tuple[str, int, bool, int]]:
             if any(x[0] == name for x in stack):
                 while (top := stack.pop())[0] != name:
                     pass
-                if top[3] == len(out):           # an empty element is an empty line
-                    out.append(("", 0, off, body))
+                if top[3] == len(out):           # an empty element is an empty line, one with media none
+                    if top[4] == media:
+                        out.append(("", 0, off, body))
+                    else:
+                        quiet = True
         else:
             if stack and stack[-1][0] == "p":
                 stack.pop()
-            over = stack[-1] if stack else ("", False, 0, 0)
+            over = stack[-1] if stack else ("", False, 0, 0, 0)
             inner = over[2]
             if name in BODY and not inner:
                 bodies += 1
                 inner = bodies
-            stack.append((name, over[1] or _furniture(name, attrs, bool(over[2])), inner, len(out)))
+            stack.append((name, over[1] or _furniture(name, attrs, bool(over[2])), inner, len(out), media))
         links = 0
         off, body = (stack[-1][1], stack[-1][2]) if stack else (False, 0)
     flush()
@@ -160,8 +166,7 @@ def lines_of(page: str) -> list[tuple[str, int, bool, int]]:
 
 def body_range(lines: list) -> tuple[int, int]:
     """First and last + 1 line of the text body."""
-    at = [k for k, (t, _, off, _) in enumerate(lines) if t or off]      # lines without text end nothing
-    weights = [lines[k][1] for k in at]
+    weights = [w for _, w, _, _ in lines]
     sums = [sum(weights[i:i + WINDOW]) for i in range(len(weights))]
     best, most, i = (0, 0), 0, 0
     while i < len(sums):
@@ -179,7 +184,8 @@ def body_range(lines: list) -> tuple[int, int]:
     while s < e and not weights[s]:
         s += 1
     # link lists only: everything that is not furniture
-    s, e = (at[s], at[e - 1] + 1) if most else (0, len(lines))
+    if not most:
+        s, e = 0, len(lines)
     by_body: dict[int, int] = {}
     for _, w, _, b in lines[s:e]:
         by_body[b] = by_body.get(b, 0) + w
