@@ -33,21 +33,31 @@ from orderlens.llm.common import map_text
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SPACE = "▁"
 DECODE_ROWS = 64   # rows whose ids one step of a decoding task holds as Python numbers
-MEMO = 50_000      # memoised stretches per task
+MEMO = 50_000      # memoised stretches per generation and task
 MEMO_LEN = 48      # longest stretch that is kept in the memo
 
 
+_NONE = float("-inf")   # score of a boundary that no path has reached
+
+
 class _Memo(dict):
-    """Ids (little-endian 32-bit, as bytes) by stretch; ``MEMO`` stretches at most."""
+    """Ids (little-endian 32-bit, as bytes) by stretch, in two generations of ``MEMO``: a full one becomes
+    the old one, and what is still in use moves on from there."""
 
     def __init__(self, make):
         super().__init__()
-        self.make = make
+        self.make, self.old = make, {}
 
     def __missing__(self, word):
-        got = np.asarray(self.make(word), dtype="<i4").tobytes()
-        if len(self) < MEMO and len(word) <= MEMO_LEN:
-            self[word] = got
+        got = self.old.get(word)
+        if got is None:
+            got = np.asarray(self.make(word), dtype="<i4").tobytes()
+            if len(word) > MEMO_LEN:
+                return got
+        if len(self) >= MEMO:
+            self.old = dict(self)
+            self.clear()
+        self[word] = got
         return got
 
 
@@ -105,52 +115,58 @@ class Codec:
         are committed.
         """
         n, trie, unknown, longest = len(s), self.trie, self.unknown, self.longest
-        total, back = {0: 0.0}, {}
+        room = min(n, 3 * longest)
+        # scores and back-pointers of the boundaries from ``done`` on
+        total, back = [0.0] + [_NONE] * room, [None] * (room + 1)
         out, done, due = [], 0, 2 * longest
         for i in range(n):
             if i >= due:
                 due = i + longest
-                meet = self._meet(back, total, i)
+                meet = self._meet(back, total, done, i)
                 if meet > done:
                     self._commit(s, back, done, meet, out)
-                    base, done = total[meet], meet
-                    total = {k: v - base for k, v in total.items() if k >= meet}
-            t, node, j = total[i], trie.get(s[i]), i + 1
+                    base, gone, done = total[meet - done], meet - done, meet
+                    total, back = [t - base for t in total[gone:]], back[gone:]
+                more = i + 2 * longest + 1 - done - len(total)
+                if more > 0:
+                    total += [_NONE] * more
+                    back += [None] * more
+            t, node, j = total[i - done], trie.get(s[i]), i + 1
+            k = j - done
             if node is None or 0 not in node:
-                if j not in total or t + unknown > total[j]:
-                    total[j], back[j] = t + unknown, (i, -1)
+                if t + unknown > total[k]:
+                    total[k], back[k] = t + unknown, (i, -1)
             while node:
                 hit = node.get(0)
-                if hit is not None and (j not in total or t + hit[0] > total[j]):
-                    total[j], back[j] = t + hit[0], (i, hit[1])
+                if hit is not None and t + hit[0] > total[k]:
+                    total[k], back[k] = t + hit[0], (i, hit[1])
                 if j == n:
                     break
                 node = node.get(s[j])
                 j += 1
+                k += 1
         self._commit(s, back, done, n, out)
         return out
 
     @staticmethod
-    def _meet(back: dict, total: dict, i: int) -> int:
+    def _meet(back: list, total: list, done: int, i: int) -> int:
         """The boundary through which the paths of all live boundaries (``i`` and later) run."""
-        live = {k for k in total if k >= i}
+        live = {k for k in range(i, done + len(total)) if total[k - done] > _NONE}
         while len(live) > 1:
             last = max(live)
             live.discard(last)
-            live.add(back[last][0])
+            live.add(back[last - done][0])
         return min(live)
 
-    def _commit(self, s: str, back: dict, done: int, end: int, out: list[int]) -> None:
-        """Append the ids of ``s[done:end]`` along the back-pointers and forget those."""
+    def _commit(self, s: str, back: list, done: int, end: int, out: list[int]) -> None:
+        """Append the ids of ``s[done:end]`` along the back-pointers."""
         parts, j = [], end
         while j > done:
-            i, k = back[j]
+            i, k = back[j - done]
             parts.append([k] if k >= 0 else self._bytes(s[i:j]))
             j = i
         for part in reversed(parts):
             out += part
-        for k in range(done + 1, end + 1):
-            back.pop(k, None)
 
     # -- whole texts -----------------------------------------------------
     def buffer(self, text: str | None) -> bytes:
