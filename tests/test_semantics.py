@@ -145,3 +145,15 @@ def test_numbers_and_text_keep_their_values(spark):
     assert {r[0] for r in df.select(with_na_token("t")).collect()} == {"NaN", "__NA__"}
     assert {r[0] for r in df.select(with_na_token(F.nanvl("x", F.lit(0.0)))).collect()} == {"Infinity", "1.5"}
     assert [r["value"] for r in category_counts(df, ["t"]).collect()] == ["NaN"]
+
+
+def test_typify_query_counts_every_numeric_column_in_full(spark, scratch):
+    from orderlens.plans.catalog_profile import ORACLE, QUERIES
+    rows = [(k, k % 7, None if k % 10 == 0 else k % 3, [0.0, -0.0, float("nan"), 1.5][k % 4], "AB"[k % 2], D(2024, 1, 1 + k % 28))
+            for k in range(200)] + [(5, 5, 2, 1.5, "A", D(2024, 1, 1))] * 2
+    cols = "l_orderkey long, l_partkey long, l_linenumber int, l_tax double, l_returnflag string, l_shipdate timestamp_ntz"
+    spark.createDataFrame(rows, cols).write.parquet(os.path.join(scratch, "lineitem.parquet"))
+    got = {r["variable"]: (r["n_distinct"], r["kind"]) for r in QUERIES["f1_typify_lineitem"](spark, scratch).collect()}
+    assert got == {"l_orderkey": (200, "continuous"), "l_partkey": (7, "continuous"), "l_linenumber": (4, "discrete"),
+                   "l_tax": (3, "discrete"), "l_returnflag": (None, "categorical"), "l_shipdate": (None, "temporal")}
+    assert "<= 5 THEN (count" not in ORACLE["f1_typify_lineitem"]
