@@ -6,6 +6,7 @@ Every query reads the test tables (or frames Spark derives from them) at
 
 from __future__ import annotations
 
+import math
 import os
 import uuid
 
@@ -178,6 +179,11 @@ def load_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return load_report(table(spark, sf_dir, "orders"), "o_custkey")
 
 
+#: orders per file of the folder that is written and read back: a file is written, and its copies are
+#: looked for, by one task
+FILE_ROWS = 250_000
+
+
 @register("s1_read_folder", """
 SELECT * FROM orders UNION ALL SELECT * FROM orders UNION ALL
 SELECT * FROM orders WHERE o_orderkey % 3 = 0""")
@@ -187,8 +193,10 @@ def read_folder(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = table(spark, sf_dir, "orders")
     folder = shared_path(spark, f"orderlens-folder-{uuid.uuid4().hex[:12]}")
     third = o.filter("o_orderkey % 3 = 0")
+    files = max(1, math.ceil(o.count() / FILE_ROWS))
     for part in (o.unionByName(third), o, third.unionByName(third).unionByName(third)):
-        part.coalesce(1).write.mode("append").parquet(folder)
+        # copies of a row have one hash: they stay in one file however many there are
+        part.repartition(files, *o.columns).write.mode("append").parquet(folder)
     third.write.json(f"{folder}/deeper")
     return read_parquet_folder(spark, folder)
 

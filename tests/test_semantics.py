@@ -157,3 +157,17 @@ def test_typify_query_counts_every_numeric_column_in_full(spark, scratch):
     assert got == {"l_orderkey": (200, "continuous"), "l_partkey": (7, "continuous"), "l_linenumber": (4, "discrete"),
                    "l_tax": (3, "discrete"), "l_returnflag": (None, "categorical"), "l_shipdate": (None, "temporal")}
     assert "<= 5 THEN (count" not in ORACLE["f1_typify_lineitem"]
+
+
+def test_read_folder_files_follow_the_rows(spark, scratch, monkeypatch):
+    from orderlens.plans import catalog_rollup as R
+    rows = [(k, float(k % 5)) for k in range(300)] + [(6, 1.0)] * 40 + [(7, None), (None, 2.0), (None, 2.0)]
+    spark.createDataFrame(rows, "o_orderkey long, v double").write.parquet(os.path.join(scratch, "orders.parquet"))
+    monkeypatch.setattr(R, "FILE_ROWS", 50)
+    got = R.QUERIES["s1_read_folder"](spark, scratch)
+    per_file = [r["n"] for r in read_parquet_folder(spark, os.path.dirname(got.inputFiles()[0]), per_file_dedup=False,
+                                                    keep_source=True).groupBy("_source_file").agg(F.count("*").alias("n")).collect()]
+    assert len(per_file) > 3 * 4 and max(per_file) < 200
+    once = set(rows)
+    want = [*once, *once, *(r for r in once if r[0] is not None and r[0] % 3 == 0)]
+    assert sorted(map(str, map(tuple, got.collect()))) == sorted(map(str, want))
