@@ -39,13 +39,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from orderlens.llm.common import broadcast_checked, written
+from orderlens.llm.common import broadcast_checked, small_batches, tidy, written
 
 LENGTH = 100
 GRAM = 32
 HOT = 40
 SEGMENT = 1 << 22           # bytes of a very long document handled at a time
-TASK_ROWS = 100_000         # anchors (168 bytes around each) that one task of the column-wise order holds
+TASK_ROWS = 40_000          # anchors (168 bytes around each) that one task of the column-wise order holds
 MAX_BROADCAST = 2_000_000   # anchor hashes or ids (8 bytes) that may be broadcast
 
 _U = np.uint64
@@ -99,7 +99,7 @@ def anchor_counts(documents: DataFrame, length: int, segment: int) -> DataFrame:
             if found:
                 h, n = np.unique(np.concatenate(found), return_counts=True)
                 yield pa.RecordBatch.from_arrays([pa.array(h), pa.array(n)], ["h", "n"])
-    rows = documents.select("text").mapInArrow(run, "h long, n long")
+    rows = documents.select("text").mapInArrow(tidy(run), "h long, n long")
     return written(rows.groupBy("h").agg(F.sum("n").alias("n")).where("n > 1"), "suffix-repeated")
 
 
@@ -116,7 +116,7 @@ def anchor_rows(documents: DataFrame, length: int, segment: int) -> DataFrame:
                     [pa.array(h), pa.array(ids[at]), pa.array(keys[at]), pa.array(a, pa.int32()),
                      pa.array(lo, pa.int32()), pa.array(hi, pa.int32())], ["h", "doc_id", "tkey", "a", "lo", "hi"])
     return documents.select("doc_id", "tkey", "text").mapInArrow(
-        run, "h long, doc_id long, tkey long, a int, lo int, hi int")
+        tidy(run), "h long, doc_id long, tkey long, a int, lo int, hi int")
 
 
 def contexts(documents: DataFrame, wanted: DataFrame, length: int) -> DataFrame:
@@ -143,7 +143,7 @@ def contexts(documents: DataFrame, wanted: DataFrame, length: int) -> DataFrame:
                 [flat["h"], ids["doc_id"], ids["tkey"], flat["a"], flat["lo"], flat["hi"], pa.array(ctx, pa.binary())],
                 ["h", "doc_id", "tkey", "a", "lo", "hi", "ctx"])
     return docs.join(per, ["doc_id", "tkey"]).select("doc_id", "tkey", "text", *cols).mapInArrow(
-        run, "h long, doc_id long, tkey long, a int, lo int, hi int, ctx binary")
+        tidy(run), "h long, doc_id long, tkey long, a int, lo int, hi int, ctx binary")
 
 
 def column_repeats(rank: np.ndarray, left: np.ndarray, count: np.ndarray, ctx: list, length: int,
@@ -210,7 +210,7 @@ def cold_spans(ctx: DataFrame, length: int, parts: int) -> DataFrame:
         yield pa.RecordBatch.from_arrays([pa.array(d[who]), pa.array(k[who]), pa.array(s, pa.int32()),
                                           pa.array(e, pa.int32())], ["doc_id", "tkey", "s", "e"])
     return (ctx.repartition(parts, "h").select("doc_id", "tkey", "a", "lo", "hi", "ctx")
-            .mapInArrow(run, "doc_id long, tkey long, s int, e int"))
+            .mapInArrow(tidy(run), "doc_id long, tkey long, s int, e int"))
 
 
 def hot_spans(ctx: DataFrame, length: int) -> DataFrame:
@@ -253,6 +253,7 @@ def repeats(documents: DataFrame, length: int = LENGTH, segment: int = SEGMENT)
     """(doc_id, tkey, n_bytes, sha256, copy, spans): ``copy`` marks a document that an earlier one
     equals (all of it goes if it has ``length`` bytes), ``spans`` the other removed spans, unmerged;
     ``sha256`` is that of the whole text."""
+    small_batches(documents.sparkSession)
     keyed = documents.select("doc_id", F.xxhash64("text").alias("tkey"), "text")
     raw = F.encode(F.coalesce("text", F.lit("")), "utf-8")
     base = written(keyed.select("doc_id", "tkey", F.octet_length(F.coalesce("text", F.lit(""))).cast("long").alias("n_bytes"),
@@ -319,5 +320,5 @@ def report(documents: DataFrame, length: int = LENGTH, segment: int = SEGMENT) -
                 [pa.array(c, y) for c, y in zip(cols, [pa.int64()] * 4 + [pa.string()])],
                 ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
     done = docs.join(cut, ["doc_id", "tkey"]).select("doc_id", "n_bytes", "text", "spans").mapInArrow(
-        run, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
+        tidy(run), "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
     return plain.unionByName(done)

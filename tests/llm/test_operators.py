@@ -299,3 +299,11 @@ def test_pipeline_stages(spark):
             codec = pieces.Codec()
             assert {r["doc_id"]: codec.decode(r["ids"]) for r in after.collect()} == dict(old)
         before = after
+
+
+def test_suffix_passes_take_small_batches_and_tasks(spark, docs):
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    spark.conf.unset(key)
+    suffix_dedup.report(docs).collect()
+    assert int(spark.conf.get(key)) <= 1_000         # long texts: a batch is what a worker holds
+    assert suffix_dedup.TASK_ROWS <= 50_000
