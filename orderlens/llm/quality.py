@@ -4,8 +4,9 @@ Overlapping heuristic labellers vote on every document (junk, prose, or
 nothing).  Expectation-maximisation over the counts of vote patterns estimates
 each labeller's vote rates per class and the class share; no gold label is
 read.  The posterior of a document's pattern is its soft label, and a logistic
-scorer over hashed word-shape features is trained on them.  The scorer's output
-decides, so a document that no labeller knows is judged too.
+scorer over hashed word-shape features is trained on those of all documents by
+MLlib.  The scorer's output decides, so a document that no labeller knows is
+judged too.
 
 Defined results: null or empty text (and text of white space only) votes junk
 by the emptiness labeller, has no features and scores below 0.5; repeated rows
@@ -16,17 +17,22 @@ are ignored; an empty table gives an empty result.
 from __future__ import annotations
 
 import re
+import uuid
 from collections import Counter
 
 import numpy as np
 import xxhash
+from pyspark.ml.classification import LogisticRegression
+from pyspark.ml.linalg import VectorUDT
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from orderlens.llm.common import map_text, written
+from orderlens.llm.common import map_text
+from orderlens.session import shared_path
 
 DIMS = 2048          # hashed feature space
-MAX_TRAIN = 6000     # documents the linear scorer is fitted on
+L2, MAX_STEPS = 1e-4, 200   # penalty and most iterations of the logistic regression
 KEEP_AT = 0.5        # least score of a kept document
 
 LABELLERS = ("empty", "symbols", "capitals", "repeats", "few_types", "exclaims", "loose_symbols",
@@ -141,57 +147,58 @@ def fit_label_model(patterns: dict[str, int], rounds: int = 200) -> dict:
     return {"posterior": dict(zip(rows, post[:, 1].tolist())), "share": share.tolist(), "rates": rate.tolist()}
 
 
-def fit_scorer(features: list, target: np.ndarray, steps: int = 300, l2: float = 1e-4):
-    """Logistic regression on soft labels by full-batch Adam; returns (weights, bias)."""
-    x = np.zeros((len(features), DIMS), dtype=np.float32)
-    for r, (idx, val) in enumerate(features):
-        x[r, idx] = val
-    w, b = np.zeros(DIMS), 0.0
-    m, v, mb, vb = np.zeros(DIMS), np.zeros(DIMS), 0.0, 0.0
-    for t in range(1, steps + 1):
-        p = 1 / (1 + np.exp(-(x @ w.astype(np.float32) + b)))
-        e = (p - target) / max(1, len(target))
-        g, gb = x.T @ e.astype(np.float32) + l2 * w, float(e.sum())
-        m, v = 0.9 * m + 0.1 * g, 0.999 * v + 0.001 * g * g
-        mb, vb = 0.9 * mb + 0.1 * gb, 0.999 * vb + 0.001 * gb * gb
-        c1, c2 = 1 - 0.9 ** t, 1 - 0.999 ** t
-        w = w - 0.1 * (m / c1) / (np.sqrt(v / c2) + 1e-8)
-        b = b - 0.1 * (mb / c1) / (vb / c2) ** 0.5 if vb else b
-    return w, b
+# ------------------------------------------------------------------ Spark
 
+def measured(documents: DataFrame) -> DataFrame:
+    """(votes, features): votes and feature vector of every row, written."""
+    spark = documents.sparkSession
 
-# ------------------------------------------------------------------ Spark
+    def start():
+        known = _Shapes()
 
-def fit(documents: DataFrame, max_train: int = MAX_TRAIN) -> dict:
-    """Votes of all documents, features of about ``max_train`` of them (by id hash)."""
-    total = documents.count()
-    share = min(1.0, 1.2 * max_train / total) if total else 1.0
-    chosen = F.abs(F.xxhash64(F.lit(17), "doc_id") % F.lit(1_000_000)) < F.lit(int(share * 1_000_000))
-
-    def start(with_features):
-        def make():
-            known = _Shapes()
-
-            def f(texts):
-                ms = [measures(t or "", known) for t in texts]
-                fs = [features(m) for m in ms] if with_features else [([], [])] * len(ms)
-                return [[votes(m) for m in ms], [a for a, _ in fs],
-                        [np.asarray(b, dtype=np.float32) for _, b in fs]]
-            return f
-        return make
-    out = [("votes", "string"), ("idx", "array<int>"), ("val", "array<float>")]
-    every = map_text(documents, ["doc_id"], "text", start(False), out)
+        def f(texts):
+            ms = [measures(t or "", known) for t in texts]
+            fs = [sorted(zip(*features(m))) for m in ms]
+            return [[votes(m) for m in ms], [[i for i, _ in x] for x in fs],
+                    [np.asarray([v for _, v in x], dtype=np.float32) for x in fs]]
+        return f
+    rows = map_text(documents, [], "text", start, [("votes", "string"), ("idx", "array<int>"), ("val", "array<float>")])
+    # the fields of a sparse vector, so the table is read back with a vector column
+    sparse = F.struct(F.lit(0).cast("byte").alias("type"), F.lit(DIMS).alias("size"), F.col("idx").alias("indices"),
+                      F.col("val").cast("array<double>").alias("values"))
+    path = shared_path(spark, f"llm-quality-{uuid.uuid4().hex}")
+    rows.select("votes", sparse.alias("features")).write.parquet(path)
+    return spark.read.schema(T.StructType([T.StructField("votes", T.StringType()),
+                                           T.StructField("features", VectorUDT())])).parquet(path)
+
+
+def fit(documents: DataFrame) -> dict:
+    """Label model and scorer, both of all documents.
+
+    A document with posterior p is two rows of the logistic regression: prose with weight p, junk
+    with weight 1 - p.
+    """
+    spark = documents.sparkSession
+    every = measured(documents)
     # a vote pattern has one of three values per labeller: a bounded number of groups
     counts = {r["votes"]: r["count"] for r in every.groupBy("votes").count().collect()}
     if not counts:
         return {"posterior": {}, "weights": np.zeros(DIMS), "bias": 0.0, "label_model": None}
     label_model = fit_label_model(counts)
-    sample = map_text(documents.where(chosen), ["doc_id"], "text", start(True), out)
-    rows = (sample.where(F.size("idx") > 0).orderBy(F.xxhash64("doc_id"), "votes")
-            .limit(max_train).select("votes", "idx", "val").collect())
-    target = np.array([label_model["posterior"].get(r["votes"], 0.5) for r in rows])
-    w, b = fit_scorer([(r["idx"], r["val"]) for r in rows], target) if rows else (np.zeros(DIMS), 0.0)
-    return {"posterior": label_model["posterior"], "weights": w, "bias": b, "label_model": label_model}
+    post = label_model["posterior"]
+    model = {"posterior": post, "weights": np.zeros(DIMS), "bias": 0.0, "label_model": label_model}
+    if not any(v[0] != JUNK for v in counts):       # the first labeller votes on empty texts, which have no features
+        return model
+    soft = F.broadcast(spark.createDataFrame([(v, min(max(p, 1e-9), 1 - 1e-9)) for v, p in post.items()],
+                                             "votes string, p double"))
+    sides = F.explode(F.array(F.struct(F.lit(1.0).alias("label"), F.col("p").alias("weight")),
+                              F.struct(F.lit(0.0).alias("label"), (1 - F.col("p")).alias("weight"))))
+    rows = (every.where(~F.col("votes").startswith(JUNK)).join(soft, "votes")
+            .select("features", sides.alias("side")).select("features", "side.*"))
+    scorer = LogisticRegression(weightCol="weight", regParam=L2, standardization=False, maxIter=MAX_STEPS,
+                                family="binomial").fit(rows)
+    model["weights"], model["bias"] = scorer.coefficients.toArray(), float(scorer.intercept)
+    return model
 
 
 def _scorer(model: dict):

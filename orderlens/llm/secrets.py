@@ -7,6 +7,14 @@ frequencies apart, all the way down.  The result is a probabilistic automaton;
 every other candidate token is scored by its log-likelihood per symbol and
 becomes a ``format`` span when it is as likely as labelled values are.
 
+All distinct labelled values take part.  Spark counts the prefixes of all of
+them; the driver merges the states of those prefixes that at least
+``SUPPORT`` values (and one in ``SHARE``) have in common, so its tree is
+bounded.  A prefix of one value is alike to every state, so it merges with the
+start; rarer prefixes than one in ``SHARE`` are merged there too.  Spark then
+sends all values through the states: symbol and end counts, and the threshold,
+are those of every labelled value.
+
 Defined results: null and empty text have no spans; repeated rows are scanned
 one by one (one row out per row in); a null doc_id is kept; other columns of
 the input are ignored; without any labelled credential there is no automaton
@@ -18,11 +26,12 @@ from __future__ import annotations
 import hashlib
 import math
 import re
+from collections import Counter
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from orderlens.llm.common import map_text, written
+from orderlens.llm.common import map_text, tidy, written
 
 # The three base patterns and their least lengths.
 ASSIGN = re.compile(
@@ -39,8 +48,10 @@ MIN_CANDIDATE = 16
 #: words of the assign pattern, as a quick test before the pattern runs
 KEYWORDS = ("password", "passwd", "secret", "token", "apikey", "api_key")
 
-MAX_TRAIN = 400        # labelled values per kind that the automaton is fitted on
+SUPPORT = 2            # values that share a prefix which can become a state: a single one always merges
+SHARE = 5_000          # and at least one value in so many
 ALPHA = 0.05           # confidence of the Hoeffding merge test
+_PRIME, _BASE, _START = (1 << 61) - 1, 1_318_699_440_233_716_411, 1   # hash of a prefix; of the empty one
 FLOOR = math.log(1e-4)  # log-probability of a symbol the automaton never saw
 MARGIN = 0.5           # nats per symbol below the lowest labelled percentile
 
@@ -125,6 +136,8 @@ def _fold(into: _State, tree: _State) -> None:
         x.end += y.end
         for ch, k in y.hits.items():
             x.hits[ch] = x.hits.get(ch, 0) + k
+            if ch not in y.to:          # a rare branch that was not read out
+                continue
             if ch in x.to:
                 stack.append((x.to[ch], y.to[ch]))
             else:
@@ -133,8 +146,16 @@ def _fold(into: _State, tree: _State) -> None:
 
 def infer_automaton(values: list[str], alpha: float = ALPHA) -> list[tuple[float, dict]]:
     """States as (log end probability, {symbol: (log probability, next state)}); state 0 starts."""
+    fixed = merge_states(_prefix_tree(values), alpha)
+    at = {id(s): i for i, s in enumerate(fixed)}
+    return [(math.log(s.end / s.n) if s.end else FLOOR,
+             {ch: (math.log(k / s.n), at[id(s.to[ch])]) for ch, k in s.hits.items()}) for s in fixed]
+
+
+def merge_states(root: _State, alpha: float = ALPHA) -> list[_State]:
+    """The states that are left of a prefix tree, start first, most frequent branches tried first."""
     bound = math.sqrt(0.5 * math.log(2 / alpha))
-    fixed = [_prefix_tree(values)]
+    fixed = [root]
     while True:
         known = {id(s) for s in fixed}
         fringe = [(s, ch, t) for s in fixed for ch, t in sorted(s.to.items()) if id(t) not in known]
@@ -147,9 +168,7 @@ def infer_automaton(values: list[str], alpha: float = ALPHA) -> list[tuple[float
         else:
             s.to[ch] = twin
             _fold(twin, t)
-    at = {id(s): i for i, s in enumerate(fixed)}
-    return [(math.log(s.end / s.n) if s.end else FLOOR,
-             {ch: (math.log(k / s.n), at[id(s.to[ch])]) for ch, k in s.hits.items()}) for s in fixed]
+    return fixed
 
 
 def likelihood(automaton: list, value: str) -> float:
@@ -196,25 +215,123 @@ def extract(documents: DataFrame) -> DataFrame:
         ("cand_values", "array<string>")])
 
 
-def train(extracted: DataFrame, max_train: int = MAX_TRAIN) -> dict:
-    """Fit on at most ``max_train`` distinct labelled values per kind (least hash first)."""
+def prefix_counts(labelled: DataFrame) -> DataFrame:
+    """(kind, h, parent, ch, n, n_end): every prefix of the values by its hash modulo 2^61 - 1, the
+    prefix one symbol shorter, its last symbol, how many values have it and how many are it."""
+    def run(batches):
+        import pyarrow as pa
+        for b in batches:
+            # values can be long: rows go out in pieces
+            cols, size = ([], [], [], [], []), 0
+            for kind, v in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+                hs = [_START]
+                for ch in v:
+                    hs.append((hs[-1] * _BASE + ord(ch)) % _PRIME)
+                n = len(hs)
+                for c, x in zip(cols, ([kind] * n, hs, [0, *hs[:-1]], ["", *v], [0] * (n - 1) + [1])):
+                    c.extend(x)
+                size += n
+                if size > 100_000:
+                    yield pa.RecordBatch.from_arrays([pa.array(c) for c in cols], ["kind", "h", "parent", "ch", "e"])
+                    cols, size = ([], [], [], [], []), 0
+            if size:
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in cols], ["kind", "h", "parent", "ch", "e"])
+    rows = labelled.select("kind", "value").mapInArrow(tidy(run), "kind string, h long, parent long, ch string, e long")
+    return rows.groupBy("kind", "h").agg(F.first("parent").alias("parent"), F.first("ch").alias("ch"),
+                                         F.count(F.lit(1)).alias("n"), F.sum("e").alias("n_end"))
+
+
+def shared_tree(counts: DataFrame, kind: str) -> _State | None:
+    """The prefix tree of a kind down to the prefixes that enough values share; their states keep the
+    counts of all branches."""
+    mine = counts.where(F.col("kind") == kind)
+    top = mine.where(F.col("h") == _START).select("n").first()
+    if top is None:
+        return None
+    shared = mine.where(F.col("n") >= max(SUPPORT, top["n"] // SHARE))
+    kept = {r["h"]: r for r in shared.collect()}
+    states = {h: _State() for h in kept}
+    for h, r in kept.items():
+        states[h].n, states[h].end = r["n"], r["n_end"]
+    # at most one branch per symbol of the patterns and state
+    branches = mine.where(F.col("h") != _START).join(
+        F.broadcast(shared.select(F.col("h").alias("parent"))), "parent", "left_semi")
+    for r in branches.select("parent", "ch", "h", "n").collect():
+        states[r["parent"]].hits[r["ch"]] = r["n"]
+        if r["h"] in states:
+            states[r["parent"]].to[r["ch"]] = states[r["h"]]
+    return states.get(_START, _prefix_tree([]))
+
+
+def path_counts(labelled: DataFrame, moves: dict[str, list[dict]]) -> DataFrame:
+    """(kind, state, ch, n): how often the values of a kind leave a state by a symbol ('' is the end);
+    a symbol without a move leads to the start."""
+    def run(batches):
+        import pyarrow as pa
+        for b in batches:
+            seen = Counter()
+            for kind, v in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+                at, state = moves[kind], 0
+                for ch in v:
+                    seen[kind, state, ch] += 1
+                    state = at[state].get(ch, 0)
+                seen[kind, state, ""] += 1
+            if seen:
+                kind, state, ch = zip(*seen)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(kind), pa.array(state, pa.int32()), pa.array(ch), pa.array(list(seen.values()), pa.int64())],
+                    ["kind", "state", "ch", "n"])
+    rows = labelled.select("kind", "value").mapInArrow(tidy(run), "kind string, state int, ch string, n long")
+    return rows.groupBy("kind", "state", "ch").agg(F.sum("n").alias("n"))
+
+
+def train(extracted: DataFrame) -> dict:
+    """kind -> (automaton, least likelihood), fitted on all distinct labelled values."""
     labelled = (extracted.where(F.size("kinds") > 0)
                 .select(F.explode(F.arrays_zip("kinds", "labelled")).alias("z"))
                 .select(F.col("z.kinds").alias("kind"), F.col("z.labelled").alias("value")).distinct())
     labelled = written(labelled, "secret-values")
-    values = {}
+    counts = written(prefix_counts(labelled), "secret-prefixes")
+    moves = {}
     for kind in KINDS:
-        rows = (labelled.where(F.col("kind") == kind)
-                .orderBy(F.xxhash64("value"), "value").limit(max_train).collect())
-        values[kind] = [r["value"] for r in rows]
-    return fit(values)
+        root = shared_tree(counts, kind)
+        if root is not None:
+            fixed = merge_states(root)
+            at = {id(s): i for i, s in enumerate(fixed)}
+            moves[kind] = [{ch: at[id(t)] for ch, t in s.to.items()} for s in fixed]
+    if not moves:
+        return {}
+    leave = {kind: [{} for _ in m] for kind, m in moves.items()}
+    for r in path_counts(labelled, moves).collect():
+        leave[r["kind"]][r["state"]][r["ch"]] = r["n"]
+    pfa = {kind: [_log_state(out, to) for out, to in zip(leave[kind], m)] for kind, m in moves.items()}
+
+    def run(batches):
+        import pyarrow as pa
+        for b in batches:
+            scores = [likelihood(pfa[k], v) for k, v in zip(b.column(0).to_pylist(), b.column(1).to_pylist())]
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(scores, pa.float64())], ["kind", "score"])
+    scores = written(labelled.select("kind", "value").mapInArrow(run, "kind string, score double"), "secret-scores")
+    model = {}
+    for kind in sorted(pfa):
+        # the lowest percentile of labelled values less a margin, as in ``fit``
+        mine = scores.where(F.col("kind") == kind)
+        least = mine.orderBy("score").offset(mine.count() // 100).select("score").first()[0]
+        model[kind] = (pfa[kind], least - MARGIN)
+    return model
+
+
+def _log_state(out: dict, to: dict) -> tuple[float, dict]:
+    n = sum(out.values())
+    return (math.log(out[""] / n) if out.get("") else FLOOR,
+            {ch: (math.log(k / n), to.get(ch, 0)) for ch, k in out.items() if ch})
 
 
-def scan(documents: DataFrame, max_train: int = MAX_TRAIN) -> DataFrame:
+def scan(documents: DataFrame) -> DataFrame:
     """All spans of every document: (doc_id, starts, ends, kinds, n_assign, n_access, n_hex,
     base_sha256, spans).  ``starts``/``ends``/``kinds`` hold base and ``format`` spans by start."""
     table = written(extract(documents), "secret-extract")
-    model = train(table, max_train)
+    model = train(table)
     schema = ("doc_id long, starts array<int>, ends array<int>, kinds array<string>, n_assign long,"
               " n_access long, n_hex long, base_sha256 string, spans string")
     id_type = documents.schema["doc_id"].dataType.simpleString()
@@ -249,12 +366,12 @@ def scan(documents: DataFrame, max_train: int = MAX_TRAIN) -> DataFrame:
     return table.mapInArrow(run, schema.replace("doc_id long", f"doc_id {id_type}"))
 
 
-def redact(documents: DataFrame, mark: str = "[SECRET]", max_train: int = MAX_TRAIN) -> DataFrame:
+def redact(documents: DataFrame, mark: str = "[SECRET]") -> DataFrame:
     """Documents with every span replaced by ``mark``; ``n_chars`` follows where it exists.
 
     Trains on one pass, replaces in a second one; no document is dropped.
     """
-    model = train(written(extract(documents), "secret-extract"), max_train)
+    model = train(written(extract(documents), "secret-extract"))
 
     def start():
         def clean(t):

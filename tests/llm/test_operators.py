@@ -307,3 +307,22 @@ def test_suffix_passes_take_small_batches_and_tasks(spark, docs):
     suffix_dedup.report(docs).collect()
     assert int(spark.conf.get(key)) <= 1_000         # long texts: a batch is what a worker holds
     assert suffix_dedup.TASK_ROWS <= 50_000
+
+
+def test_models_are_fitted_on_all_rows(spark):
+    rng = random.Random(9)
+    hexes = ["".join(rng.choice("0123456789abcdef") for _ in range(20)) for _ in range(900)]
+    data = [(i, f"key {h} end") for i, h in enumerate(hexes)] + [(1000, None), (1001, "")]
+    table = secrets.extract(spark.createDataFrame(data, "doc_id long, text string"))
+    pfa, least = secrets.train(table)["hex"]
+    seen = sum(round(np.exp(p), 9) > 0 for p, _ in pfa[0][1].values())
+    assert seen == 16                                  # every symbol of every value has a count
+    counts = {r["ch"]: r["n"] for r in secrets.path_counts(
+        table.selectExpr("explode(labelled) value").selectExpr("'hex' kind", "value"), {"hex": [{}]}).collect()}
+    assert counts[""] == 900 and sum(counts.values()) == 900 * 21
+    scores = sorted(secrets.likelihood(pfa, h) for h in hexes)
+    assert abs(least - (scores[9] - secrets.MARGIN)) < 1e-9
+    assert not hasattr(quality, "MAX_TRAIN")
+    docs = spark.createDataFrame([(i, "Some plain words stand in this line. " * (1 + i % 5)) for i in range(50)]
+                                 + [(99, None)], "doc_id long, text string")
+    assert quality.measured(docs).count() == 51
