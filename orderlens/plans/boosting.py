@@ -1,17 +1,17 @@
 """Multiclass boosted trees with a warm start (M1-M3).
 
-Boosting runs round by round over MLlib regression trees.  The margins of all
-classes live in one array column that is carried from round to round; every
-round
+Boosting runs round by round over MLlib regression trees.  The margins of the
+classes, one column each, are carried from round to round; every round
 
-1. turns margins into softmax probabilities, and those into the gradient and
-   Hessian of each class;
+1. turns margins into softmax probabilities, and those into the Newton target
+   and weight of each class and the row's loss: plain columns, computed once
+   when the round's rows are cached, and only read by the passes of the trees;
 2. fits one regression tree per class, all classes at the same time, on the
    Newton target gradient / Hessian with the Hessian as row weight, so a leaf
    holds the Newton step of its rows;
-3. adds the damped trees to the margins and writes them to the shared folder,
-   which cuts the lineage, so a lost executor never repeats a round; the
-   validation loss is read from what was written.
+3. adds the damped trees to the margins of the cached rows.  Every tenth round
+   writes them to the shared folder, which cuts the lineage, so a lost executor
+   repeats ten rounds of this step at most, and never a tree.
 
 No round is ever fitted twice: patience is checked after each round, and the
 model of the best round is a prefix of the trees.
@@ -43,6 +43,7 @@ log = logging.getLogger(__name__)
 MIN_HESSIAN = 1e-6        # rows that are settled keep this weight
 MAX_STEP = 4.0            # bound of a row's Newton target
 EPS = 1e-15               # probability clip of the validation loss
+WRITE_EVERY = 10          # rounds between two writes of the rows, as MLlib's own boosting checkpoints
 
 
 def _p(name, doc, conv):
@@ -66,6 +67,33 @@ def softmax(margins: str | Column) -> Column:
     return F.transform(e, lambda x: x / F.aggregate(e, F.lit(0.0), lambda a, b: a + b))
 
 
+def newton_columns(rows: DataFrame, k: int) -> DataFrame:
+    """Target ``t<c>`` and weight ``h<c>`` of every class and ``loss``, from the margins ``m<c>``, ``y`` and ``w``.
+
+    The softmax is that of :func:`softmax`, term by term, in scalar columns: a higher-order
+    function is interpreted per row, these are compiled.
+    """
+    classes, carried = range(k), rows.columns
+    top = F.greatest(*[F.col(f"m{c}") for c in classes]) if k > 1 else F.col("m0")
+    rows = rows.withColumn("_top", top)
+    rows = rows.withColumns({f"_e{c}": F.exp(F.col(f"m{c}") - F.col("_top")) for c in classes})
+    total = F.lit(0.0)
+    for c in classes:
+        total = total + F.col(f"_e{c}")
+    rows = rows.withColumn("_sum", total)
+    rows = rows.withColumns({f"_p{c}": F.col(f"_e{c}") / F.col("_sum") for c in classes})
+    rows = rows.withColumns({f"_h{c}": F.greatest(F.col(f"_p{c}") * (1.0 - F.col(f"_p{c}")), F.lit(MIN_HESSIAN))
+                             for c in classes})
+
+    def target(c):
+        step = ((F.col("y") == c).cast("double") - F.col(f"_p{c}")) / F.col(f"_h{c}")
+        return F.least(F.greatest(step, F.lit(-MAX_STEP)), F.lit(MAX_STEP))
+    p_true = F.get(F.array(*[F.col(f"_p{c}") for c in classes]), F.col("y"))
+    return rows.select(*carried, *[target(c).alias(f"t{c}") for c in classes],
+                       *[(F.col("w") * F.col(f"_h{c}")).alias(f"h{c}") for c in classes],
+                       (-F.ln(F.greatest(p_true, F.lit(EPS)))).alias("loss"))
+
+
 class SoftmaxBoost(Estimator, _BoostParams):
     """One regression tree per class and round on the softmax loss, stopped by patience."""
 
@@ -86,14 +114,11 @@ class SoftmaxBoost(Estimator, _BoostParams):
             F.col(g(self.featuresCol)).alias("features"), F.col(g(self.labelCol)).cast("int").alias("y"),
             (F.col(w).cast("double") if w else F.lit(1.0)).alias("w"),
             (F.col(v) if v else F.lit(False)).alias("is_val"),
-            F.array_repeat(F.lit(0.0), k).alias("margins"))
+            *[F.lit(0.0).alias(f"m{c}") for c in range(k)])
 
     def _tree(self, rows: DataFrame, c: int, r: int, bp: BoostParams):
-        """The tree of class ``c`` in round ``r`` on the rows' current margins."""
-        p = F.get(F.col("p"), F.lit(c))
-        h = F.greatest(p * (1.0 - p), F.lit(MIN_HESSIAN))
-        step = F.least(F.greatest(((F.col("y") == c).cast("double") - p) / h, F.lit(-MAX_STEP)), F.lit(MAX_STEP))
-        target = rows.select("features", step.alias("target"), (F.col("w") * h).alias("hessian"))
+        """The tree of class ``c`` in round ``r`` on the rows' current targets."""
+        target = rows.select("features", F.col(f"t{c}").alias("target"), F.col(f"h{c}").alias("hessian"))
         forest = RandomForestRegressor(
             featuresCol="features", labelCol="target", weightCol="hessian", numTrees=1, bootstrap=False,
             subsamplingRate=bp.subsampling_rate, featureSubsetStrategy=bp.feature_subset, maxDepth=bp.max_depth,
@@ -107,12 +132,13 @@ class SoftmaxBoost(Estimator, _BoostParams):
         stops = bool(g(self.validationIndicatorCol))
         spark, root = df.sparkSession, shared_path(df.sparkSession, f"boost-{uuid.uuid4().hex}")
 
-        def stored(rows: DataFrame, r: int) -> DataFrame:
-            rows.write.parquet(f"{root}/{r}")
-            return (spark.read.schema(rows.schema).parquet(f"{root}/{r}").withColumn("p", softmax("margins"))
-                    .persist(StorageLevel.MEMORY_AND_DISK))
+        def kept(rows: DataFrame, r: int) -> DataFrame:
+            if r % WRITE_EVERY == 0:
+                rows.write.parquet(f"{root}/{r}")
+                rows = spark.read.schema(rows.schema).parquet(f"{root}/{r}")
+            return newton_columns(rows, k).persist(StorageLevel.MEMORY_AND_DISK)
 
-        now = stored(self._start(df, k), 0)
+        now = kept(self._start(df, k), 0)
         trees, losses, best = [], [], 0
         with ThreadPoolExecutor(k) as pool:
             for r in range(bp.max_iter):
@@ -123,11 +149,10 @@ class SoftmaxBoost(Estimator, _BoostParams):
                 nxt = now
                 for c, tree in enumerate(fitted):
                     nxt = tree.setFeaturesCol("features").setPredictionCol(f"_t{c}").transform(nxt)
-                step = F.array(*[F.get(F.col("margins"), F.lit(c)) + bp.step_size * F.col(f"_t{c}")
-                                 for c in range(k)])
-                nxt = stored(nxt.select("features", "y", "w", "is_val", step.alias("margins")), r + 1)
-                p_true = F.greatest(F.get(F.col("p"), F.col("y")), F.lit(EPS))
-                loss = nxt.agg(F.avg(F.when(F.col("is_val") | F.lit(not stops), -F.ln(p_true)))).first()[0]
+                steps = [(F.col(f"m{c}") + bp.step_size * F.col(f"_t{c}")).alias(f"m{c}") for c in range(k)]
+                nxt = kept(nxt.select("features", "y", "w", "is_val", *steps), r + 1)
+                # reads every partition, so the rows are cached before the trees of the next round start
+                loss = nxt.agg(F.avg(F.when(F.col("is_val") | F.lit(not stops), F.col("loss")))).first()[0]
                 now.unpersist()
                 now = nxt
                 losses.append(loss)
