@@ -6,8 +6,8 @@ rarity in the documents.  A window occurs in a document only if all its
 shingles do, so its necessary prefix is its single rarest shingle: candidates
 are the document positions of that shingle.  Positional and length bounds drop
 starts outside the document, and a candidate counts only if the shingles at
-all its positions are the window's own (shingles are joined as text, so this is
-exact word equality over the item-sized window).
+all its positions are the window's own (shingles are joined word by word, so
+this is exact word equality over the item-sized window).
 
 Defined results: null, empty or word-free documents have zero counts and are
 clean; null, empty or word-free items have no window; repeated item rows count
@@ -37,16 +37,23 @@ GAP = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 def words(text: Column) -> Column:
     """Word array; A-Z lower-cased only, other letters as they are."""
     low = F.translate(F.coalesce(text, F.lit("")), string.ascii_uppercase, string.ascii_lowercase)
-    return F.filter(F.split(low, GAP), lambda w: w != "")
+    return F.array_remove(F.split(low, GAP), "")
 
 
 def shingles(arr: Column, q: int) -> Column:
-    """All ``q``-word shingles of a word array as text, by position (empty if it is shorter)."""
-    n = F.size(arr) - F.lit(q - 1)
-    if q == 1:
-        return arr
-    at = F.when(n > 0, F.sequence(F.lit(1), n)).otherwise(F.array().cast("array<int>"))
-    return F.transform(at, lambda i: F.concat_ws(" ", *[F.element_at(arr, i + k) for k in range(q)]))
+    """By position, from 0: null in place of all words, so that an empty array has an element too; from 1:
+    (0, 1, ... q - 1), a word and the q - 1 words after it, null past the end."""
+    none = F.array(F.lit(None).cast("string"))
+    after = [F.slice(arr, F.lit(k + 1), F.greatest(F.size(arr) - F.lit(k), F.lit(0))) for k in range(q)]
+    return F.arrays_zip(*[F.concat(none, a) for a in after])
+
+
+def around(hits: str, reach: int) -> Column:
+    """Per (pos, gid) of a sorted array: (pos, gid, at, h) with the ``reach`` hits before and after it
+    as ``h`` and its own place there, from 0."""
+    return F.transform(hits, lambda x, i: F.struct(
+        x["pos"].alias("pos"), x["gid"].alias("gid"), F.least(i, F.lit(reach)).alias("at"),
+        F.slice(hits, F.greatest(i - F.lit(reach - 1), F.lit(1)), F.lit(2 * reach + 1)).alias("h")))
 
 
 def windows(benchmark: DataFrame, window: int) -> tuple[DataFrame, DataFrame]:
@@ -69,34 +76,34 @@ def scan(documents: DataFrame, benchmark: DataFrame, window: int = WINDOW,
     (start, len) word spans of occurring windows and the sorted ids of occurring items.
     ``tkey`` tells texts of one doc_id apart."""
     wins, of_item = windows(benchmark, window)
-    grams = (wins.withColumn("q", F.least(F.lit(shingle), F.col("len"))))
-    sizes = sorted(r["q"] for r in grams.select("q").distinct().collect())  # at most `shingle` values
-    parts = []
-    for q in sizes or [shingle]:
-        parts.append(grams.where(F.col("q") == q)
-                     .select("wid", "len", "q", F.posexplode(shingles(F.col("w"), q)).alias("off", "gram")))
-    grams = parts[0]
-    for p in parts[1:]:
-        grams = grams.unionByName(p)
+    grams = (wins.withColumn("q", F.least(F.lit(shingle), F.col("len")))
+             .select("wid", "len", "q", "w", F.explode(F.sequence(F.lit(0), F.col("len") - F.col("q"))).alias("off"))
+             .select("wid", "len", "q", "off", F.slice("w", F.col("off") + 1, F.col("q")).alias("gram")))
     ids = written(grams.select("q", "gram").distinct()
                   .select("q", "gram", F.monotonically_increasing_id().alias("gid")), "decontam-grams")
     grams = written(grams.join(ids, ["q", "gram"]).select("wid", "len", "q", "off", "gid"),
                     "decontam-window-grams")
-
-    docs = documents.select("doc_id", F.xxhash64("text").alias("tkey"), words(F.col("text")).alias("w"))
-    # one marker row (position -1) per document carries its word count through the filter
-    def placed(q):
-        return F.transform(shingles(F.col("w"), q), lambda g, i: F.struct(
-            F.lit(q).alias("q"), i.alias("pos"), g.alias("gram")))
-    arrays = [placed(q) for q in sizes]
-    marker = F.array(F.struct(F.lit(0).alias("q"), F.lit(-1).alias("pos"), F.lit("").alias("gram")))
-    rows = docs.select("doc_id", "tkey", F.size("w").cast("long").alias("n_words"),
-                       F.explode(F.concat(marker, *arrays)).alias("g"))
-    rows = rows.select("doc_id", "tkey", "n_words", F.col("g.q").alias("q"), F.col("g.pos").alias("pos"),
-                       F.col("g.gram").alias("gram"))
-    hits = (rows.join(broadcast_checked(ids, MAX_BROADCAST), ["q", "gram"], "left")
-            .where("pos = -1 or gid is not null")
-            .select("doc_id", "tkey", "n_words", "q", "pos", "gid"))
+    sizes = sorted(r["q"] for r in ids.select("q").distinct().collect()) or [1]  # at most `shingle` values
+
+    # one row a position, its shingle as columns of words; one marker row (position -1) per document
+    # carries its word count through the filter
+    cols = [f"w{k}" for k in range(sizes[-1])]
+    rows = (documents.select("doc_id", F.xxhash64("text").alias("tkey"), words(F.col("text")).alias("w"))
+            .select("doc_id", "tkey", F.size("w").cast("long").alias("n_words"),
+                    F.posexplode(shingles(F.col("w"), len(cols))).alias("at", "x"))
+            .select("doc_id", "tkey", "n_words", (F.col("at") - 1).alias("pos"),
+                    *[F.col("x").getField(str(k)).alias(c) for k, c in enumerate(cols)]))
+    for q in sizes:
+        own = ids.where(F.col("q") == q).select(
+            F.col("gid").alias(f"g{q}"), *[F.get("gram", F.lit(k)).alias(c) for k, c in enumerate(cols[:q])])
+        rows = rows.join(broadcast_checked(own, MAX_BROADCAST), cols[:q], "left")
+    gids = [F.struct(F.lit(q).alias("q"), F.col(f"g{q}").alias("gid")) for q in sizes]
+    marker = F.array(F.struct(F.lit(0).alias("q"), F.lit(None).cast("long").alias("gid")))
+    hits = (rows.where((F.col("pos") == -1) | F.coalesce(*[F.col(f"g{q}") for q in sizes]).isNotNull())
+            .select("doc_id", "tkey", "n_words", "pos",
+                    F.explode(F.when(F.col("pos") == -1, marker).otherwise(F.array(*gids))).alias("g"))
+            .select("doc_id", "tkey", "n_words", F.col("g.q").alias("q"), "pos", F.col("g.gid").alias("gid"))
+            .where("pos = -1 or gid is not null"))
     hits = written(hits, "decontam-hits")
 
     # rarity of every benchmark shingle over all documents; a window's prefix is its rarest one
@@ -108,13 +115,13 @@ def scan(documents: DataFrame, benchmark: DataFrame, window: int = WINDOW,
         F.transform(F.array_sort(F.collect_list(F.struct("off", "gid"))), lambda x: x["gid"]).alias("gids"))
         .where("whole").select("wid", "m.gid", "m.off", "m.q", "m.len", "gids"), "decontam-prefix")
 
-    # hits of one document side by side: positions ascend, at most one shingle of each size a position
-    seq = written(hits.where("pos >= 0").distinct().groupBy("doc_id", "tkey", "q").agg(
-        F.max("n_words").alias("n_words"), F.array_sort(F.collect_list(F.struct("pos", "gid"))).alias("h")),
+    # hits of one document side by side: positions ascend, at most one shingle of each size a position;
+    # every hit takes along the hits that a window over it can reach, itself at place `at`
+    seq = written(hits.where("pos >= 0").groupBy("doc_id", "tkey", "q").agg(
+        F.max("n_words").alias("n_words"), F.array_sort(F.collect_set(F.struct("pos", "gid"))).alias("h")),
         "decontam-sequences")
-    cand = (seq.select("doc_id", "tkey", "q", "n_words", "h", F.posexplode("h").alias("at", "x"))
-            .select("doc_id", "tkey", "q", "n_words", "h", "at", F.col("x.pos").alias("pos"),
-                    F.col("x.gid").alias("gid"))
+    cand = (seq.select("doc_id", "tkey", "q", "n_words", F.explode(around("h", max(window - shingle, 0))).alias("x"))
+            .select("doc_id", "tkey", "q", "n_words", "x.*")
             .join(broadcast_checked(prefix, MAX_BROADCAST // 5), ["q", "gid"]))
     start, n = F.col("pos") - F.col("off"), F.size("gids")
     cand = cand.where((start >= 0) & (start + F.col("len") <= F.col("n_words"))

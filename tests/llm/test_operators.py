@@ -95,6 +95,28 @@ def test_embeddings_empty(spark):
 
 # ------------------------------------------------------------- edge cases
 
+def test_decontam_rows_stay_small(spark, monkeypatch):
+    """Positions of a text are rows of generated code, not one array of structs and texts a document;
+    a hit takes along the hits that a window over it reaches, not all of its document."""
+    plans, write = {}, decontam.written
+    monkeypatch.setattr(decontam, "written", lambda df, tag: plans.setdefault(
+        tag, df._jdf.queryExecution().optimizedPlan().toString()) and write(df, tag))
+    items = [(i, " ".join(f"x{i}y{k}" for k in range(40))) for i in range(20)] + [(20, "X1y7, x1y8"), (21, "x2Y5")]
+    texts = [(1, " ".join(t for _, t in items) * 3), (2, " ".join(t[:90] for _, t in items)), (3, "no hit")]
+    got = by_id(decontam.report(spark.createDataFrame(texts, "doc_id long, text string"),
+                                spark.createDataFrame(items, "item_id long, text string")),
+                "doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
+    assert got == brute.decontam(texts, items)
+    assert "lambda" not in plans["decontam-hits"]
+
+    hits = spark.range(1).select(F.transform(F.sequence(F.lit(0), F.lit(4_999)), lambda i: F.struct(
+        (i * 2).alias("pos"), (i + 7).alias("gid"))).alias("h"))
+    rows = hits.select(F.explode(decontam.around("h", 7)).alias("x")).select("x.*")
+    assert rows.agg(F.max(F.size("h"))).head()[0] == 15
+    own = F.get("h", F.col("at"))
+    assert rows.where((own["pos"] == F.col("pos")) & (own["gid"] == F.col("gid"))).count() == 5_000
+
+
 def test_edge_rows(spark, docs, none):
     bench = spark.createDataFrame([(1, "TWO three four five"), (1, "TWO three four five"), (2, None), (3, "..."),
                                    (None, "three four"), (4, LONG[:400])], "item_id long, text string")
