@@ -113,13 +113,15 @@ def scored_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = table(spark, sf_dir, "lineitem")
     half = F.pmod("l_orderkey", F.lit(2)) == 0
     li.filter(half).write.mode("append").parquet(folder)
-    stream_scores(spark, folder, rule_scores, out_path=out)
+    # named, or a restart takes the columns of the first file by name, which may be the drifted one
+    ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in li.schema)
+    stream_scores(spark, folder, rule_scores, schema=ddl, out_path=out)
     li.filter(~half).write.mode("append").parquet(folder)
     (li.filter("l_quantity > 45").withColumn("l_discount", F.col("l_discount").cast("string")).coalesce(1)
      .write.mode("append").parquet(folder))
     _broken_file(spark, f"{folder}/part-broken.parquet")
-    stream_scores(spark, folder, rule_scores, out_path=out, max_files_per_trigger=3)
-    scores, bad = stream_scores(spark, folder, rule_scores, out_path=out)     # nothing new: adds nothing
+    stream_scores(spark, folder, rule_scores, schema=ddl, out_path=out, max_files_per_trigger=3)
+    scores, bad = stream_scores(spark, folder, rule_scores, schema=ddl, out_path=out)   # nothing new: adds nothing
     files = spark.read.parquet(f"{bad}-files").select(
         F.lit("file").alias("kind"), F.lit(None).cast("long").alias("l_orderkey"),
         F.lit(None).cast("int").alias("l_linenumber"),
